@@ -11,6 +11,7 @@ NUMBER = r" \p{Nd}+ "
 CAPITALIZED = r"[A-Z][a-z]+"
 TAG = r"[@#]([A-Za-z]+)"
 NOT_ALNUM = r"[^a-zA-Z0-9]"
+ALNUM = r"[a-zA-Z0-9]+"
 
 # The characters Python's str.split() treats as blank.
 BLANKS = (

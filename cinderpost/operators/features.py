@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
 from cinderpost.functions import text as X
-from cinderpost.operators import metadata as M
 from cinderpost.operators import tokens as K
 from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.operators.unroll import unroll_structs, unroll_values
@@ -68,8 +67,7 @@ class IdfModel:
 
     def transform(self, tokenized: DataFrame) -> DataFrame:
         """``id, term, tfidf``."""
-        rows = stage(log_tf(tokenized), "log-tf")
-        found = keyed_lookup(rows, self.table.select("term", "idf"), "term", "inner")
+        found = keyed_lookup(log_tf(tokenized), self.table, "term", "inner", support="df")
         return found.select("id", "term", (F.col("log_tf") * F.col("idf")).alias("tfidf"))
 
 
@@ -88,14 +86,13 @@ def keyword_onehot(posts: DataFrame) -> DataFrame:
     )
 
 
-def with_features(tokenized: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def with_features(prepared: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``id``, the ``keep`` columns, ``feature, value``; words carry their term frequency.
 
     All features of a post are laid out inside its row and then unrolled: no shuffle, and
     every post has at least its bias row.
     """
-    rows = M.url_count(M.location_flag(tokenized))
-    rows = X.term_counts(rows, "tokens", "counts")
+    rows = X.term_counts(prepared, "tokens", "counts")
     words = F.transform(
         "counts", lambda c: _feature(F.concat(F.lit(WORD), c["term"]), c["tf"])
     )
@@ -148,10 +145,10 @@ class FeatureModel:
     dictionary: DataFrame
     weighting: str
 
-    def transform(self, tokenized: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    def transform(self, prepared: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         """``id``, ``keep`` columns, ``feature, value``; features unseen in training drop out."""
-        rows = stage(with_features(tokenized, keep), "features")
-        found = keyed_lookup(rows, self.dictionary.select("feature", "idf"), "feature", "inner")
+        rows = with_features(prepared, keep)
+        found = keyed_lookup(rows, self.dictionary, "feature", "inner", support="df")
         value = weigh(F.col("feature"), F.col("value"), self.weighting, F.col("idf"))
         return found.withColumn("value", value).drop("idf")
 

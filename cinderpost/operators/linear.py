@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from cinderpost.functions import scoring as S
 from cinderpost.operators import features as E
-from cinderpost.operators import metadata as M
 from cinderpost.operators.lookup import keyed_lookup
 
 
@@ -57,16 +56,15 @@ def hashed_pipeline(buckets: int = 1 << 18, binary: bool = False) -> Pipeline:
     return Pipeline(stages=[hashing, LogisticRegression(labelCol="target", maxIter=20)])
 
 
-def feature_names(tokenized: DataFrame) -> DataFrame:
+def feature_names(prepared: DataFrame) -> DataFrame:
     """Add ``names``: every feature of a post, repeated as often as it counts."""
-    rows = M.url_count(M.location_flag(tokenized))
     words = F.transform("tokens", lambda t: F.concat(F.lit(E.WORD), t))
     extra = F.concat(
         F.array_repeat(F.lit("loc"), F.col("loc")),
         F.array_repeat(F.lit("url"), F.col("url")),
         F.array(E.keyword_feature(F.col("keyword"))),
     )
-    return rows.withColumn("names", F.concat(words, extra)).drop("loc", "url")
+    return prepared.withColumn("names", F.concat(words, extra))
 
 
 def hashed_fit(train: DataFrame, **options) -> PipelineModel:

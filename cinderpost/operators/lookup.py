@@ -29,26 +29,37 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     return counts.filter(F.col("_n") * HOT_KEYS >= total).select(key)
 
 
+def well_supported(table: DataFrame, key: str, support: str) -> DataFrame:
+    """Keys of ``table`` that hold at least 1/HOT_KEYS of all its ``support``."""
+    total = table.agg(F.sum(support)).scalar()
+    return table.filter(F.col(support) * HOT_KEYS >= total).select(key)
+
+
 def keyed_lookup(
     rows: DataFrame,
     table: DataFrame,
     key: str,
     how: str = "left",
     spread: str = "id",
+    support: str | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``table`` (one row per ``key``, never null), keeping every row.
+    """Join ``rows`` to ``table`` (a written stage, one row per ``key``), keeping every row.
 
     A table measured small is broadcast. Beyond that, the rows of ``table`` for hot keys, of
     which there is a bounded number, are broadcast, and only the other keys are shuffled; rows
     already served get a key of their own built from ``spread`` so that they spread evenly.
-    Both inputs should be written stages because they are read more than once.
+
+    ``support`` names a column of ``table`` that counts the key's rows in the data the table
+    was made from; it tells the hot keys without a pass over ``rows`` and is not returned. A
+    key that is hot only in ``rows`` is left to Spark's own skew-join splitting.
     """
+    values = [c for c in table.columns if c not in (key, support)]
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if measured_bytes(table) <= limit:
-        return rows.join(F.broadcast(table), key, how)
-    values = [c for c in table.columns if c != key]
-    hot = table.join(F.broadcast(hot_keys(rows, key)), key, "left_semi").select(
+        return rows.join(F.broadcast(table.select(key, *values)), key, how)
+    keys = well_supported(table, key, support) if support else hot_keys(rows, key)
+    hot = table.join(F.broadcast(keys), key, "left_semi").select(
         key, F.struct(*values).alias("_hot")
     )
     own_key = F.concat(F.lit("\u0000"), F.col(spread).cast("string"))

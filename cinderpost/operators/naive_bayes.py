@@ -78,13 +78,16 @@ class NaiveBayesModel:
         )
 
     def parameters(self, weightings: tuple[str, ...]) -> DataFrame:
-        """``feature, idf`` and a column ``struct<ll0, ll1>`` per weighting.
+        """``feature, df, idf`` and a column ``struct<ll0, ll1>`` per weighting.
 
         The bias row carries the log priors.
         """
         priors = F.struct(*(self._log_prior(c).alias(f"ll{c}") for c in LABELS))
         bias = self._bias().select(
-            "feature", F.lit(None).cast("double").alias("idf"), *(priors.alias(w) for w in weightings)
+            "feature",
+            "df",
+            F.lit(None).cast("double").alias("idf"),
+            *(priors.alias(w) for w in weightings),
         )
         return self._likelihoods(weightings).unionByName(bias)
 
@@ -113,19 +116,20 @@ class NaiveBayesModel:
 
         return columns.select(
             "feature",
+            "df",
             "idf",
             *(F.struct(*(smoothed(w, c).alias(f"ll{c}") for c in LABELS)).alias(w) for w in weightings),
         )
 
 
-def fit(tokenized: DataFrame) -> NaiveBayesModel:
-    """Train on posts with ``tokens`` and ``target``; serves every weighting."""
-    rows = E.with_features(tokenized, keep=("target",))
+def fit(prepared: DataFrame) -> NaiveBayesModel:
+    """Train on prepared posts with a ``target``; serves every weighting."""
+    rows = E.with_features(prepared, keep=("target",))
     return NaiveBayesModel(stage(class_sums(rows), "class-sums"))
 
 
 def score(
-    tokenized: DataFrame, model: NaiveBayesModel, weightings: tuple[str, ...]
+    prepared: DataFrame, model: NaiveBayesModel, weightings: tuple[str, ...]
 ) -> DataFrame:
     """``id, target, weighting, score0, score1``; all weightings share one join.
 
@@ -133,9 +137,9 @@ def score(
     """
     for weighting in weightings:
         check_option(weighting, P.WEIGHTINGS, "weighting")
-    rows = stage(E.with_features(tokenized, keep=("target",)), "score-rows")
+    rows = E.with_features(prepared, keep=("target",))
     parameters = stage(model.parameters(weightings), "parameters")
-    found = keyed_lookup(rows, parameters, "feature", "inner")
+    found = keyed_lookup(rows, parameters, "feature", "inner", support="df")
     sums = []
     for weighting in weightings:
         x = E.weigh(F.col("feature"), F.col("value"), weighting, F.col("idf"))

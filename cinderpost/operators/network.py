@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderpost.functions import scoring as S
@@ -23,7 +23,7 @@ from cinderpost.session import stage
 # Names that stand beside the features in the weight table.
 OUTPUT = "2"
 STATS = "#"
-ROWS_PER_SHARD = 2_000_000
+ROWS_PER_SHARD = 500_000
 HISTORY = "run_id string, epoch int, loss double, train_acc double, test_acc double"
 
 
@@ -66,20 +66,23 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _walk(post, column, value, target, first, output, settings, rng):
-    """Mini-batch descent in place on ``first`` (and ``output``); returns summed statistics."""
+def _walk(starts, column, value, target, first, output, settings, rng):
+    """Mini-batch descent in place on ``first`` (and ``output``); returns summed statistics.
+
+    Post ``d`` owns the cells ``starts[d]`` to ``starts[d + 1]`` of ``column`` and ``value``.
+    """
     n = len(target)
-    starts = np.searchsorted(post, np.arange(n + 1))
     loss = batches = hits = 0.0
     order = rng.permutation(n)
     for begin in range(0, n, settings.batch):
         chosen = order[begin : begin + settings.batch]
-        rows = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in chosen])
-        owner = np.repeat(np.arange(len(chosen)), starts[chosen + 1] - starts[chosen])
+        sizes = starts[chosen + 1] - starts[chosen]
+        begins = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(chosen)), sizes)
+        rows = np.arange(sizes.sum()) + (starts[chosen] - begins)[owner]
         col, x, y = column[rows], value[rows][:, None], target[chosen]
-        z = np.zeros((len(chosen), first.shape[1]))
-        np.add.at(z, owner, x * first[col])
-        inner = _sigmoid(z)
+        # Every post has at least its bias row, so no span is empty.
+        inner = _sigmoid(np.add.reduceat(x * first[col], begins))
         p = _sigmoid(inner @ output[:-1] + output[-1]) if settings.hidden else inner[:, 0]
         loss += float(np.mean((p - y) ** 2))
         hits += int(np.sum((p > 0.5) == (y == 1)))
@@ -91,30 +94,33 @@ def _walk(post, column, value, target, first, output, settings, rng):
             output[-1] -= settings.rate * slope.sum()
         else:
             back = slope[:, None]
-        np.subtract.at(first, col, settings.rate * x * back[owner])
+        by_col = np.argsort(col, kind="stable")
+        touched, firsts = np.unique(col[by_col], return_index=True)
+        change = np.add.reduceat((x * back[owner])[by_col], firsts)
+        first[touched] -= settings.rate * change
     return [loss, batches, hits, float(n)]
 
 
 def _shard_step(settings: Settings, round_no: int):
-    """Function for one shard: (its feature rows, its weights) -> weight changes."""
+    """Function for one shard: (its posts, its weights) -> weight changes."""
 
-    def step(rows: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
-        shard = int(rows["shard"].iloc[0])
+    def step(posts: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
+        shard = int(posts["shard"].iloc[0])
+        weights = weights.sort_values("column")
         is_output = (weights["feature"] == OUTPUT).to_numpy()
         names = weights["feature"][~is_output]
         old_first = np.stack(weights["w"][~is_output].to_list())
         old_output = weights["w"][is_output].iloc[0] if settings.hidden else np.zeros(1)
-        rows = rows.sort_values("id", kind="stable")
-        post, ids = pd.factorize(rows["id"])
-        target = rows["target"].to_numpy(float)[np.searchsorted(post, np.arange(len(ids)))]
-        column = pd.Index(names).get_indexer(rows["feature"])
+        posts = posts.sort_values("id")
+        target = posts["target"].to_numpy(float)
+        column = np.concatenate(posts["columns"].to_list())
+        value = np.concatenate(posts["values"].to_list())
+        starts = np.concatenate([[0], np.cumsum(posts["columns"].map(len))])
         first, output = old_first.copy(), np.array(old_output, float)
         rng = np.random.default_rng([settings.seed, round_no, shard])
         stats = np.zeros(4)
         for _ in range(settings.epochs):
-            stats += _walk(
-                post, column, rows["value"].to_numpy(), target, first, output, settings, rng
-            )
+            stats += _walk(starts, column, value, target, first, output, settings, rng)
         parts = {
             "feature": [*names, STATS],
             "old": [*old_first, np.zeros(4)],
@@ -129,6 +135,32 @@ def _shard_step(settings: Settings, round_no: int):
     return step
 
 
+def _shards(train: DataFrame, n_shards: int, hidden: int) -> tuple[DataFrame, DataFrame]:
+    """Posts with their features as numbered columns, and the columns of every shard.
+
+    Columns are numbered per shard, so a shard's size bounds all it needs in memory; rounds
+    then move a few numbers per post in place of feature names.
+    """
+    shard = F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("int")
+    rows = train.withColumn("shard", shard)
+    by_name = Window.partitionBy("shard").orderBy("feature")
+    columns = rows.select("shard", "feature").distinct()
+    columns = stage(columns.withColumn("column", F.row_number().over(by_name) - 1), "columns")
+    cells = F.sort_array(F.collect_list(F.struct("column", "value")))
+    posts = (
+        rows.join(columns, ["shard", "feature"])
+        .groupBy("shard", "id")
+        .agg(F.max("target").alias("target"), cells.alias("cells"))
+        .select("shard", "id", "target", F.col("cells.column").alias("columns"), F.col("cells.value").alias("values"))
+    )
+    if hidden:
+        output = columns.select("shard").distinct()
+        columns = columns.unionByName(
+            output.select("shard", F.lit(OUTPUT).alias("feature"), F.lit(-1).alias("column"))
+        )
+    return stage(posts, "shard-posts"), columns
+
+
 @dataclass
 class NetworkModel:
     weights: DataFrame
@@ -165,21 +197,16 @@ def fit(
     """
     spark = train.sparkSession
     n_shards = max(1, -(-train.count() // settings.rows_per_shard))
-    shard = F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("int")
-    rows = stage(train.withColumn("shard", shard), "shards")
-    needs = rows.select("shard", "feature").distinct()
-    if settings.hidden:
-        outputs = rows.select("shard").distinct().withColumn("feature", F.lit(OUTPUT))
-        needs = needs.unionByName(outputs)
-    needs = stage(needs, "shard-features")
-    weights = stage(initial_weights(rows.select("feature").distinct(), settings), "weights")
+    posts, columns = _shards(train, n_shards, settings.hidden)
+    names = columns.filter(F.col("column") >= 0).select("feature").distinct()
+    weights = stage(initial_weights(names, settings), "weights")
     width = max(settings.hidden + 1, 4)
     best, curve = weights, []
     for round_no in range(1, settings.rounds + 1):
         # A feature occurs here at most once per shard, so no key is hot.
-        local = needs.join(weights, "feature")
+        local = columns.join(weights, "feature")
         changes = (
-            rows.groupBy("shard")
+            posts.groupBy("shard")
             .cogroup(local.groupBy("shard"))
             .applyInPandas(
                 _shard_step(settings, round_no),
@@ -200,9 +227,10 @@ def fit(
             merged.filter(F.col("feature") == STATS).select("delta").first()["delta"]
         )
         scored = NetworkModel(weights, settings.hidden).score(validation)
-        accuracy = 100.0 * scored.agg(
-            F.avg((F.col("pred") == F.col("target")).cast("double")).alias("a")
-        ).first()["a"]
+        share = scored.agg(F.avg((F.col("pred") == F.col("target")).cast("double"))).first()[0]
+        if share is None:
+            raise ValueError("there are no validation posts to choose a round on")
+        accuracy = 100.0 * share
         earlier = [row[-1] for row in curve]
         curve.append((run_id, round_no, loss / batches, 100.0 * hits / seen, accuracy))
         if accuracy > max([0.0, *earlier]):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from cinderpost.functions import text as X
 from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.operators.unroll import unroll_structs
-from cinderpost.session import stage
 
 
 def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
@@ -41,7 +40,7 @@ def pool_posts(tokenized: DataFrame, embedding: DataFrame) -> DataFrame:
     ``embedding`` is any written ``term, vec`` table. Posts without a known token drop out.
     """
     counted = X.term_counts(tokenized.select("id", "target", "tokens"), "tokens", "counts")
-    rows = stage(unroll_structs(counted, ["id", "target"], "counts", "term"), "sequence-rows")
+    rows = unroll_structs(counted, ["id", "target"], "counts", "term")
     found = keyed_lookup(rows, embedding, "term", "inner")
     mean = Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>")), F.col("tf").cast("double"))
     return found.groupBy("id").agg(F.max("target").alias("target"), mean.alias("features"))

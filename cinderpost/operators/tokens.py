@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import patterns as P
 from cinderpost.functions import text as X
 from cinderpost.functions.porter import stem_column, stem_tokens
+from cinderpost.operators import metadata as M
 from cinderpost.operators.unroll import unroll_values
 
 
@@ -41,6 +42,14 @@ def with_tokens(
     return tokens
 
 
+def prepare(
+    posts: DataFrame, stemming: str = "NoStem", legacy_stops: bool = False
+) -> DataFrame:
+    """Posts with ``loc``, ``url`` and ``tokens`` in place of the raw text and location."""
+    described = M.url_count(M.location_flag(posts))
+    return with_tokens(described, stemming, legacy_stops).drop("text", "location")
+
+
 def token_corpus(posts: DataFrame, legacy_stops: bool = False) -> DataFrame:
     """``id, split, variant, tokens`` for both variants; the text is tokenized once."""
     plain = with_tokens(posts, "NoStem", legacy_stops).select("id", "split", "tokens")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
 from cinderpost.operators import evaluate, naive_bayes, network, sequence, vocab
-from cinderpost.operators.features import FeatureBuilder
-from cinderpost.operators.tokens import check_option, with_tokens
+from cinderpost.operators.features import FeatureBuilder, FeatureModel
+from cinderpost.operators.tokens import check_option, prepare
 from cinderpost.session import stage
 from cinderpost.sources.stages import StageStore
 
@@ -43,57 +43,94 @@ class Experiment:
         return replace(self.network, hidden=hidden)
 
 
-def tokenize_once(posts: DataFrame, stemming: str, legacy_stops: bool = False) -> DataFrame:
+def prepare_once(posts: DataFrame, stemming: str, legacy_stops: bool = False) -> DataFrame:
     """Written token table of labelled posts, shared by all experiments on one variant."""
     labelled = posts.filter(F.col("target").isNotNull())
-    return stage(with_tokens(labelled, stemming, legacy_stops), f"tokens-{stemming}")
+    return stage(prepare(labelled, stemming, legacy_stops), f"tokens-{stemming}")
 
 
-def part(tokenized: DataFrame, split: str) -> DataFrame:
+def part(prepared: DataFrame, split: str) -> DataFrame:
     check_option(split, P.SPLITS, "split")
-    return tokenized.filter(F.col("split") == split)
-
-
-def train_network(tokenized: DataFrame, experiment: Experiment):
-    """The feature model and the trained network of a Logistic or FFNN experiment.
-
-    The round to keep is chosen on one eighth of the training posts, held out by a hash of
-    the id, or on the test posts when ``select_on="test"``.
+    return prepared.filter(F.col("split") == split)
+
+
+@dataclass
+class Trained:
+    """A trained experiment as its tables: class sums, or feature dictionary and weights."""
+
+    experiment: Experiment
+    tables: dict[str, DataFrame]
+    history: DataFrame | None = None
+
+    @staticmethod
+    def table_names(experiment: Experiment) -> tuple[str, ...]:
+        return ("sums",) if experiment.classifier == "NaiveBayes" else ("dictionary", "weights")
+
+    def predict(self, prepared: DataFrame) -> DataFrame:
+        """``run_id, id, pred, target``."""
+        how = self.experiment
+        if how.classifier == "NaiveBayes":
+            model = naive_bayes.NaiveBayesModel(self.tables["sums"])
+            scored = naive_bayes.predict(naive_bayes.score(prepared, model, (how.weighting,)))
+        else:
+            features = FeatureModel(self.tables["dictionary"], how.weighting)
+            rows = stage(features.transform(prepared, keep=("target",)), "features")
+            model = network.NetworkModel(self.tables["weights"], how.settings().hidden)
+            scored = model.score(rows)
+        return scored.select(F.lit(how.run_id).alias("run_id"), "id", "pred", "target")
+
+    def save(self, store: StageStore, **facts) -> None:
+        for name, table in self.tables.items():
+            store.save(table, f"model-{name}", run_id=self.experiment.run_id, **facts)
+
+    @staticmethod
+    def load(store: StageStore, experiment: Experiment, **facts) -> Trained:
+        return Trained(
+            experiment,
+            {
+                name: store.load(f"model-{name}", run_id=experiment.run_id, **facts)
+                for name in Trained.table_names(experiment)
+            },
+        )
+
+
+def train(prepared: DataFrame, experiment: Experiment) -> Trained:
+    """Train on the train posts of ``prepared``.
+
+    The round to keep of a Logistic or FFNN run is chosen on one eighth of the training posts,
+    held out by a hash of the id, or on the test posts when ``select_on="test"``.
     """
-    train = part(tokenized, "train")
-    features = FeatureBuilder(experiment.weighting).fit(train)
-    rows = stage(features.transform(train, keep=("target",)), "train-features")
+    posts = part(prepared, "train")
+    if experiment.classifier == "NaiveBayes":
+        return Trained(experiment, {"sums": naive_bayes.fit(posts).sums})
+    features = FeatureBuilder(experiment.weighting).fit(posts)
+    rows = stage(features.transform(posts, keep=("target",)), "train-features")
     if experiment.select_on == "test":
-        chosen = stage(features.transform(part(tokenized, "test"), keep=("target",)), "test-features")
+        test = features.transform(part(prepared, "test"), keep=("target",))
+        chosen = stage(test, "test-features")
     else:
         held_out = F.pmod(F.xxhash64("id"), F.lit(8)) == 0
         rows, chosen = rows.filter(~held_out), rows.filter(held_out)
     model = network.fit(rows, chosen, experiment.settings(), experiment.run_id)
-    return features, model
+    tables = {"dictionary": features.dictionary, "weights": model.weights}
+    return Trained(experiment, tables, model.history)
 
 
-def predict_experiment(tokenized: DataFrame, experiment: Experiment) -> DataFrame:
+def predict_experiment(prepared: DataFrame, experiment: Experiment) -> DataFrame:
     """``run_id, id, pred, target`` for the test posts."""
-    test = part(tokenized, "test")
-    if experiment.classifier == "NaiveBayes":
-        model = naive_bayes.fit(part(tokenized, "train"))
-        scored = naive_bayes.predict(naive_bayes.score(test, model, (experiment.weighting,)))
-    else:
-        features, model = train_network(tokenized, experiment)
-        scored = model.score(stage(features.transform(test, keep=("target",)), "test-features"))
-    return scored.select(F.lit(experiment.run_id).alias("run_id"), "id", "pred", "target")
+    return train(prepared, experiment).predict(part(prepared, "test"))
 
 
 def run_experiment(posts: DataFrame, experiment: Experiment) -> DataFrame:
     """One report row: ``run_id, accuracy, tn, fn, fp, tp``."""
-    tokenized = tokenize_once(posts, experiment.stemming, experiment.legacy_stops)
-    return evaluate.eval_report(predict_experiment(tokenized, experiment))
+    prepared = prepare_once(posts, experiment.stemming, experiment.legacy_stops)
+    return evaluate.eval_report(predict_experiment(prepared, experiment))
 
 
-def naive_bayes_grid(tokenized: DataFrame, stemming: str) -> DataFrame:
+def naive_bayes_grid(prepared: DataFrame, stemming: str) -> DataFrame:
     """Predictions of all weightings: one training aggregation, one scoring join."""
-    model = naive_bayes.fit(part(tokenized, "train"))
-    scores = naive_bayes.score(part(tokenized, "test"), model, P.WEIGHTINGS)
+    model = naive_bayes.fit(part(prepared, "train"))
+    scores = naive_bayes.score(part(prepared, "test"), model, P.WEIGHTINGS)
     run_id = F.concat(F.lit(f"{stemming}-"), "weighting", F.lit("-NaiveBayes"))
     return naive_bayes.predict(scores).select(run_id.alias("run_id"), "id", "pred", "target")
 
@@ -102,19 +139,20 @@ def run_grid(
     posts: DataFrame,
     classifiers: tuple[str, ...] = P.CLASSIFIERS,
     settings: network.Settings | None = None,
+    select_on: str = "validation",
 ) -> DataFrame:
     """Report rows of every combination; each token variant is made once."""
     predictions = []
     for stemming in P.STEMMING:
-        tokenized = tokenize_once(posts, stemming)
+        prepared = prepare_once(posts, stemming)
         if "NaiveBayes" in classifiers:
-            predictions.append(naive_bayes_grid(tokenized, stemming))
+            predictions.append(naive_bayes_grid(prepared, stemming))
         others = [c for c in classifiers if c != "NaiveBayes"]
         for weighting, classifier in product(P.WEIGHTINGS, others):
-            experiment = Experiment(stemming, weighting, classifier)
+            experiment = Experiment(stemming, weighting, classifier, select_on=select_on)
             if settings:
                 experiment = replace(experiment, network=settings)
-            predictions.append(predict_experiment(tokenized, experiment))
+            predictions.append(predict_experiment(prepared, experiment))
     rows = predictions[0]
     for more in predictions[1:]:
         rows = rows.unionByName(more)
@@ -125,33 +163,26 @@ def run_sequence_experiment(
     posts: DataFrame, stemming: str = "Stem", size: int = 128, seed: int = 7
 ) -> DataFrame:
     """Word vectors of the joint vocabulary, pooled per post, and a linear classifier."""
-    tokenized = tokenize_once(posts, stemming)
-    terms = vocab.vocabulary(tokenized)
+    prepared = prepare_once(posts, stemming)
+    terms = vocab.vocabulary(prepared)
     embedding = stage(sequence.random_embedding(terms, size, seed), "embedding")
     pooled = stage(
-        sequence.pool_posts(part(tokenized, "train"), embedding), "train-pooled"
+        sequence.pool_posts(part(prepared, "train"), embedding), "train-pooled"
     )
     model = sequence.sequence_fit(pooled)
     predicted = sequence.sequence_predict(
-        model, sequence.pool_posts(part(tokenized, "test"), embedding)
+        model, sequence.pool_posts(part(prepared, "test"), embedding)
     )
     run_id = F.lit(f"{stemming}-WordEmbedding-Pooled").alias("run_id")
     return evaluate.eval_report(predicted.select(run_id, "pred", "target"))
 
 
-def save_naive_bayes(store: StageStore, model: naive_bayes.NaiveBayesModel, **facts) -> None:
-    store.save(model.sums, "naive-bayes", **facts)
-
-
-def rescore(store: StageStore, posts: DataFrame, experiment: Experiment, **facts) -> DataFrame:
-    """Score test posts with a saved naive Bayes model, keep the predictions, report."""
-    check_option(experiment.classifier, ("NaiveBayes",), "classifier")
-    model = naive_bayes.NaiveBayesModel(store.load("naive-bayes", **facts))
-    tokenized = tokenize_once(posts, experiment.stemming, experiment.legacy_stops)
-    scores = naive_bayes.score(part(tokenized, "test"), model, (experiment.weighting,))
-    predictions = naive_bayes.predict(scores).select(
-        F.lit(experiment.run_id).alias("run_id"), "id", "pred", "target"
-    )
-    store.save_predictions(predictions)
+def rescore(
+    store: StageStore, posts: DataFrame, experiment: Experiment, **facts
+) -> DataFrame:
+    """Score test posts with a saved model, keep the predictions, report from what was kept."""
+    prepared = prepare_once(posts, experiment.stemming, experiment.legacy_stops)
+    trained = Trained.load(store, experiment, **facts)
+    store.save_predictions(trained.predict(part(prepared, "test")))
     kept = store.load_predictions().filter(F.col("run_id") == experiment.run_id)
     return evaluate.eval_report(kept)

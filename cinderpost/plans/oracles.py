@@ -77,7 +77,7 @@ _VIEWS = {
           {_contracted("array_to_string(raw, chr(10))")}, chr(10)), lambda x: x <> '') AS tokens
         FROM raw_tokens""",
     "words": "SELECT id, split, target, unnest(tokens) AS term FROM tokens",
-    "tf": """SELECT id, split, target, term, count(*) AS tf FROM words
+    "tf": """SELECT id, split, target, term, count(*)::INTEGER AS tf FROM words
         GROUP BY id, split, target, term""",
     "train_docs": "SELECT count(*) AS n FROM tokens WHERE split = 'train'",
     "train_df": "SELECT term, count(*) AS df FROM tf WHERE split = 'train' GROUP BY term",
@@ -168,7 +168,7 @@ _FINAL = {
     "keyword_encode": """SELECT p.id, coalesce(k.keywd, -1) AS keywd FROM posts p
         LEFT JOIN keyword_ids k ON k.keyword IS NOT DISTINCT FROM p.keyword""",
     "location_flag": "SELECT id, CASE WHEN location IS NULL THEN 0 ELSE 1 END AS loc FROM posts",
-    "url_count": f"SELECT id, len(regexp_extract_all(text, {_q(P.URL)})) AS url FROM posts",
+    "url_count": f"SELECT id, len(regexp_extract_all(text, {_q(P.URL)}))::INTEGER AS url FROM posts",
     "strip_urls": f"SELECT id, {_strip('text', P.URL)} AS text FROM posts",
     "strip_entities": f"SELECT id, {_strip('text', P.ENTITY)} AS text FROM posts",
     "strip_numbers": f"SELECT id, {_strip('text', P.NUMBER, ' ')} AS text FROM posts",
@@ -178,7 +178,7 @@ _FINAL = {
     "match_key": f"SELECT id, {_strip('text', P.NOT_ALNUM)} AS text FROM posts",
     "stopwords_strict": "SELECT id, array_to_string(pieces, ' ') AS text FROM kept",
     "stopwords_legacy": f"""
-        SELECT id, piece, count(*) AS n FROM (
+        SELECT id, piece, count(*)::INTEGER AS n FROM (
           SELECT id, piece, stop, row_number() OVER (PARTITION BY id, island ORDER BY pos) AS nth
           FROM (
             SELECT *, pos - row_number() OVER (PARTITION BY id, stop ORDER BY pos) AS gap,
@@ -189,12 +189,12 @@ _FINAL = {
         WHERE NOT stop OR nth % 2 = 0 GROUP BY id, piece""",
     "tokenize": "SELECT id, array_to_string(raw, chr(10)) AS tokens FROM raw_tokens",
     "split_contractions": "SELECT id, array_to_string(tokens, chr(10)) AS tokens FROM tokens",
-    "token_corpus": """SELECT id, split, len(tokens) AS n_tokens,
+    "token_corpus": """SELECT id, split, len(tokens)::INTEGER AS n_tokens,
         array_to_string(tokens, chr(10)) AS tokens FROM tokens""",
     "vocabulary": "SELECT DISTINCT term FROM words WHERE split = 'train'",
     "vocab_size": "SELECT count(DISTINCT term) AS vocab_size FROM words WHERE split = 'train'",
     "joint_vocab": "SELECT term, term_id FROM joint",
-    "max_len": "SELECT max(len(tokens)) AS max_len FROM tokens",
+    "max_len": "SELECT max(len(tokens))::INTEGER AS max_len FROM tokens",
     "sequence_encode": """
         SELECT t.id, array_to_string(list_resize(coalesce(e.ids, []),
           (SELECT max(len(tokens)) FROM tokens), (SELECT max(term_id) FROM joint)), ',') AS ids
@@ -267,7 +267,7 @@ _FINAL = {
             ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS low FROM history)
         GROUP BY run_id""",
     "embedding_pool": """
-        SELECT label, pos - 1 AS pos, round(avg(x::DOUBLE), 6) AS mean_value FROM (
+        SELECT label, (pos - 1)::INTEGER AS pos, round(avg(x::DOUBLE), 6) AS mean_value FROM (
           SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos
           FROM embeddings) GROUP BY label, pos""",
     "argmax_scores": """SELECT vec_id, list_position(embedding, list_max(embedding)) - 1 AS best

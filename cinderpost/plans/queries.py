@@ -51,7 +51,7 @@ def _train(df: DataFrame) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(K.with_tokens(V.labelled_posts(spark, sf_dir)), "labelled-tokens")
+    return runs.prepare_once(V.posts(spark, sf_dir), "NoStem")
 
 
 # ---- sources, metadata -------------------------------------------------------------------
@@ -247,14 +247,14 @@ def keyword_onehot(spark, sf_dir):
 
 @query
 def assemble_features(spark, sf_dir):
-    tokenized = stage(_tokens(spark, sf_dir), "tokens")
-    rows = E.FeatureBuilder("TFIDF").fit(_train(tokenized)).transform(tokenized)
+    prepared = stage(K.prepare(V.posts(spark, sf_dir)), "prepared")
+    rows = E.FeatureBuilder("TFIDF").fit(_train(prepared)).transform(prepared)
     return rows.filter(F.col("feature") != E.BIAS).select("id", "feature", _round("value"))
 
 
 @query
 def feature_dims(spark, sf_dir):
-    return E.FeatureBuilder().fit(_train(_tokens(spark, sf_dir))).dims()
+    return E.FeatureBuilder().fit(_train(K.prepare(V.posts(spark, sf_dir)))).dims()
 
 
 # ---- naive Bayes -------------------------------------------------------------------------
@@ -308,7 +308,7 @@ def nb_experiment(spark, sf_dir):
 
 @query
 def nb_grid_stems(spark, sf_dir):
-    tokenized = runs.tokenize_once(V.posts(spark, sf_dir), "Stem")
+    tokenized = runs.prepare_once(V.posts(spark, sf_dir), "Stem")
     report = evaluate.eval_report(runs.naive_bayes_grid(tokenized, "Stem"))
     return report.select("run_id", _round("accuracy"), "tn", "fn", "fp", "tp")
 

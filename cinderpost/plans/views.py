@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderpost.operators.ranking import rank_within
+from cinderpost.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, keyword, location, text, target, split``; one post per document."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     doc, tag = F.col("doc_id"), F.col("source")
@@ -41,12 +42,13 @@ def labelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts still without a label: ``id, text``."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return documents.select(F.col("doc_id").alias("id"), "text")
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``seq, text, choose_one``."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     return documents.join(labels, "doc_id").select(
         F.col("doc_id").alias("seq"),

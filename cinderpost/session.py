@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,20 @@ def build_session(app: str = "cinderpost", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session; they may not have it."""
+    context = spark.sparkContext
+    if getattr(context, "_cinderpost_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="cinderpost-code-")
+    archive = shutil.make_archive(
+        f"{folder}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    context.addPyFile(archive)
+    context._cinderpost_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +53,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a scan over all cores when it has fewer splits than there are cores.
+
+    Few, large or unsplittable files (one row group, multi-line CSV) would leave the text work
+    to a few tasks. A scan with enough splits is returned as it is, so large inputs are never
+    shuffled for this.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

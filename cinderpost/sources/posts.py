@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinderpost.session import spread
+
 POST = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -36,7 +38,7 @@ def csv_reader(source, schema: T.StructType):
 
 
 def read_posts(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
-    return csv_reader(spark.read, LABELLED_POST if labelled else POST).csv(path)
+    return spread(csv_reader(spark.read, LABELLED_POST if labelled else POST).csv(path), "id")
 
 
 def read_splits(spark: SparkSession, train: str, test: str) -> DataFrame:
@@ -50,7 +52,8 @@ def read_splits(spark: SparkSession, train: str, test: str) -> DataFrame:
 
 def read_gold(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
     """Gold posts; ``columns`` must name ``seq``, ``text`` and ``choose_one`` among others."""
-    return csv_reader(spark.read, columns).csv(path).select("seq", "text", "choose_one")
+    rows = spread(csv_reader(spark.read, columns).csv(path), "seq")
+    return rows.select("seq", "text", "choose_one")
 
 
 def write_posts(df: DataFrame, path: str, fmt: str = "csv") -> None:

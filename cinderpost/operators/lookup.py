@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinderpost.session import stage
+
 BROADCAST_BYTES = 48 << 20
 HOT_KEYS = 4096
 
@@ -40,15 +42,15 @@ def keyed_lookup(
     table: DataFrame,
     key: str,
     how: str = "left",
-    spread: str = "id",
     support: str | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``table`` (a written stage, one row per ``key``), keeping every row.
+    """Join ``rows`` to ``table`` (a written stage, one row per ``key``), left or inner.
 
-    A table measured small is broadcast. Beyond that, the rows of ``table`` for hot keys, of
-    which there is a bounded number, are broadcast, and only the other keys are shuffled; rows
-    already served get a key of their own built from ``spread`` so that they spread evenly.
+    A table measured small is broadcast. Beyond that, the entries of hot keys, of which there
+    is a bounded number, are broadcast and their rows, mostly the larger part of a text's
+    words, never leave their task; only the rows of the other keys are shuffled. ``rows`` is
+    read once for each part, so it should start from a written stage.
 
     ``support`` names a column of ``table`` that counts the key's rows in the data the table
     was made from; it tells the hot keys without a pass over ``rows`` and is not returned. A
@@ -58,18 +60,15 @@ def keyed_lookup(
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if measured_bytes(table) <= limit:
         return rows.join(F.broadcast(table.select(key, *values)), key, how)
-    keys = well_supported(table, key, support) if support else hot_keys(rows, key)
-    hot = table.join(F.broadcast(keys), key, "left_semi").select(
-        key, F.struct(*values).alias("_hot")
-    )
-    own_key = F.concat(F.lit("\u0000"), F.col(spread).cast("string"))
-    probed = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_probe", F.when(F.col("_hot").isNull(), F.col(key).cast("string")).otherwise(own_key)
+    keys = stage(
+        well_supported(table, key, support) if support else hot_keys(rows, key), "hot-keys"
     )
-    cold = table.select(F.col(key).cast("string").alias("_probe"), F.struct(*values).alias("_cold"))
-    joined = probed.join(cold, "_probe", "left").withColumn(
-        "_found", F.coalesce("_hot", "_cold")
+    entries = table.join(F.broadcast(keys), key, "left_semi").select(key, *values)
+    if how == "left":
+        # A hot key without an entry must not reach the shuffle either.
+        entries = keys.join(F.broadcast(entries), key, "left")
+    hot = rows.join(F.broadcast(entries), key)
+    cold = rows.join(F.broadcast(keys), key, "left_anti").join(
+        table.select(key, *values), key, how
     )
-    if how == "inner":
-        joined = joined.filter(F.col("_found").isNotNull())
-    return joined.select(*rows.columns, *(F.col("_found")[v].alias(v) for v in values))
+    return hot.unionByName(cold)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from cinderpost.functions import patterns as P
+from cinderpost.plans import oracles_stem
 
 
 def _q(value: str) -> str:
@@ -286,19 +287,46 @@ _FINAL = {
 }
 
 
-def _needed(sql: str, found: set[str]) -> set[str]:
-    for name in _VIEWS:
-        if name not in found and re.search(rf"\b(FROM|JOIN) {name}\b", sql):
-            found.add(name)
-            _needed(_VIEWS[name], found)
+# The same over stemmed tokens: every view from the words on reads the stemmed ones.
+_STEMMED = {
+    **{name: sql for name, sql in _VIEWS.items() if name in ("tokens", "words")},
+    **oracles_stem.views(),
+    "stemmed": """SELECT t.id, any_value(t.keyword) AS keyword, any_value(t.target) AS target,
+          t.split, coalesce(list(s.stem ORDER BY w.pos) FILTER (s.stem IS NOT NULL), []) AS tokens
+        FROM tokens t
+          LEFT JOIN (SELECT id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos
+                     FROM tokens) w ON w.id = t.id
+          LEFT JOIN stems s ON s.token = w.term
+        GROUP BY t.id, t.split""",
+    "stemmed_words": "SELECT id, split, target, unnest(tokens) AS term FROM stemmed",
+    "tf": _VIEWS["tf"].replace("FROM words", "FROM stemmed_words"),
+}
+_STEMMED_FINAL = {
+    "stem_tokens": "SELECT token, stem FROM stems",
+    "token_corpus_stems": """SELECT id, split, len(tokens)::INTEGER AS n_tokens,
+        array_to_string(tokens, chr(10)) AS tokens FROM stemmed""",
+    "nb_grid_stems": f"""SELECT 'Stem-' || weighting || '-NaiveBayes' AS run_id, {_ACCURACY},
+        {_CELLS} FROM nb_preds GROUP BY weighting""",
+}
+
+
+def _in_order(views: dict[str, str], sql: str, found: list[str]) -> list[str]:
+    """Names of the views a statement needs, each after the views it needs itself."""
+    for name in re.findall(r"\b(?:FROM|JOIN) (\w+)", sql):
+        if name in views and name not in found:
+            _in_order(views, views[name], found)
+            if name not in found:
+                found.append(name)
     return found
 
 
-def _statement(final: str) -> str:
-    needed = _needed(final, set())
-    views = [f"{name} AS MATERIALIZED ({sql})" for name, sql in _VIEWS.items() if name in needed]
-    return (f"WITH {', '.join(views)} " if views else "") + final
+def _statement(final: str, views: dict[str, str]) -> str:
+    needed = _in_order(views, final, [])
+    parts = [f"{name} AS MATERIALIZED ({views[name]})" for name in needed]
+    return (f"WITH {', '.join(parts)} " if parts else "") + final
 
 
 def statements() -> dict[str, str]:
-    return {name: _statement(final) for name, final in _FINAL.items()}
+    plain = {name: _statement(final, _VIEWS) for name, final in _FINAL.items()}
+    views = {**_VIEWS, **_STEMMED}
+    return plain | {name: _statement(final, views) for name, final in _STEMMED_FINAL.items()}

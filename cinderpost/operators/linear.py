@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import scoring as S
 from cinderpost.operators import features as E
 from cinderpost.operators.lookup import keyed_lookup
+from cinderpost.session import stage
 
 
 def logistic_score(rows: DataFrame, weights: DataFrame) -> DataFrame:
@@ -47,6 +48,14 @@ def mse_gradient_step(rows: DataFrame, weights: DataFrame, rate: float) -> DataF
     )
 
 
+def descend(rows: DataFrame, weights: DataFrame, rate: float, steps: int) -> DataFrame:
+    """``feature, w`` after several full-batch steps; every step is written, so the lineage
+    stays short. Features of ``rows`` without a weight start from 0."""
+    for _ in range(steps):
+        weights = stage(mse_gradient_step(rows, weights, rate), "descent")
+    return weights
+
+
 def hashed_pipeline(buckets: int = 1 << 18, binary: bool = False) -> Pipeline:
     """Spark ML logistic regression over hashed features, a stated deviation: log loss in
     place of squared error, and features may share a bucket. Its size is fixed by ``buckets``."""

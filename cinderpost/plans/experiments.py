@@ -43,10 +43,23 @@ class Experiment:
         return replace(self.network, hidden=hidden)
 
 
-def prepare_once(posts: DataFrame, stemming: str, legacy_stops: bool = False) -> DataFrame:
-    """Written token table of labelled posts, shared by all experiments on one variant."""
+def prepare_once(
+    posts: DataFrame,
+    stemming: str,
+    legacy_stops: bool = False,
+    store: StageStore | None = None,
+    **facts,
+) -> DataFrame:
+    """Written token table of labelled posts, shared by all experiments on one variant.
+
+    With a ``store`` the table outlives the session and is found again under the same options
+    and ``facts``, which should name the input.
+    """
     labelled = posts.filter(F.col("target").isNotNull())
-    return stage(prepare(labelled, stemming, legacy_stops), f"tokens-{stemming}")
+    if store is None:
+        return stage(prepare(labelled, stemming, legacy_stops), f"tokens-{stemming}")
+    options = {"stemming": stemming, "legacy_stops": legacy_stops, **facts}
+    return store.reuse("tokens", lambda: prepare(labelled, stemming, legacy_stops), **options)
 
 
 def part(prepared: DataFrame, split: str) -> DataFrame:
@@ -121,9 +134,13 @@ def predict_experiment(prepared: DataFrame, experiment: Experiment) -> DataFrame
     return train(prepared, experiment).predict(part(prepared, "test"))
 
 
-def run_experiment(posts: DataFrame, experiment: Experiment) -> DataFrame:
+def run_experiment(
+    posts: DataFrame, experiment: Experiment, store: StageStore | None = None, **facts
+) -> DataFrame:
     """One report row: ``run_id, accuracy, tn, fn, fp, tp``."""
-    prepared = prepare_once(posts, experiment.stemming, experiment.legacy_stops)
+    prepared = prepare_once(
+        posts, experiment.stemming, experiment.legacy_stops, store, **facts
+    )
     return evaluate.eval_report(predict_experiment(prepared, experiment))
 
 

@@ -155,6 +155,20 @@ _VIEWS = {
         GROUP BY d.doc_id""",
 }
 
+# full-batch descent, three steps of rate 1
+_VIEWS["descent_rows"] = """SELECT id, target, 'w:' || term AS feature FROM ltf
+    UNION ALL SELECT id, target, '1' FROM tokens WHERE target IS NOT NULL"""
+_VIEWS["descent0"] = """SELECT DISTINCT feature, CASE WHEN feature = '1' THEN 0
+    ELSE (length(feature) - 7) / 8192e0 END AS w FROM descent_rows"""
+for _step in range(3):
+    _VIEWS[f"descent{_step}p"] = f"""SELECT id, target, 1 / (1 + exp(-sum(w))) AS p
+        FROM descent_rows JOIN descent{_step} USING (feature) GROUP BY id, target"""
+    _VIEWS[f"descent{_step + 1}"] = f"""
+        SELECT feature, any_value(w) - sum(2 * (p - r.target) * p * (1 - p))
+          / (SELECT count(*) FROM descent{_step}p) AS w
+        FROM descent_rows r JOIN descent{_step}p USING (id) JOIN descent{_step} USING (feature)
+        GROUP BY feature"""
+
 _CELLS = """count(*) FILTER (pred = 0 AND target = 0) AS tn,
     count(*) FILTER (pred = 0 AND target = 1) AS fn,
     count(*) FILTER (pred = 1 AND target = 0) AS fp,
@@ -242,6 +256,7 @@ _FINAL = {
         FROM ltf JOIN slopes USING (id) GROUP BY term
         UNION ALL SELECT '1', round(-0.1e0 * sum(slope) / (SELECT count(*) FROM fixed), 8)
         FROM slopes""",
+    "logistic_descent": "SELECT feature, round(w, 8) AS w FROM descent3",
     "minibatch": """SELECT id, ((row_number() OVER (ORDER BY id) - 1) // 256) AS batch
         FROM posts""",
     "epoch_metrics": """

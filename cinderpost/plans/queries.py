@@ -341,6 +341,12 @@ def mse_gradient_step(spark, sf_dir):
     return linear.mse_gradient_step(rows, weights, 0.1).select("feature", _round("w", 8))
 
 
+@query
+def logistic_descent(spark, sf_dir):
+    _, rows, weights = _fixed_case(spark, sf_dir)
+    return linear.descend(rows, weights, 1.0, 3).select("feature", _round("w", 8))
+
+
 @query
 def minibatch(spark, sf_dir):
     return batches.minibatches(V.posts(spark, sf_dir).select("id"))

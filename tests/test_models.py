@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import patterns as P
 from cinderpost.functions.scoring import first_argmax, threshold
 from cinderpost.operators import features as E
-from cinderpost.operators import linear, naive_bayes, network, sequence, vocab
+from cinderpost.operators import linear, metadata, naive_bayes, network, sequence, vocab
 from cinderpost.operators import tokens as K
 from cinderpost.plans import experiments as runs
 from cinderpost.session import stage
@@ -225,6 +225,22 @@ def test_stage_store(spark, tmp_path):
     assert fingerprint(a=1, b=2) == fingerprint(b=2, a=1) != fingerprint(a=2, b=1)
 
 
+def test_stored_tables_come_back(spark, posts, prepared, tmp_path):
+    store = StageStore(spark, str(tmp_path))
+    train = runs.part(prepared, "train")
+    for name, table in {
+        "keywords": metadata.keyword_index(runs.part(posts, "train")),
+        "vocabulary": vocab.vocabulary_ids(vocab.vocabulary(train)),
+        "idf": E.IdfModel.fit(train).table,
+    }.items():
+        assert sorted(map(str, store.save(table, name, stemming="NoStem").collect())) == sorted(
+            map(str, table.collect())
+        )
+    first = runs.run_experiment(posts, runs.Experiment(), store, data="v1").collect()
+    nothing = posts.filter(F.lit(False))
+    assert runs.run_experiment(nothing, runs.Experiment(), store, data="v1").collect() == first
+
+
 def test_streamed_posts(spark, posts, prepared, tmp_path):
     model = runs.train(prepared, runs.Experiment())
     folder = f"{tmp_path}/in"

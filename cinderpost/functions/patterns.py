@@ -20,14 +20,15 @@ BLANKS = (
 )
 
 # Token shapes of social-media text, tried in this order at each position.
+# Leading runs are bounded so that a long row of dashes or hashes is read in linear time.
 TOKEN_SHAPES = {
     "url": r"https?://[!$-_a-z]+",
     "emoticon": r"[<>]?[:;=8][-o*']?[)(\]\[dDpP/:{}@|\\]",
     "mirrored emoticon": r"[)(\]\[dDpP/:{}@|\\][-o*']?[:;=8][<>]?",
     "markup tag": r"<[^<> ]+>",
-    "arrow": r"-+>|<-+",
+    "arrow": r"-{1,16}>|<-+",
     "handle": r"@[A-Za-z0-9_]+",
-    "hashtag": r"#+[\p{L}\p{N}_][\p{L}\p{N}_'-]*[\p{L}\p{N}_]",
+    "hashtag": r"#{1,16}[\p{L}\p{N}_][\p{L}\p{N}_'-]*[\p{L}\p{N}_]",
     "word with inner marks": r"\p{L}[\p{L}'_-]+\p{L}",
     "number with inner marks": r"[+-]?\p{Nd}+[,/.:-]\p{Nd}+[+-]?",
     "plain word": r"[\p{L}\p{N}_]+",

@@ -29,7 +29,11 @@ HISTORY = "run_id string, epoch int, loss double, train_acc double, test_acc dou
 
 @dataclass(frozen=True)
 class Settings:
-    """``hidden=0`` is logistic regression. A round walks every shard ``epochs`` times."""
+    """``hidden=0`` is logistic regression. A round walks every shard ``epochs`` times.
+
+    Weights start uniformly in [0, ``start``). Long posts need a small ``start``: hundreds of
+    weights near one half add up to a score where the sigmoid has no slope.
+    """
 
     hidden: int = 0
     rate: float = 0.1
@@ -38,6 +42,7 @@ class Settings:
     batch: int = BATCH
     window: int = 100
     seed: int = 7
+    start: float = 1.0
     rows_per_shard: int = ROWS_PER_SHARD
 
 
@@ -57,7 +62,7 @@ def initial_weights(features: DataFrame, settings: Settings) -> DataFrame:
         "feature",
         F.transform(
             F.sequence(F.lit(1), width),
-            lambda i: _uniform(F.lit(settings.seed), F.col("feature"), i),
+            lambda i: settings.start * _uniform(F.lit(settings.seed), F.col("feature"), i),
         ).alias("w"),
     )
 

@@ -374,16 +374,20 @@ def early_stop(spark, sf_dir):
     return H.early_stop(V.history(spark, sf_dir), 5)
 
 
-# Short runs: the registered queries show the whole path, not a tuned model.
-_SHORT = {
-    "logistic_train": network.Settings(hidden=0, rate=0.1, rounds=3, epochs=2),
-    "mlp_train": network.Settings(hidden=20, rate=0.5, rounds=3, epochs=2),
+# Few rounds of many local epochs; long posts call for a small start.
+_SETTINGS = {
+    "logistic_train": network.Settings(
+        rate=0.1, rounds=2, epochs=20, batch=16, start=0.01
+    ),
+    "mlp_train": network.Settings(
+        hidden=20, rate=1.0, rounds=2, epochs=20, batch=16, start=0.05
+    ),
 }
 
 
 def _trained(name, classifier):
     def run(spark, sf_dir):
-        experiment = runs.Experiment("NoStem", "Binary", classifier, network=_SHORT[name])
+        experiment = runs.Experiment("NoStem", "Binary", classifier, network=_SETTINGS[name])
         return evaluate.eval_report(
             runs.predict_experiment(_labelled(spark, sf_dir), experiment)
         )

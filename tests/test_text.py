@@ -68,7 +68,8 @@ def test_contractions(spark, tokens, expected):
 
 
 def test_long_texts_do_not_overflow(spark):
-    for text in ("http://" + "a" * 200_000, "." * 200_000, "<" * 20_000, "ab" * 100_000):
+    for text in ("http://" + "a" * 200_000, "." * 200_000, "<" * 200_000, "ab" * 100_000, "#" * 200_000,
+                 "-" * 200_000, "a" + "-" * 200_000, "1" * 200_000, "it's" * 50_000):
         cleaned = one(spark, X.clean_text, text)
         assert one(spark, X.tokenize, cleaned) is not None
 

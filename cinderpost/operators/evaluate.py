@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _checked(name: str) -> Column:
-    """A label column that fails on anything but 0 and 1."""
-    label = F.col(name)
-    bad = F.raise_error(F.concat(F.lit(f"{name} outside 0/1: "), label.cast("string")))
-    return F.when(label.isin(0, 1), label).otherwise(bad.cast("int"))
+from cinderpost.functions.scoring import checked_label
 
 
 def _cells() -> list[Column]:
@@ -23,7 +18,7 @@ def _cells() -> list[Column]:
 
 def _labelled(predictions: DataFrame, *keep: str) -> DataFrame:
     return predictions.select(
-        *keep, _checked("pred").alias("_pred"), _checked("target").alias("_target")
+        *keep, checked_label("pred").alias("_pred"), checked_label("target").alias("_target")
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
+from cinderpost.functions.scoring import checked_label
 from cinderpost.operators import features as E
 from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.operators.tokens import check_option
@@ -124,7 +125,8 @@ class NaiveBayesModel:
 
 def fit(prepared: DataFrame) -> NaiveBayesModel:
     """Train on prepared posts with a ``target``; serves every weighting."""
-    rows = E.with_features(prepared, keep=("target",))
+    labelled = prepared.withColumn("target", checked_label("target"))
+    rows = E.with_features(labelled, keep=("target",))
     return NaiveBayesModel(stage(class_sums(rows), "class-sums"))
 
 

@@ -147,7 +147,7 @@ def _shards(train: DataFrame, n_shards: int, hidden: int) -> tuple[DataFrame, Da
     then move a few numbers per post in place of feature names.
     """
     shard = F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("int")
-    rows = train.withColumn("shard", shard)
+    rows = train.withColumn("shard", shard).withColumn("target", S.checked_label("target"))
     by_name = Window.partitionBy("shard").orderBy("feature")
     columns = rows.select("shard", "feature").distinct()
     columns = stage(columns.withColumn("column", F.row_number().over(by_name) - 1), "columns")
@@ -156,7 +156,13 @@ def _shards(train: DataFrame, n_shards: int, hidden: int) -> tuple[DataFrame, Da
         rows.join(columns, ["shard", "feature"])
         .groupBy("shard", "id")
         .agg(F.max("target").alias("target"), cells.alias("cells"))
-        .select("shard", "id", "target", F.col("cells.column").alias("columns"), F.col("cells.value").alias("values"))
+        .select(
+            "shard",
+            "id",
+            "target",
+            F.col("cells.column").alias("columns"),
+            F.col("cells.value").alias("values"),
+        )
     )
     if hidden:
         output = columns.select("shard").distinct()

@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str = "cinderpost", master: str | None = None, **conf) -> SparkSession:
     """Session with the settings the jobs expect; keyword ``a_b`` stands for ``a.b``."""
@@ -42,15 +44,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach: the checkpoint folder of the session.
+
+    Only a local session without one gets a temporary folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cinderpost-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = context.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="cinderpost-")
+    return _LOCAL_FOLDERS[application]
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

@@ -80,6 +80,15 @@ def test_empty_posts_and_ties(spark, prepared):
     assert scored["score0"] == pytest.approx(math.log(0.5)) and scored["pred"] == 0
 
 
+@pytest.mark.parametrize("classifier", ["NaiveBayes", "Logistic"])
+def test_unmatched_labels_are_refused(prepared, classifier):
+    wrong = prepared.withColumn("target", F.lit(-1))
+    short = network.Settings(rounds=1)
+    experiment = runs.Experiment("NoStem", "Binary", classifier, select_on="test", network=short)
+    with pytest.raises(Exception, match="target outside 0/1"):
+        runs.train(wrong, experiment)
+
+
 def test_threshold_and_argmax(spark):
     df = spark.createDataFrame([(0.5, [1.0, 3.0, 3.0])], "p double, s array<double>")
     row = df.select(threshold(F.col("p")).alias("t"), first_argmax(F.col("s")).alias("a")).first()

@@ -139,6 +139,11 @@ def test_stems_of_arrays(spark):
     assert found == [["fire", "fire", "run"], [], ["fli"]]
 
 
+def test_flatten(posts):
+    rows = K.flatten(K.with_tokens(posts)).filter("id = 5").orderBy("pos").collect()
+    assert [(r["pos"], r["token"]) for r in rows] == [(0, "lovely"), (1, "sunny"), (2, "day")]
+
+
 def test_unknown_option(posts):
     with pytest.raises(ValueError):
         K.with_tokens(posts, "stem")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import scoring as S
 from cinderpost.operators import features as E
 from cinderpost.operators.lookup import keyed_lookup
-from cinderpost.session import stage
+from cinderpost.session import bucketed_stage, stage
 
 
 def logistic_score(rows: DataFrame, weights: DataFrame) -> DataFrame:
@@ -49,10 +49,14 @@ def mse_gradient_step(rows: DataFrame, weights: DataFrame, rate: float) -> DataF
 
 
 def descend(rows: DataFrame, weights: DataFrame, rate: float, steps: int) -> DataFrame:
-    """``feature, w`` after several full-batch steps; every step is written, so the lineage
-    stays short. Features of ``rows`` without a weight start from 0."""
-    for _ in range(steps):
-        weights = stage(mse_gradient_step(rows, weights, rate), "descent")
+    """``feature, w`` after several full-batch steps; features without a weight start from 0.
+
+    The rows are bucketed by post once, so that a step only shuffles sums per feature. Every
+    step is written, which keeps the lineage short.
+    """
+    with bucketed_stage(rows, "descent_rows", "id") as placed:
+        for _ in range(steps):
+            weights = stage(mse_gradient_step(placed, weights, rate), "descent")
     return weights
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import scoring as S
 from cinderpost.operators.batches import BATCH
 from cinderpost.operators.lookup import keyed_lookup
-from cinderpost.session import stage
+from cinderpost.session import bucketed_stage, stage
 
 # Names that stand beside the features in the weight table.
 OUTPUT = "2"
@@ -169,7 +169,7 @@ def _shards(train: DataFrame, n_shards: int, hidden: int) -> tuple[DataFrame, Da
         columns = columns.unionByName(
             output.select("shard", F.lit(OUTPUT).alias("feature"), F.lit(-1).alias("column"))
         )
-    return stage(posts, "shard-posts"), columns
+    return posts, columns
 
 
 @dataclass
@@ -198,54 +198,70 @@ class NetworkModel:
         return scored.withColumn("pred", S.threshold(F.col("p")))
 
 
+def _round(
+    posts: DataFrame,
+    columns: DataFrame,
+    weights: DataFrame,
+    settings: Settings,
+    round_no: int,
+    n_shards: int,
+) -> tuple[DataFrame, list[float]]:
+    """Weights after one round, and its loss sum, batches, hits and posts."""
+    # A feature occurs here at most once per shard, so no key is hot.
+    local = columns.join(weights, "feature")
+    changes = (
+        posts.groupBy("shard")
+        .cogroup(local.groupBy("shard"))
+        .applyInPandas(
+            _shard_step(settings, round_no),
+            "feature string, old array<double>, delta array<double>",
+        )
+    )
+    sums = [F.sum(F.get("delta", F.lit(i))) for i in range(max(settings.hidden + 1, 4))]
+    merged = stage(
+        changes.groupBy("feature").agg(
+            F.any_value("old").alias("old"), F.array_compact(F.array(*sums)).alias("delta")
+        ),
+        "round",
+    )
+    moved = F.zip_with("old", "delta", lambda w, d: w + d / n_shards)
+    stats = merged.filter(F.col("feature") == STATS).select("delta").first()["delta"]
+    return merged.filter(F.col("feature") != STATS).select("feature", moved.alias("w")), stats
+
+
+def _accuracy(model: NetworkModel, validation: DataFrame) -> float:
+    hit = (F.col("pred") == F.col("target")).cast("double")
+    share = model.score(validation).agg(F.avg(hit)).first()[0]
+    if share is None:
+        raise ValueError("there are no validation posts to choose a round on")
+    return 100.0 * share
+
+
 def fit(
     train: DataFrame, validation: DataFrame, settings: Settings, run_id: str = "run"
 ) -> NetworkModel:
     """Train on written rows ``id, target, feature, value`` that include the bias rows.
 
     The best round by ``validation`` accuracy is kept, and training stops when a round falls
-    below the ``window - 1`` rounds before it. The driver reads two rows per round.
+    below the ``window - 1`` rounds before it. The driver reads two rows per round. The posts
+    are bucketed by shard once, so a round shuffles weights and their changes only.
     """
-    spark = train.sparkSession
     n_shards = max(1, -(-train.count() // settings.rows_per_shard))
-    posts, columns = _shards(train, n_shards, settings.hidden)
+    sharded, columns = _shards(train, n_shards, settings.hidden)
     names = columns.filter(F.col("column") >= 0).select("feature").distinct()
-    weights = stage(initial_weights(names, settings), "weights")
-    width = max(settings.hidden + 1, 4)
-    best, curve = weights, []
-    for round_no in range(1, settings.rounds + 1):
-        # A feature occurs here at most once per shard, so no key is hot.
-        local = columns.join(weights, "feature")
-        changes = (
-            posts.groupBy("shard")
-            .cogroup(local.groupBy("shard"))
-            .applyInPandas(
-                _shard_step(settings, round_no),
-                "feature string, old array<double>, delta array<double>",
+    best = weights = stage(initial_weights(names, settings), "weights")
+    curve = []
+    with bucketed_stage(sharded, "posts", "shard") as posts:
+        for round_no in range(1, settings.rounds + 1):
+            weights, (loss, batches, hits, seen) = _round(
+                posts, columns, weights, settings, round_no, n_shards
             )
-        )
-        sums = [F.sum(F.get("delta", F.lit(i))) for i in range(width)]
-        merged = stage(
-            changes.groupBy("feature").agg(
-                F.any_value("old").alias("old"), F.array_compact(F.array(*sums)).alias("delta")
-            ),
-            "round",
-        )
-        weights = merged.filter(F.col("feature") != STATS).select(
-            "feature", F.zip_with("old", "delta", lambda w, d: w + d / n_shards).alias("w")
-        )
-        loss, batches, hits, seen = (
-            merged.filter(F.col("feature") == STATS).select("delta").first()["delta"]
-        )
-        scored = NetworkModel(weights, settings.hidden).score(validation)
-        share = scored.agg(F.avg((F.col("pred") == F.col("target")).cast("double"))).first()[0]
-        if share is None:
-            raise ValueError("there are no validation posts to choose a round on")
-        accuracy = 100.0 * share
-        earlier = [row[-1] for row in curve]
-        curve.append((run_id, round_no, loss / batches, 100.0 * hits / seen, accuracy))
-        if accuracy > max([0.0, *earlier]):
-            best = weights
-        if round_no >= settings.window and accuracy < min(earlier[-(settings.window - 1) :]):
-            break
-    return NetworkModel(best, settings.hidden, spark.createDataFrame(curve, HISTORY))
+            accuracy = _accuracy(NetworkModel(weights, settings.hidden), validation)
+            earlier = [row[-1] for row in curve]
+            curve.append((run_id, round_no, loss / batches, 100.0 * hits / seen, accuracy))
+            if accuracy > max([0.0, *earlier]):
+                best = weights
+            if round_no >= settings.window and accuracy < min(earlier[-(settings.window - 1) :]):
+                break
+    history = train.sparkSession.createDataFrame(curve, HISTORY)
+    return NetworkModel(best, settings.hidden, history)

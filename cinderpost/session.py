@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,25 @@ def build_session(app: str = "cinderpost", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+@contextmanager
+def bucketed_stage(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """Like ``stage``, hash-bucketed by ``key``: grouping by ``key`` then needs no shuffle.
+
+    For a table that is grouped many times, as in training rounds. The table is registered
+    only inside the ``with`` block.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"cinderpost_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/cinderpost/{table}"
+    writer = df.repartition(buckets, key).write.format("parquet").option("path", path)
+    writer.bucketBy(buckets, key).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per session; they may not have it."""
     context = spark.sparkContext

@@ -14,6 +14,10 @@ from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.session import bucketed_stage, stage
 
 
+# Feature rows worth a bucket of their own in full-batch training.
+ROWS_PER_BUCKET = 50_000
+
+
 def logistic_score(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """``id, target, p, pred`` of rows ``id, target, feature, value``.
 
@@ -54,7 +58,8 @@ def descend(rows: DataFrame, weights: DataFrame, rate: float, steps: int) -> Dat
     The rows are bucketed by post once, so that a step only shuffles sums per feature. Every
     step is written, which keeps the lineage short.
     """
-    with bucketed_stage(rows, "descent_rows", "id") as placed:
+    useful = -(-rows.count() // ROWS_PER_BUCKET)
+    with bucketed_stage(rows, "descent_rows", "id", useful) as placed:
         for _ in range(steps):
             weights = stage(mse_gradient_step(placed, weights, rate), "descent")
     return weights

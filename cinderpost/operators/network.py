@@ -251,7 +251,7 @@ def fit(
     names = columns.filter(F.col("column") >= 0).select("feature").distinct()
     best = weights = stage(initial_weights(names, settings), "weights")
     curve = []
-    with bucketed_stage(sharded, "posts", "shard") as posts:
+    with bucketed_stage(sharded, "posts", "shard", n_shards) as posts:
         for round_no in range(1, settings.rounds + 1):
             weights, (loss, batches, hits, seen) = _round(
                 posts, columns, weights, settings, round_no, n_shards

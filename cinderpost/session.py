@@ -32,14 +32,15 @@ def build_session(app: str = "cinderpost", master: str | None = None, **conf) ->
 
 
 @contextmanager
-def bucketed_stage(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+def bucketed_stage(df: DataFrame, name: str, key: str, useful: int) -> Iterator[DataFrame]:
     """Like ``stage``, hash-bucketed by ``key``: grouping by ``key`` then needs no shuffle.
 
-    For a table that is grouped many times, as in training rounds. The table is registered
-    only inside the ``with`` block.
+    For a table that is grouped many times, as in training rounds. There are as many buckets as
+    shuffle partitions, but no more than ``useful``. The table is registered only inside the
+    ``with`` block.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), useful))
     table = f"cinderpost_{name}_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/cinderpost/{table}"
     writer = df.repartition(buckets, key).write.format("parquet").option("path", path)

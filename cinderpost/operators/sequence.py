@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from cinderpost.functions import text as X
 from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.operators.unroll import unroll_structs
+from cinderpost.session import stage
+from cinderpost.sources.stages import StageStore
 
 
 def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
@@ -37,13 +40,17 @@ def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
 def pool_posts(tokenized: DataFrame, embedding: DataFrame) -> DataFrame:
     """``id, target, features``: mean vector of a post's tokens.
 
-    ``embedding`` is any written ``term, vec`` table. Posts without a known token drop out.
+    ``embedding`` is any written ``term, vec`` table. A post without a known token gets zeros.
     """
-    counted = X.term_counts(tokenized.select("id", "target", "tokens"), "tokens", "counts")
-    rows = unroll_structs(counted, ["id", "target"], "counts", "term")
+    counted = X.term_counts(tokenized.select("id", "tokens"), "tokens", "counts")
+    rows = unroll_structs(counted, ["id"], "counts", "term")
     found = keyed_lookup(rows, embedding, "term", "inner")
     mean = Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>")), F.col("tf").cast("double"))
-    return found.groupBy("id").agg(F.max("target").alias("target"), mean.alias("features"))
+    pooled = found.groupBy("id").agg(mean.alias("features"))
+    size = embedding.agg(F.max(F.size("vec"))).scalar()
+    zeros = array_to_vector(F.array_repeat(F.lit(0.0), size))
+    every = tokenized.select("id", "target").join(pooled, "id", "left")
+    return every.select("id", "target", F.coalesce("features", zeros).alias("features"))
 
 
 def pool_vectors(vectors: DataFrame, group: str, vec: str) -> DataFrame:
@@ -53,11 +60,30 @@ def pool_vectors(vectors: DataFrame, group: str, vec: str) -> DataFrame:
     return pooled.select(group, F.posexplode(vector_to_array("_mean")).alias("pos", "mean_value"))
 
 
-def sequence_fit(pooled: DataFrame) -> LogisticRegressionModel:
-    """Classifier over pooled vectors; its state is as long as one vector."""
-    return LogisticRegression(labelCol="target", maxIter=50, regParam=0.01).fit(pooled)
+@dataclass
+class SequenceModel:
+    """Word vectors and a classifier over pooled vectors, whose state is as long as one vector."""
 
+    embedding: DataFrame
+    classifier: LogisticRegressionModel
 
-def sequence_predict(model: LogisticRegressionModel, pooled: DataFrame) -> DataFrame:
-    scored = model.transform(pooled)
-    return scored.select("id", "target", F.col("prediction").cast("int").alias("pred"))
+    @staticmethod
+    def fit(train: DataFrame, embedding: DataFrame) -> SequenceModel:
+        pooled = stage(pool_posts(train, embedding), "pooled")
+        learner = LogisticRegression(labelCol="target", maxIter=50, regParam=0.01)
+        return SequenceModel(embedding, learner.fit(pooled))
+
+    def predict(self, tokenized: DataFrame) -> DataFrame:
+        """``id, target, pred`` of every post."""
+        scored = self.classifier.transform(pool_posts(tokenized, self.embedding))
+        return scored.select("id", "target", F.col("prediction").cast("int").alias("pred"))
+
+    def save(self, store: StageStore, **facts) -> None:
+        store.save(self.embedding, "sequence-embedding", **facts)
+        path = store.path("sequence-classifier", **facts)
+        self.classifier.write().overwrite().save(path)
+
+    @staticmethod
+    def load(store: StageStore, **facts) -> SequenceModel:
+        classifier = LogisticRegressionModel.load(store.path("sequence-classifier", **facts))
+        return SequenceModel(store.load("sequence-embedding", **facts), classifier)

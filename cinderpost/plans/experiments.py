@@ -183,13 +183,8 @@ def run_sequence_experiment(
     prepared = prepare_once(posts, stemming)
     terms = vocab.vocabulary(prepared)
     embedding = stage(sequence.random_embedding(terms, size, seed), "embedding")
-    pooled = stage(
-        sequence.pool_posts(part(prepared, "train"), embedding), "train-pooled"
-    )
-    model = sequence.sequence_fit(pooled)
-    predicted = sequence.sequence_predict(
-        model, sequence.pool_posts(part(prepared, "test"), embedding)
-    )
+    model = sequence.SequenceModel.fit(part(prepared, "train"), embedding)
+    predicted = model.predict(part(prepared, "test"))
     run_id = F.lit(f"{stemming}-WordEmbedding-Pooled").alias("run_id")
     return evaluate.eval_report(predicted.select(run_id, "pred", "target"))
 

@@ -170,7 +170,17 @@ def test_word_vectors(prepared):
     found = {r["id"]: r["m"] for r in pooled.select("id", vector_to_array("features").alias("m")).collect()}
     tokens = {r["id"]: r["tokens"] for r in prepared.collect()}
     assert np.allclose(found[2], np.mean([again[t] for t in tokens[2]], axis=0), atol=1e-5)
-    assert 9 not in found
+    assert list(found[9]) == [0.0] * 16 and len(found) == 10
+
+
+def test_saved_sequence_model_predicts_the_same(spark, prepared, tmp_path):
+    table = stage(sequence.random_embedding(vocab.vocabulary(prepared), 16), "vectors")
+    model = sequence.SequenceModel.fit(runs.part(prepared, "train"), table)
+    store = StageStore(spark, str(tmp_path))
+    model.save(store, data="v1")
+    again = sequence.SequenceModel.load(store, data="v1")
+    direct = sorted(model.predict(prepared).collect())
+    assert sorted(again.predict(prepared).collect()) == direct and len(direct) == 10
 
 
 @pytest.mark.parametrize("classifier", P.CLASSIFIERS)

@@ -101,4 +101,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/cinderpost/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._stage_path = path
+    return written
+
+
+def discard(*stages: DataFrame) -> None:
+    """Delete the files of stages that nothing reads any more; other frames are left alone.
+
+    Call it only after everything derived from them was written itself.
+    """
+    for df in stages:
+        path = getattr(df, "_stage_path", None)
+        if path:
+            delete_folder(df.sparkSession, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

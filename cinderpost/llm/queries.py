@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, mixing
+from cinderpost.llm import chat, decontaminate, linkgraph, mixing, secrets
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -31,8 +31,29 @@ def op5_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(chat.neighbour_pairs(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans that look like secrets, with corpus-wide ownership."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share ten words in a row with an item of the benchmark."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.find_contamination(docs, items).drop("_key")
+
+
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by the longest fitting rule, else by trust propagated between hosts."""
+    return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)

@@ -148,8 +148,11 @@ def find_contamination(
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
-    """The documents that share no window with any item, as they are."""
+    """The documents that share no window with any item, as they are.
+
+    Names of columns that begin with two underscores are reserved.
+    """
     found = find_contamination(docs, items, **settings)
-    bad = stage(found.filter("contaminated").select("_key").distinct(), "contaminated")
-    rows = docs.withColumn("_key", row_key())
-    return joined(rows, bad, "_key", "left_anti").drop("_key")
+    bad = stage(found.filter("contaminated").select(F.col("_key").alias("__key")).distinct(), "contaminated")
+    rows = docs.withColumn("__key", row_key())
+    return joined(rows, bad, "__key", "left_anti").drop("__key")

@@ -138,19 +138,21 @@ class Mix:
     def apply(self, docs: DataFrame, size: Column | None = None, h: Column | None = None) -> DataFrame:
         """Add size, source_size, target and taken (words, repeats counted) to documents."""
         names = ["size", "source_size", "target", "taken"]
-        keep = [c for c in docs.columns if c not in names and not c.startswith("_mix")]
+        keep = [c for c in docs.columns if c not in names]
         rows = docs.select(
             *keep,
-            source_key().alias("_mix_key"),
+            source_key().alias("__source"),
             (size_of() if size is None else size).alias("size"),
-            (draw(self.seed) if h is None else h).alias("_mix_h"),
+            (draw(self.seed) if h is None else h).alias("__draw"),
         )
-        side = self.sources.withColumnsRenamed({"_g": "_mix_key", "_whole": "_mix_whole"})
-        both = joined(rows, side, "_mix_key", "left")
-        chosen = F.col("_mix_h") <= F.when(
-            F.col("size") * BIG_SHARE > F.col("source_size"), F.col("_cut_big")
-        ).otherwise(F.col("_cut_small"))
-        times = F.coalesce(F.col("_mix_whole") + F.when(chosen, 1).otherwise(0), F.lit(0))
+        side = self.sources.withColumnsRenamed(
+            {"_g": "__source", "_whole": "__whole", "_cut_big": "__cut_big", "_cut_small": "__cut_small"}
+        )
+        both = joined(rows, side, "__source", "left")
+        chosen = F.col("__draw") <= F.when(
+            F.col("size") * BIG_SHARE > F.col("source_size"), F.col("__cut_big")
+        ).otherwise(F.col("__cut_small"))
+        times = F.coalesce(F.col("__whole") + F.when(chosen, 1).otherwise(0), F.lit(0))
         return both.select(
             *keep, "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken")
         )
@@ -172,12 +174,12 @@ def plan_mix(
     target by half of one small document unless it has no small ones.
 
     Null sources are one source; null and empty texts have size 0 and take nothing; rows with
-    the same id and text are taken alike; columns named like the result's are replaced.
+    the same id and text are taken alike; columns named like the result's are replaced;
+    names that begin with two underscores are reserved.
     """
-    kept = [c for c in docs.columns if c not in ("text", "size", "_h", "_g", "_size")]
     sized = stage(
         docs.select(
-            *kept, source_key().alias("_g"), size_of().alias("_size"), draw(seed).alias("_h")
+            "doc_id", "source", source_key().alias("_g"), size_of().alias("_size"), draw(seed).alias("_h")
         ),
         "mix-sized",
     )

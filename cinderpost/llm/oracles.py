@@ -99,3 +99,41 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n
   sha256(coalesce(n.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
+
+ORACLES["op6_line_dedup"] = r"""
+WITH texts AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS ls, text FROM documents),
+raw AS (SELECT doc_id, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM texts),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM raw),
+filled AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM counted WHERE w > 0),
+ahead AS (
+  SELECT doc_id, i, list(w) OVER f AS ws, list(line) OVER f AS ls, list(pos) OVER f AS ps
+  FROM filled WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)),
+behind AS (
+  SELECT doc_id, i, list(w) OVER f AS ws, list(line) OVER f AS ls, list(pos) OVER f AS ps
+  FROM filled WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+begun AS (
+  SELECT *, list_min(list_filter(range(1, len(ws) + 1), lambda n: list_sum(ws[1:n]) >= 10)) AS n FROM ahead),
+ended AS (
+  SELECT *, list_min(list_filter(range(1, len(ws) + 1), lambda n: list_sum(ws[len(ws) - n + 1:len(ws)]) >= 10)) AS n FROM behind),
+runs AS (
+  SELECT doc_id, i, ls[1:n] AS run, i + n - 1 AS j FROM begun WHERE n IS NOT NULL
+  UNION
+  SELECT doc_id, i - n + 1, ls[len(ls) - n + 1:len(ls)], i FROM ended WHERE n IS NOT NULL),
+placed AS (SELECT *, first_value((doc_id, i)) OVER (PARTITION BY run ORDER BY doc_id, i) AS origin FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM placed WHERE (doc_id, i) > origin),
+worded AS (
+  SELECT f.doc_id, f.pos, g.i IS NOT NULL AS gone FROM filled f LEFT JOIN gone g ON f.doc_id = g.doc_id AND f.i = g.i),
+sided AS (
+  SELECT r.doc_id, r.pos, r.line,
+    last_value(w.gone IGNORE NULLS) OVER (PARTITION BY r.doc_id ORDER BY r.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    AND first_value(w.gone IGNORE NULLS) OVER (PARTITION BY r.doc_id ORDER BY r.pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS removed
+  FROM raw r LEFT JOIN worded w ON r.doc_id = w.doc_id AND r.pos = w.pos),
+marked AS (
+  SELECT *, lag(coalesce(removed, false), 1, false) OVER (PARTITION BY doc_id ORDER BY pos) AS before
+  FROM (SELECT doc_id, pos, line, coalesce(removed, false) AS removed FROM sided))
+SELECT t.doc_id, len(t.ls)::BIGINT AS n_lines,
+  (count(*) FILTER (WHERE removed))::BIGINT AS n_removed,
+  (count(*) FILTER (WHERE removed AND NOT before))::BIGINT AS n_runs,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT removed), '')) AS kept_sha256
+FROM texts t LEFT JOIN marked m ON t.doc_id = m.doc_id GROUP BY t.doc_id, t.ls
+"""

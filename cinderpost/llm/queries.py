@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, linkgraph, mixing, secrets
+from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, secrets
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -31,6 +31,14 @@ def op5_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(chat.neighbour_pairs(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per document, how many go as later copies, and a digest of what stays."""
+    kept = lines.without_repeats(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", "n_runs", digest)
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans that look like secrets, with corpus-wide ownership."""

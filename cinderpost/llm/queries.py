@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, secrets
+from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, secrets
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -25,6 +25,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose five-word shingles are similar at 0.8 or more."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 @query
 def op5_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2k (chosen) and 2k+1 (rejected) as prompt and masked completions."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, secrets
+from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, quality, secrets, topk
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -25,6 +26,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by positive-unlabelled learning."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer products of every hundredth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.pmod("vec_id", F.lit(100)) == 0)
+
+
 @query
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose five-word shingles are similar at 0.8 or more."""
@@ -72,3 +86,6 @@ URL_RULES = (
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages by the longest fitting rule, else by trust propagated between hosts."""
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+Q["pipeline"] = corpus_pipeline.run

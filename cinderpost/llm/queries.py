@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, quality, secrets, topk
+from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, quality, secrets, substrings, topk
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -60,6 +60,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", "n_runs", digest)
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that strings of 200 bytes found elsewhere too take from every document."""
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans that look like secrets, with corpus-wide ownership."""

@@ -4,6 +4,8 @@ Patterns are written so that Java (Spark) and RE2 (DuckDB) read them alike: no l
 no back references, explicit character classes.
 """
 
+import hashlib
+
 # Patterns the cleaning steps must agree on.
 URL = r"https?://[!$-_a-z]+"
 ENTITY = r"&[(amp)(gt)(lt)]+;"
@@ -20,15 +22,14 @@ BLANKS = (
 )
 
 # Token shapes of social-media text, tried in this order at each position.
-# Leading runs are bounded so that a long row of dashes or hashes is read in linear time.
 TOKEN_SHAPES = {
     "url": r"https?://[!$-_a-z]+",
     "emoticon": r"[<>]?[:;=8][-o*']?[)(\]\[dDpP/:{}@|\\]",
     "mirrored emoticon": r"[)(\]\[dDpP/:{}@|\\][-o*']?[:;=8][<>]?",
     "markup tag": r"<[^<> ]+>",
-    "arrow": r"-{1,16}>|<-+",
+    "arrow": r"-+>|<-+",
     "handle": r"@[A-Za-z0-9_]+",
-    "hashtag": r"#{1,16}[\p{L}\p{N}_][\p{L}\p{N}_'-]*[\p{L}\p{N}_]",
+    "hashtag": r"#+[\p{L}\p{N}_][\p{L}\p{N}_'-]*[\p{L}\p{N}_]",
     "word with inner marks": r"\p{L}[\p{L}'_-]+\p{L}",
     "number with inner marks": r"[+-]?\p{Nd}+[,/.:-]\p{Nd}+[+-]?",
     "plain word": r"[\p{L}\p{N}_]+",
@@ -36,6 +37,10 @@ TOKEN_SHAPES = {
     "single sign": r"[^ ]",
 }
 TOKEN = "|".join(TOKEN_SHAPES.values())
+# The same tokens for Java's matcher, which would read a long row of dashes or hashes again from
+# each of its signs: such a token is only tried where its row begins, or where a number has just
+# taken the first dash. Anywhere else it would have been found, or ruled out, at the beginning.
+JAVA_TOKEN = TOKEN.replace("-+>", r"(?:(?<!-)|(?<=\p{Nd}-))-+>").replace("#+[", "(?<!#)#+[")
 
 # Contraction endings are split from tokens that start with letters, an apostrophe and a
 # letter. Tokens are held one per line, so ^ and $ are token borders.
@@ -69,3 +74,9 @@ WEIGHTINGS = ("Frequency", "Binary", "TFIDF")
 CLASSIFIERS = ("NaiveBayes", "Logistic", "FFNN")
 SPLITS = ("train", "test")
 PAD = "<pad>"
+
+
+def version() -> str:
+    """Digest of every pattern and list above, for what is stored under them."""
+    values = {k: v for k, v in globals().items() if k.isupper()}
+    return hashlib.sha256(repr(sorted(values.items())).encode()).hexdigest()[:16]

@@ -121,7 +121,7 @@ def remove_stop_words(df: DataFrame, col: str, legacy: bool = False) -> DataFram
 
 def tokenize(text: Column) -> Column:
     """Tokens of blank-normalized text; see ``patterns.TOKEN_SHAPES``."""
-    return F.regexp_extract_all(text, F.lit(P.TOKEN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(P.JAVA_TOKEN), F.lit(0))
 
 
 def split_contractions(tokens: Column) -> Column:

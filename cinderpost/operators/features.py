@@ -23,6 +23,11 @@ WORD = "w:"
 FEATURE = "struct<feature:string,value:double>"
 
 
+def carried(df: DataFrame, *names: str) -> list[str]:
+    """Those of ``names`` that ``df`` has; posts to be scored need no ``target``."""
+    return [name for name in names if name in df.columns]
+
+
 def term_frequency(tokenized: DataFrame) -> DataFrame:
     """``id, term, tf``; counted inside each row."""
     counted = X.term_counts(tokenized.select("id", "tokens"), "tokens", "counts")
@@ -87,11 +92,13 @@ def keyword_onehot(posts: DataFrame) -> DataFrame:
 
 
 def with_features(prepared: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id``, the ``keep`` columns, ``feature, value``; words carry their term frequency.
+    """``id``, the ``keep`` columns that there are, ``feature, value``; words carry their term
+    frequency.
 
     All features of a post are laid out inside its row and then unrolled: no shuffle, and
     every post has at least its bias row.
     """
+    keep = tuple(carried(prepared, *keep))
     rows = X.term_counts(prepared, "tokens", "counts")
     words = F.transform(
         "counts", lambda c: _feature(F.concat(F.lit(WORD), c["term"]), c["tf"])

@@ -1,4 +1,8 @@
-"""Model selection and early stop over training curves ``run_id, epoch, test_acc``."""
+"""Model selection and early stop over training curves ``run_id, epoch, test_acc``.
+
+``is_kept`` and ``stops`` are the rules for one round of a run in progress; ``best_checkpoint``
+and ``early_stop`` apply the same rules to tables of finished runs.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def is_kept(earlier: list[float], value: float) -> bool:
+    """Whether a model is kept: it beats every earlier round and zero."""
+    return value > max([0.0, *earlier])
+
+
+def stops(earlier: list[float], value: float, window: int) -> bool:
+    """Whether a run ends: from round ``window`` on, below the ``window - 1`` rounds before."""
+    return len(earlier) + 1 >= window and value < min(earlier[-(window - 1) :])
+
+
 def best_checkpoint(history: DataFrame) -> DataFrame:
     """``run_id, epoch, test_acc`` of the model kept last.
 

@@ -2,93 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.functions import scoring as S
-from cinderpost.operators import features as E
+from cinderpost.operators import network
+from cinderpost.operators.features import carried
 from cinderpost.operators.lookup import keyed_lookup
-from cinderpost.session import bucketed_stage, stage
-
-
-# Feature rows worth a bucket of their own in full-batch training.
-ROWS_PER_BUCKET = 50_000
+from cinderpost.session import stage
 
 
 def logistic_score(rows: DataFrame, weights: DataFrame) -> DataFrame:
-    """``id, target, p, pred`` of rows ``id, target, feature, value``.
+    """``id, target, p, pred`` of rows ``id, feature, value``; ``target`` only if there is one.
 
     ``weights`` is ``feature, w``; the bias is the weight of the bias feature. Features
     without a weight count as weight 0, so every post keeps a score.
     """
     found = keyed_lookup(rows, weights, "feature")
+    kept = carried(rows, "target")
     z = F.sum(F.col("value") * F.coalesce("w", F.lit(0.0)))
-    scored = found.groupBy("id").agg(F.max("target").alias("target"), S.sigmoid(z).alias("p"))
+    scored = found.groupBy("id").agg(*[F.max(c).alias(c) for c in kept], S.sigmoid(z).alias("p"))
     return scored.withColumn("pred", S.threshold(F.col("p")))
 
 
-def mse_gradient_step(rows: DataFrame, weights: DataFrame, rate: float) -> DataFrame:
-    """``feature, w`` after one step down the mean squared error over all posts.
-
-    Scores are window sums per post, so rows are shuffled once by post and once, already
-    summed up per task, by feature.
-    """
-    p, y = F.col("_p"), F.col("target")
-    found = keyed_lookup(rows, weights, "feature").withColumn("w", F.coalesce("w", F.lit(0.0)))
-    z = F.sum(F.col("value") * F.col("w")).over(Window.partitionBy("id"))
-    slope = 2.0 * (p - y) * p * (1.0 - p)
-    n_posts = rows.filter(F.col("feature") == E.BIAS).agg(F.count("*").alias("n")).scalar()
-    return (
-        found.withColumn("_p", S.sigmoid(z))
-        .groupBy("feature")
-        .agg(
-            F.max("w").alias("w"),
-            F.sum(slope * F.col("value")).alias("_gradient"),
-        )
-        .select("feature", (F.col("w") - rate * F.col("_gradient") / n_posts).alias("w"))
-    )
-
-
-def descend(rows: DataFrame, weights: DataFrame, rate: float, steps: int) -> DataFrame:
-    """``feature, w`` after several full-batch steps; features without a weight start from 0.
+def descend(
+    rows: DataFrame,
+    weights: DataFrame,
+    rate: float,
+    steps: int,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """``feature, w`` after full-batch steps over written rows ``id, target, feature, value``.
 
-    The rows are bucketed by post once, so that a step only shuffles sums per feature. Every
-    step is written, which keeps the lineage short.
+    Every feature of the rows has a weight; those that ``weights`` leaves out start from 0.
     """
-    useful = -(-rows.count() // ROWS_PER_BUCKET)
-    with bucketed_stage(rows, "descent_rows", "id", useful) as placed:
-        for _ in range(steps):
-            weights = stage(mse_gradient_step(placed, weights, rate), "descent")
-    return weights
-
-
-def hashed_pipeline(buckets: int = 1 << 18, binary: bool = False) -> Pipeline:
-    """Spark ML logistic regression over hashed features, a stated deviation: log loss in
-    place of squared error, and features may share a bucket. Its size is fixed by ``buckets``."""
-    hashing = HashingTF(
-        inputCol="names", outputCol="features", numFeatures=buckets, binary=binary
-    )
-    return Pipeline(stages=[hashing, LogisticRegression(labelCol="target", maxIter=20)])
-
-
-def feature_names(prepared: DataFrame) -> DataFrame:
-    """Add ``names``: every feature of a post, repeated as often as it counts."""
-    words = F.transform("tokens", lambda t: F.concat(F.lit(E.WORD), t))
-    extra = F.concat(
-        F.array_repeat(F.lit("loc"), F.col("loc")),
-        F.array_repeat(F.lit("url"), F.col("url")),
-        F.array(E.keyword_feature(F.col("keyword"))),
+    start = (
+        rows.select("feature")
+        .distinct()
+        .join(weights, "feature", "left")
+        .select("feature", F.array(F.coalesce("w", F.lit(0.0))).alias("w"))
     )
-    return prepared.withColumn("names", F.concat(words, extra))
-
+    found = network.descend(rows, stage(start, "weights"), 0, rate, steps, broadcast_bytes)
+    return found.select("feature", F.get("w", F.lit(0)).alias("w"))
 
-def hashed_fit(train: DataFrame, **options) -> PipelineModel:
-    return hashed_pipeline(**options).fit(feature_names(train))
 
-
-def hashed_predict(model: PipelineModel, posts: DataFrame) -> DataFrame:
-    scored = model.transform(feature_names(posts))
-    return scored.select("id", "target", F.col("prediction").cast("int").alias("pred"))
+def mse_gradient_step(rows: DataFrame, weights: DataFrame, rate: float) -> DataFrame:
+    """``feature, w`` after one step down the mean squared error over all posts."""
+    return descend(rows, weights, rate, 1)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderpost.session import stage
+from cinderpost.session import bucketed_stage, discard, stage
 
 BROADCAST_BYTES = 48 << 20
 HOT_KEYS = 4096
@@ -72,3 +76,60 @@ def keyed_lookup(
         table.select(key, *values), key, how
     )
     return hot.unionByName(cold)
+
+
+@dataclass
+class PlacedRows:
+    """Rows that are summed again and again with a table that changes: by post and by feature.
+
+    ``by_post`` is bucketed by the post. When a table of all features is too large to broadcast,
+    the features of ``hot`` are known, and ``rare``, bucketed by the feature, holds the rows of
+    all others; both are made once.
+    """
+
+    by_post: DataFrame
+    labels: DataFrame
+    post: str
+    hot: DataFrame | None = None
+    rare: DataFrame | None = None
+
+    def sums(self, table: DataFrame, key: str, sums: list[Column]) -> DataFrame:
+        """``sums`` (aliased) per post over its rows with their entry of ``table``."""
+        if self.rare is None:
+            return self.by_post.join(F.broadcast(table), key, "left").groupBy(self.post).agg(*sums)
+        # Hot features stay with their posts. Rare ones meet the table where they lie by
+        # feature; what they add up to, one row per post and task, is all that is shuffled.
+        entries = table.join(F.broadcast(self.hot), key, "left_semi")
+        near = self.by_post.join(F.broadcast(entries), key).groupBy(self.post).agg(*sums)
+        far = self.rare.join(table, key, "left").groupBy(self.post).agg(*sums)
+        names = [c for c in near.columns if c != self.post]
+        return near.unionByName(far).groupBy(self.post).agg(*[F.sum(c).alias(c) for c in names])
+
+
+@contextmanager
+def placed_rows(
+    rows: DataFrame,
+    post: str,
+    key: str,
+    label: str,
+    bias: str,
+    width: int,
+    broadcast_bytes: int | None = None,
+) -> Iterator[PlacedRows]:
+    """Lay out written rows once for many rounds; every post has one row of feature ``bias``.
+
+    The tables to come hold ``width`` numbers per feature, from which their size is known.
+    """
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    with bucketed_stage(rows, "by_post", post) as by_post:
+        labels = stage(by_post.filter(F.col(key) == bias).select(post, label), "labels")
+        counts = stage(by_post.groupBy(key).agg(F.count("*").alias("n")), "feature-counts")
+        if measured_bytes(counts) + 8 * width * counts.count() <= limit:
+            yield PlacedRows(by_post, labels, post)
+        else:
+            hot = stage(well_supported(counts, key, "n").select(key), "hot-keys")
+            cold = by_post.join(F.broadcast(hot), key, "left_anti")
+            with bucketed_stage(cold, "by_feature", key) as rare:
+                yield PlacedRows(by_post, labels, post, hot, rare)
+            discard(hot)
+        discard(labels, counts)

@@ -135,7 +135,8 @@ def score(
 ) -> DataFrame:
     """``id, target, weighting, score0, score1``; all weightings share one join.
 
-    A post without known tokens is scored by its other features and the prior.
+    ``target`` is carried along if the posts have one. A post without known tokens is scored by
+    its other features and the prior.
     """
     for weighting in weightings:
         check_option(weighting, P.WEIGHTINGS, "weighting")
@@ -148,7 +149,8 @@ def score(
         sums += [
             F.sum(F.col(weighting)[f"ll{c}"] * x).alias(f"{weighting}{c}") for c in LABELS
         ]
-    wide = found.groupBy("id").agg(F.max("target").alias("target"), *sums)
+    kept = E.carried(rows, "target")
+    wide = found.groupBy("id").agg(*[F.max(c).alias(c) for c in kept], *sums)
     per_weighting = F.array(
         *(
             F.struct(
@@ -159,7 +161,7 @@ def score(
             for w in weightings
         )
     )
-    return wide.select("id", "target", F.inline(per_weighting))
+    return wide.select("id", *kept, F.inline(per_weighting))
 
 
 def predict(scores: DataFrame) -> DataFrame:

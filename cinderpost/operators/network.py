@@ -1,49 +1,51 @@
 """Logistic and one-hidden-layer sigmoid networks, trained on squared error.
 
-The weights are a table ``feature, w``; they never pass through the driver. Posts are spread
-over shards of bounded size. In a round every shard walks its own mini-batches from the
-shared weights, and the changes are averaged over the shards (Zinkevich et al., "Parallelized
-Stochastic Gradient Descent", 2010). With one shard this is plain mini-batch descent.
+Training is full-batch descent: every step sums the gradient over all posts, so the weights
+depend on the posts alone and not on how many there are, how they are spread or in what order
+they come. Mini-batches of the reference kind are a sequence over all posts and are left out.
+
+The weights are a table ``feature, w``; they never pass through the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.functions import scoring as S
-from cinderpost.operators.batches import BATCH
-from cinderpost.operators.lookup import keyed_lookup
-from cinderpost.session import bucketed_stage, stage
+from cinderpost.operators import history as H
+from cinderpost.operators.features import BIAS, carried
+from cinderpost.operators.lookup import PlacedRows, keyed_lookup, placed_rows
+from cinderpost.session import discard, stage
 
-# Names that stand beside the features in the weight table.
+# Name that stands beside the features in the weight table: the output layer and its bias.
 OUTPUT = "2"
-STATS = "#"
-ROWS_PER_SHARD = 500_000
 HISTORY = "run_id string, epoch int, loss double, train_acc double, test_acc double"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``hidden=0`` is logistic regression. A round walks every shard ``epochs`` times.
+    """``hidden=0`` is logistic regression. A round is one step over all posts.
 
-    Weights start uniformly in [0, ``start``). Long posts need a small ``start``: hundreds of
-    weights near one half add up to a score where the sigmoid has no slope.
+    Without ``rate`` it is 0.1, or 0.5 with a hidden layer. Weights start uniformly in
+    [0, ``start``). Long posts need a small ``start``: hundreds of weights near one half add up
+    to a score where the sigmoid has no slope. The early stop looks back ``window`` rounds.
     """
 
     hidden: int = 0
-    rate: float = 0.1
-    rounds: int = 10
-    epochs: int = 1
-    batch: int = BATCH
+    rate: float | None = None
+    rounds: int = 10_000
     window: int = 100
     seed: int = 7
     start: float = 1.0
-    rows_per_shard: int = ROWS_PER_SHARD
+
+    @property
+    def step(self) -> float:
+        return self.rate if self.rate is not None else (0.5 if self.hidden else 0.1)
 
 
 def _uniform(seed: Column, *parts: Column) -> Column:
@@ -67,109 +69,24 @@ def initial_weights(features: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
-
+def _sums(hidden: int) -> list[Column]:
+    """The weighted sum of every unit, as columns _z0, _z1, ..."""
+    units = range(max(hidden, 1))
+    value = F.coalesce(F.col("value"), F.lit(0.0))
+    return [F.sum(value * F.coalesce(F.get("w", F.lit(i)), F.lit(0.0))).alias(f"_z{i}") for i in units]
 
-def _walk(starts, column, value, target, first, output, settings, rng):
-    """Mini-batch descent in place on ``first`` (and ``output``); returns summed statistics.
 
-    Post ``d`` owns the cells ``starts[d]`` to ``starts[d + 1]`` of ``column`` and ``value``.
-    """
-    n = len(target)
-    loss = batches = hits = 0.0
-    order = rng.permutation(n)
-    for begin in range(0, n, settings.batch):
-        chosen = order[begin : begin + settings.batch]
-        sizes = starts[chosen + 1] - starts[chosen]
-        begins = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(chosen)), sizes)
-        rows = np.arange(sizes.sum()) + (starts[chosen] - begins)[owner]
-        col, x, y = column[rows], value[rows][:, None], target[chosen]
-        # Every post has at least its bias row, so no span is empty.
-        inner = _sigmoid(np.add.reduceat(x * first[col], begins))
-        p = _sigmoid(inner @ output[:-1] + output[-1]) if settings.hidden else inner[:, 0]
-        loss += float(np.mean((p - y) ** 2))
-        hits += int(np.sum((p > 0.5) == (y == 1)))
-        batches += 1
-        slope = 2.0 * (p - y) * p * (1.0 - p) / len(chosen)
-        if settings.hidden:
-            back = slope[:, None] * output[:-1] * inner * (1.0 - inner)
-            output[:-1] -= settings.rate * (inner.T @ slope)
-            output[-1] -= settings.rate * slope.sum()
-        else:
-            back = slope[:, None]
-        by_col = np.argsort(col, kind="stable")
-        touched, firsts = np.unique(col[by_col], return_index=True)
-        change = np.add.reduceat((x * back[owner])[by_col], firsts)
-        first[touched] -= settings.rate * change
-    return [loss, batches, hits, float(n)]
-
-
-def _shard_step(settings: Settings, round_no: int):
-    """Function for one shard: (its posts, its weights) -> weight changes."""
-
-    def step(posts: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
-        shard = int(posts["shard"].iloc[0])
-        weights = weights.sort_values("column")
-        is_output = (weights["feature"] == OUTPUT).to_numpy()
-        names = weights["feature"][~is_output]
-        old_first = np.stack(weights["w"][~is_output].to_list())
-        old_output = weights["w"][is_output].iloc[0] if settings.hidden else np.zeros(1)
-        posts = posts.sort_values("id")
-        target = posts["target"].to_numpy(float)
-        column = np.concatenate(posts["columns"].to_list())
-        value = np.concatenate(posts["values"].to_list())
-        starts = np.concatenate([[0], np.cumsum(posts["columns"].map(len))])
-        first, output = old_first.copy(), np.array(old_output, float)
-        rng = np.random.default_rng([settings.seed, round_no, shard])
-        stats = np.zeros(4)
-        for _ in range(settings.epochs):
-            stats += _walk(starts, column, value, target, first, output, settings, rng)
-        parts = {
-            "feature": [*names, STATS],
-            "old": [*old_first, np.zeros(4)],
-            "delta": [*(first - old_first), stats],
-        }
-        if settings.hidden:
-            parts["feature"].append(OUTPUT)
-            parts["old"].append(np.asarray(old_output))
-            parts["delta"].append(output - old_output)
-        return pd.DataFrame(parts)
-
-    return step
-
-
-def _shards(train: DataFrame, n_shards: int, hidden: int) -> tuple[DataFrame, DataFrame]:
-    """Posts with their features as numbered columns, and the columns of every shard.
-
-    Columns are numbered per shard, so a shard's size bounds all it needs in memory; rounds
-    then move a few numbers per post in place of feature names.
-    """
-    shard = F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("int")
-    rows = train.withColumn("shard", shard).withColumn("target", S.checked_label("target"))
-    by_name = Window.partitionBy("shard").orderBy("feature")
-    columns = rows.select("shard", "feature").distinct()
-    columns = stage(columns.withColumn("column", F.row_number().over(by_name) - 1), "columns")
-    cells = F.sort_array(F.collect_list(F.struct("column", "value")))
-    posts = (
-        rows.join(columns, ["shard", "feature"])
-        .groupBy("shard", "id")
-        .agg(F.max("target").alias("target"), cells.alias("cells"))
-        .select(
-            "shard",
-            "id",
-            "target",
-            F.col("cells.column").alias("columns"),
-            F.col("cells.value").alias("values"),
-        )
-    )
-    if hidden:
-        output = columns.select("shard").distinct()
-        columns = columns.unionByName(
-            output.select("shard", F.lit(OUTPUT).alias("feature"), F.lit(-1).alias("column"))
-        )
-    return posts, columns
+def _activated(sums: DataFrame, weights: DataFrame, hidden: int) -> DataFrame:
+    """Add ``p``, and with a hidden layer ``_inner`` (its activations) and ``_out``."""
+    if not hidden:
+        return sums.withColumn("p", S.sigmoid(F.col("_z0")))
+    last = weights.filter(F.col("feature") == OUTPUT).select("w").scalar()
+    inner = F.array(*[S.sigmoid(F.col(f"_z{i}")) for i in range(hidden)])
+    placed = sums.withColumn("_out", last).withColumn("_inner", inner)
+    z = F.get("_out", F.lit(hidden))
+    for i in range(hidden):
+        z = z + F.get("_out", F.lit(i)) * F.get("_inner", F.lit(i))
+    return placed.withColumn("p", S.sigmoid(z))
 
 
 @dataclass
@@ -179,54 +96,93 @@ class NetworkModel:
     history: DataFrame | None = None
 
     def score(self, rows: DataFrame) -> DataFrame:
-        """``id, target, p, pred`` of written rows ``id, target, feature, value``."""
+        """``id, target, p, pred`` of written rows ``id, feature, value``.
+
+        ``target`` is carried along if there is one. Every post with a row has a score;
+        features without a weight count as weight 0.
+        """
         first = self.weights.filter(F.col("feature") != OUTPUT)
-        found = keyed_lookup(rows, first, "feature", "inner")
-        units = range(max(self.hidden, 1))
-        sums = found.groupBy("id").agg(
-            F.max("target").alias("target"),
-            *(F.sum(F.col("value") * F.get("w", F.lit(i))).alias(f"_z{i}") for i in units),
-        )
-        z = F.col("_z0")
-        if self.hidden:
-            last = self.weights.filter(F.col("feature") == OUTPUT).select("w").scalar()
-            sums = sums.withColumn("_out", last)
-            z = F.get("_out", F.lit(self.hidden))
-            for i in units:
-                z = z + F.get("_out", F.lit(i)) * S.sigmoid(F.col(f"_z{i}"))
-        scored = sums.select("id", "target", S.sigmoid(z).alias("p"))
+        found = keyed_lookup(rows, first, "feature")
+        kept = carried(rows, "target")
+        sums = found.groupBy("id").agg(*[F.max(c).alias(c) for c in kept], *_sums(self.hidden))
+        scored = _activated(sums, self.weights, self.hidden).select("id", *kept, "p")
         return scored.withColumn("pred", S.threshold(F.col("p")))
 
 
-def _round(
-    posts: DataFrame,
-    columns: DataFrame,
-    weights: DataFrame,
-    settings: Settings,
-    round_no: int,
-    n_shards: int,
-) -> tuple[DataFrame, list[float]]:
-    """Weights after one round, and its loss sum, batches, hits and posts."""
-    # A feature occurs here at most once per shard, so no key is hot.
-    local = columns.join(weights, "feature")
-    changes = (
-        posts.groupBy("shard")
-        .cogroup(local.groupBy("shard"))
-        .applyInPandas(
-            _shard_step(settings, round_no),
-            "feature string, old array<double>, delta array<double>",
+def gradient_step(
+    rows: PlacedRows, weights: DataFrame, hidden: int, rate: float
+) -> tuple[DataFrame, DataFrame]:
+    """Weights after one step down the mean squared error of all posts; and the posts' scores.
+
+    Scores are sums per post where the rows lie; only the sums of rare features are shuffled
+    when the weights are too large to broadcast. Posts then carry their slope back to their
+    rows, which are bucketed by post, and gradients are summed per feature, in part before the
+    shuffle. Both results are written.
+    """
+    first = weights.filter(F.col("feature") != OUTPUT)
+    sums = rows.sums(first, "feature", _sums(hidden)).join(rows.labels, "id")
+    p, y = F.col("p"), F.col("target")
+    slope = 2.0 * (p - y) * p * (1.0 - p)
+    back = (
+        F.transform(
+            F.arrays_zip(F.slice("_out", 1, hidden).alias("o"), F.col("_inner").alias("a")),
+            lambda u: F.col("_slope") * u["o"] * u["a"] * (1.0 - u["a"]),
         )
+        if hidden
+        else F.array("_slope")
     )
-    sums = [F.sum(F.get("delta", F.lit(i))) for i in range(max(settings.hidden + 1, 4))]
-    merged = stage(
-        changes.groupBy("feature").agg(
-            F.any_value("old").alias("old"), F.array_compact(F.array(*sums)).alias("delta")
-        ),
-        "round",
+    extra = ["_inner"] if hidden else []
+    scored = _activated(sums, weights, hidden).withColumn("_slope", slope)
+    posts = stage(scored.select("id", "target", "p", "_slope", back.alias("_back"), *extra), "scored")
+    n = posts.count()
+    units = range(max(hidden, 1))
+    gradients = (
+        rows.by_post.select("id", "feature", "value")
+        .join(posts.select("id", "_back"), "id")
+        .groupBy("feature")
+        .agg(F.array(*[F.sum(F.col("value") * F.get("_back", F.lit(i))) for i in units]).alias("_g"))
+    )
+    if hidden:
+        last = [F.sum(F.col("_slope") * F.get("_inner", F.lit(i))) for i in range(hidden)]
+        gradients = gradients.unionByName(
+            posts.agg(F.array(*last, F.sum("_slope")).alias("_g")).select(F.lit(OUTPUT).alias("feature"), "_g")
+        )
+    moved = weights.join(gradients, "feature", "left").select(
+        "feature",
+        F.when(F.col("_g").isNull(), F.col("w"))
+        .otherwise(F.zip_with("w", "_g", lambda w, g: w - rate * g / n))
+        .alias("w"),
     )
-    moved = F.zip_with("old", "delta", lambda w, d: w + d / n_shards)
-    stats = merged.filter(F.col("feature") == STATS).select("delta").first()["delta"]
-    return merged.filter(F.col("feature") != STATS).select("feature", moved.alias("w")), stats
+    return stage(moved, "weights"), posts
+
+
+@contextmanager
+def training_rows(
+    rows: DataFrame, hidden: int, broadcast_bytes: int | None = None
+) -> Iterator[PlacedRows]:
+    """Rows ``id, target, feature, value`` laid out for many steps; labels outside 0/1 fail."""
+    checked = rows.withColumn("target", S.checked_label("target"))
+    width = max(hidden, 1)
+    with placed_rows(checked, "id", "feature", "target", BIAS, width, broadcast_bytes) as placed:
+        yield placed
+
+
+def descend(
+    rows: DataFrame,
+    weights: DataFrame,
+    hidden: int,
+    rate: float,
+    steps: int,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """``feature, w`` after some steps from given weights (written, ``w`` an array)."""
+    given = weights
+    with training_rows(rows, hidden, broadcast_bytes) as placed:
+        for _ in range(steps):
+            after, posts = gradient_step(placed, weights, hidden, rate)
+            discard(posts, *([weights] if weights is not given else []))
+            weights = after
+    return weights
 
 
 def _accuracy(model: NetworkModel, validation: DataFrame) -> float:
@@ -243,25 +199,31 @@ def fit(
     """Train on written rows ``id, target, feature, value`` that include the bias rows.
 
     The best round by ``validation`` accuracy is kept, and training stops when a round falls
-    below the ``window - 1`` rounds before it. The driver reads two rows per round. The posts
-    are bucketed by shard once, so a round shuffles weights and their changes only.
+    below the ``window - 1`` rounds before it. Of each round the driver reads one row of
+    statistics and the validation accuracy; tables of earlier rounds are deleted.
     """
-    n_shards = max(1, -(-train.count() // settings.rows_per_shard))
-    sharded, columns = _shards(train, n_shards, settings.hidden)
-    names = columns.filter(F.col("column") >= 0).select("feature").distinct()
+    names = train.select("feature").distinct()
     best = weights = stage(initial_weights(names, settings), "weights")
-    curve = []
-    with bucketed_stage(sharded, "posts", "shard", n_shards) as posts:
+    curve: list[tuple] = []
+    hit = ((F.col("p") > 0.5) == (F.col("target") == 1)).cast("double")
+    with training_rows(train, settings.hidden) as placed:
         for round_no in range(1, settings.rounds + 1):
-            weights, (loss, batches, hits, seen) = _round(
-                posts, columns, weights, settings, round_no, n_shards
-            )
+            after, posts = gradient_step(placed, weights, settings.hidden, settings.step)
+            loss, hits = posts.agg(F.avg((F.col("p") - F.col("target")) ** 2), 100.0 * F.avg(hit)).first()
+            if weights is not best:
+                discard(weights)
+            discard(posts)
+            weights = after
             accuracy = _accuracy(NetworkModel(weights, settings.hidden), validation)
             earlier = [row[-1] for row in curve]
-            curve.append((run_id, round_no, loss / batches, 100.0 * hits / seen, accuracy))
-            if accuracy > max([0.0, *earlier]):
+            curve.append((run_id, round_no, loss, hits, accuracy))
+            if H.is_kept(earlier, accuracy):
+                if best is not weights:
+                    discard(best)
                 best = weights
-            if round_no >= settings.window and accuracy < min(earlier[-(settings.window - 1) :]):
+            if H.stops(earlier, accuracy, settings.window):
                 break
+    if weights is not best:
+        discard(weights)
     history = train.sparkSession.createDataFrame(curve, HISTORY)
     return NetworkModel(best, settings.hidden, history)

@@ -41,7 +41,8 @@ def rank_within(
     """1-based row number per ``group``, safe for a group that holds much of the table.
 
     ``bucket`` must never decrease along ``order``. Rows are numbered per (group, bucket), so
-    a large group spreads over many tasks; the window over buckets only sees their counts.
+    a large group spreads over many tasks; the window over buckets only sees their counts. Rows
+    without a group or bucket are a group or bucket of their own; null buckets come first.
     """
     before = (
         Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
@@ -49,12 +50,17 @@ def rank_within(
     offsets = (
         df.groupBy(group, bucket)
         .agg(F.count("*").alias("_n"))
-        .select(group, bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(
+            F.col(group).alias("_group"),
+            F.col(bucket).alias("_bucket"),
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        )
     )
     inside = Window.partitionBy(group, bucket).orderBy(*order)
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(bucket).eqNullSafe(F.col("_bucket"))
     return (
         df.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, [group, bucket])
+        .join(offsets, same)
         .withColumn(out, F.col("_before") + F.col("_row"))
-        .drop("_row", "_before")
+        .drop("_row", "_before", "_group", "_bucket")
     )

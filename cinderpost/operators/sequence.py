@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.functions import text as X
+from cinderpost.operators.features import carried
 from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.operators.unroll import unroll_structs
 from cinderpost.session import stage
@@ -38,19 +39,20 @@ def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
 
 
 def pool_posts(tokenized: DataFrame, embedding: DataFrame) -> DataFrame:
-    """``id, target, features``: mean vector of a post's tokens.
+    """``id, target, features``: mean vector of a post's tokens; ``target`` if there is one.
 
     ``embedding`` is any written ``term, vec`` table. A post without a known token gets zeros.
-    """
+       """
     counted = X.term_counts(tokenized.select("id", "tokens"), "tokens", "counts")
     rows = unroll_structs(counted, ["id"], "counts", "term")
     found = keyed_lookup(rows, embedding, "term", "inner")
+    kept = carried(tokenized, "target")
     mean = Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>")), F.col("tf").cast("double"))
     pooled = found.groupBy("id").agg(mean.alias("features"))
     size = embedding.agg(F.max(F.size("vec"))).scalar()
     zeros = array_to_vector(F.array_repeat(F.lit(0.0), size))
-    every = tokenized.select("id", "target").join(pooled, "id", "left")
-    return every.select("id", "target", F.coalesce("features", zeros).alias("features"))
+    every = tokenized.select("id", *kept).join(pooled, "id", "left")
+    return every.select("id", *kept, F.coalesce("features", zeros).alias("features"))
 
 
 def pool_vectors(vectors: DataFrame, group: str, vec: str) -> DataFrame:
@@ -74,9 +76,9 @@ class SequenceModel:
         return SequenceModel(embedding, learner.fit(pooled))
 
     def predict(self, tokenized: DataFrame) -> DataFrame:
-        """``id, target, pred`` of every post."""
+        """``id, target, pred`` of every post; ``target`` if there is one."""
         scored = self.classifier.transform(pool_posts(tokenized, self.embedding))
-        return scored.select("id", "target", F.col("prediction").cast("int").alias("pred"))
+        return scored.select("id", *carried(scored, "target"), F.col("prediction").cast("int").alias("pred"))
 
     def save(self, store: StageStore, **facts) -> None:
         store.save(self.embedding, "sequence-embedding", **facts)

@@ -50,15 +50,20 @@ def prepare(
     return with_tokens(described, stemming, legacy_stops).drop("text", "location")
 
 
-def token_corpus(posts: DataFrame, legacy_stops: bool = False) -> DataFrame:
-    """``id, split, variant, tokens`` for both variants; the text is tokenized once."""
-    plain = with_tokens(posts, "NoStem", legacy_stops).select("id", "split", "tokens")
-    both = plain.withColumn("_stems", stem_tokens(F.col("tokens")))
-    variants = F.array(
-        F.struct(F.lit("NoStem").alias("variant"), F.col("tokens")),
-        F.struct(F.lit("Stem").alias("variant"), F.col("_stems").alias("tokens")),
-    )
-    return both.select("id", "split", F.inline(variants))
+def token_corpus(
+    posts: DataFrame, legacy_stops: bool = False, variants: tuple[str, ...] = P.STEMMING
+) -> DataFrame:
+    """``id, split, variant, tokens`` for the variants asked for; the text is tokenized once."""
+    for variant in variants:
+        check_option(variant, P.STEMMING, "stemming")
+    rows = with_tokens(posts, "NoStem", legacy_stops).select("id", "split", "tokens")
+    if "Stem" in variants:
+        rows = rows.withColumn("_stems", stem_tokens(F.col("tokens")))
+    columns = {"NoStem": "tokens", "Stem": "_stems"}
+    made = [
+        F.struct(F.lit(v).alias("variant"), F.col(columns[v]).alias("tokens")) for v in variants
+    ]
+    return rows.select("id", "split", F.inline(F.array(*made)))
 
 
 def distinct_tokens(tokenized: DataFrame) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
 from cinderpost.operators import evaluate, naive_bayes, network, sequence, vocab
-from cinderpost.operators.features import FeatureBuilder, FeatureModel
+from cinderpost.operators.features import FeatureBuilder, FeatureModel, carried
 from cinderpost.operators.tokens import check_option, prepare
-from cinderpost.session import stage
-from cinderpost.sources.stages import StageStore
+from cinderpost.session import discard, stage
+from cinderpost.sources.stages import StageStore, fingerprint
 
 
 @dataclass(frozen=True)
@@ -35,12 +35,16 @@ class Experiment:
     def run_id(self) -> str:
         return f"{self.stemming}-{self.weighting}-{self.classifier}"
 
+    @property
+    def model_id(self) -> str:
+        """The run and everything else that its model depends on, the input aside."""
+        trained = () if self.classifier == "NaiveBayes" else (repr(self.settings()), self.select_on)
+        facts = {"legacy_stops": self.legacy_stops, "patterns": P.version(), "trained": trained}
+        return f"{self.run_id}-{fingerprint(**facts)}"
+
     def settings(self) -> network.Settings:
-        hidden = 20 if self.classifier == "FFNN" else 0
-        rate = 0.5 if hidden else 0.1
-        if self.network == network.Settings():
-            return replace(self.network, hidden=hidden, rate=rate)
-        return replace(self.network, hidden=hidden)
+        """Network settings of the classifier; a rate that is not given depends on it."""
+        return replace(self.network, hidden=20 if self.classifier == "FFNN" else 0)
 
 
 def prepare_once(
@@ -48,17 +52,26 @@ def prepare_once(
     stemming: str,
     legacy_stops: bool = False,
     store: StageStore | None = None,
+    input_id: str | None = None,
     **facts,
 ) -> DataFrame:
     """Written token table of labelled posts, shared by all experiments on one variant.
 
-    With a ``store`` the table outlives the session and is found again under the same options
-    and ``facts``, which should name the input.
+    With a ``store`` the table outlives the session and is found again under the same options,
+    patterns, ``facts`` and ``input_id``, a name that must change whenever the posts do.
     """
     labelled = posts.filter(F.col("target").isNotNull())
     if store is None:
         return stage(prepare(labelled, stemming, legacy_stops), f"tokens-{stemming}")
-    options = {"stemming": stemming, "legacy_stops": legacy_stops, **facts}
+    if not input_id:
+        raise ValueError("a stored token table needs the input_id of its posts")
+    options = {
+        "stemming": stemming,
+        "legacy_stops": legacy_stops,
+        "patterns": P.version(),
+        "input_id": input_id,
+        **facts,
+    }
     return store.reuse("tokens", lambda: prepare(labelled, stemming, legacy_stops), **options)
 
 
@@ -80,7 +93,7 @@ class Trained:
         return ("sums",) if experiment.classifier == "NaiveBayes" else ("dictionary", "weights")
 
     def predict(self, prepared: DataFrame) -> DataFrame:
-        """``run_id, id, pred, target``."""
+        """``run_id, id, pred``, and ``target`` if the posts have one."""
         how = self.experiment
         if how.classifier == "NaiveBayes":
             model = naive_bayes.NaiveBayesModel(self.tables["sums"])
@@ -90,18 +103,19 @@ class Trained:
             rows = stage(features.transform(prepared, keep=("target",)), "features")
             model = network.NetworkModel(self.tables["weights"], how.settings().hidden)
             scored = model.score(rows)
-        return scored.select(F.lit(how.run_id).alias("run_id"), "id", "pred", "target")
+        run_id = F.lit(how.run_id).alias("run_id")
+        return scored.select(run_id, "id", "pred", *carried(scored, "target"))
 
     def save(self, store: StageStore, **facts) -> None:
         for name, table in self.tables.items():
-            store.save(table, f"model-{name}", run_id=self.experiment.run_id, **facts)
+            store.save(table, f"model-{name}", model=self.experiment.model_id, **facts)
 
     @staticmethod
     def load(store: StageStore, experiment: Experiment, **facts) -> Trained:
         return Trained(
             experiment,
             {
-                name: store.load(f"model-{name}", run_id=experiment.run_id, **facts)
+                name: store.load(f"model-{name}", model=experiment.model_id, **facts)
                 for name in Trained.table_names(experiment)
             },
         )
@@ -118,13 +132,16 @@ def train(prepared: DataFrame, experiment: Experiment) -> Trained:
         return Trained(experiment, {"sums": naive_bayes.fit(posts).sums})
     features = FeatureBuilder(experiment.weighting).fit(posts)
     rows = stage(features.transform(posts, keep=("target",)), "train-features")
+    written = [rows]
     if experiment.select_on == "test":
         test = features.transform(part(prepared, "test"), keep=("target",))
         chosen = stage(test, "test-features")
+        written.append(chosen)
     else:
         held_out = F.pmod(F.xxhash64("id"), F.lit(8)) == 0
         rows, chosen = rows.filter(~held_out), rows.filter(held_out)
     model = network.fit(rows, chosen, experiment.settings(), experiment.run_id)
+    discard(*written)
     tables = {"dictionary": features.dictionary, "weights": model.weights}
     return Trained(experiment, tables, model.history)
 
@@ -137,7 +154,7 @@ def predict_experiment(prepared: DataFrame, experiment: Experiment) -> DataFrame
 def run_experiment(
     posts: DataFrame, experiment: Experiment, store: StageStore | None = None, **facts
 ) -> DataFrame:
-    """One report row: ``run_id, accuracy, tn, fn, fp, tp``."""
+    """One report row: ``run_id, accuracy, tn, fn, fp, tp``. A store needs an ``input_id``."""
     prepared = prepare_once(
         posts, experiment.stemming, experiment.legacy_stops, store, **facts
     )
@@ -195,6 +212,5 @@ def rescore(
     """Score test posts with a saved model, keep the predictions, report from what was kept."""
     prepared = prepare_once(posts, experiment.stemming, experiment.legacy_stops)
     trained = Trained.load(store, experiment, **facts)
-    store.save_predictions(trained.predict(part(prepared, "test")))
-    kept = store.load_predictions().filter(F.col("run_id") == experiment.run_id)
-    return evaluate.eval_report(kept)
+    store.save_predictions(trained.predict(part(prepared, "test")), experiment.model_id)
+    return evaluate.eval_report(store.load_predictions(experiment.model_id))

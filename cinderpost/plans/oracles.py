@@ -145,6 +145,19 @@ _VIEWS = {
           LEFT JOIN ltf f ON f.id = t.id
         GROUP BY t.id, t.target, t.split""",
     "slopes": """SELECT id, 2 * (p - target) * p * (1 - p) AS slope FROM fixed""",
+    # every post, with or without a label
+    "scores_all": """SELECT t.id,
+          (SELECT log_prior FROM prior WHERE label = 0) + coalesce(sum(ll0 * value), 0) AS score0,
+          (SELECT log_prior FROM prior WHERE label = 1) + coalesce(sum(ll1 * value), 0) AS score1
+        FROM tokens t LEFT JOIN (
+          SELECT r.id, r.value, m.ll0, m.ll1 FROM (
+            SELECT id, 'w:' || term AS feature, tf::DOUBLE AS value FROM tf
+            UNION ALL SELECT id, feature, value FROM meta) r
+          JOIN lik m ON m.feature = r.feature AND m.weighting = 'Frequency') x ON x.id = t.id
+        GROUP BY t.id""",
+    "fixed_all": """SELECT t.id, t.target,
+          1 / (1 + exp(-coalesce(sum((length(f.term) - 5) / 8192e0), 0))) AS p
+        FROM tokens t LEFT JOIN tf f ON f.id = t.id GROUP BY t.id, t.target""",
     # label recovery
     "gold_keys": f"""SELECT sha256({_strip("text", P.NOT_ALNUM)}) AS key, seq,
           CASE choose_one WHEN 'Relevant' THEN 1 ELSE 0 END AS label
@@ -169,6 +182,28 @@ for _step in range(3):
         FROM descent_rows r JOIN descent{_step}p USING (id) JOIN descent{_step} USING (feature)
         GROUP BY feature"""
 
+# two steps of rate 1 of a network of two hidden units
+_VIEWS["net0"] = """SELECT DISTINCT feature, CASE WHEN feature = '1' THEN 0
+    ELSE (length(feature) - 7) / 8192e0 END AS a, CASE WHEN feature = '1' THEN 0
+    ELSE (length(feature) - 7) / -16384e0 END AS b FROM descent_rows"""
+_VIEWS["out0"] = "SELECT 0.5e0 AS oa, -0.25e0 AS ob, 0.125e0 AS oc"
+for _step in range(2):
+    _VIEWS[f"net{_step}p"] = f"""SELECT id, target, u, v, p, 2 * (p - target) * p * (1 - p) AS slope
+        FROM (SELECT id, target, u, v, 1 / (1 + exp(-(oa * u + ob * v + oc))) AS p
+              FROM (SELECT id, target, 1 / (1 + exp(-sum(a))) AS u, 1 / (1 + exp(-sum(b))) AS v
+                    FROM descent_rows JOIN net{_step} USING (feature) GROUP BY id, target)
+                CROSS JOIN out{_step})"""
+    _VIEWS[f"net{_step + 1}"] = f"""
+        SELECT feature, any_value(a) - sum(slope * oa * u * (1 - u)) / any_value(n) AS a,
+          any_value(b) - sum(slope * ob * v * (1 - v)) / any_value(n) AS b
+        FROM descent_rows JOIN net{_step}p USING (id) JOIN net{_step} USING (feature)
+          CROSS JOIN out{_step} CROSS JOIN (SELECT count(*) AS n FROM net{_step}p)
+        GROUP BY feature"""
+    _VIEWS[f"out{_step + 1}"] = f"""
+        SELECT any_value(oa) - avg(slope * u) AS oa, any_value(ob) - avg(slope * v) AS ob,
+          any_value(oc) - avg(slope) AS oc
+        FROM net{_step}p CROSS JOIN out{_step}"""
+
 _CELLS = """count(*) FILTER (pred = 0 AND target = 0) AS tn,
     count(*) FILTER (pred = 0 AND target = 1) AS fn,
     count(*) FILTER (pred = 1 AND target = 0) AS fp,
@@ -211,8 +246,9 @@ _FINAL = {
     "joint_vocab": "SELECT term, term_id FROM joint",
     "max_len": "SELECT max(len(tokens))::INTEGER AS max_len FROM tokens",
     "sequence_encode": """
-        SELECT t.id, array_to_string(list_resize(coalesce(e.ids, []),
-          (SELECT max(len(tokens)) FROM tokens), (SELECT max(term_id) FROM joint)), ',') AS ids
+        SELECT t.id, array_to_string(coalesce(e.ids, []), ',') AS ids,
+          (SELECT max(len(tokens)) FROM tokens)::INTEGER AS max_len,
+          (SELECT max(term_id) FROM joint) AS pad_id
         FROM tokens t LEFT JOIN (
           SELECT id, list(term_id ORDER BY pos) AS ids
           FROM (SELECT id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM tokens)
@@ -245,11 +281,13 @@ _FINAL = {
     "nb_score": """SELECT id, round(score0, 4) AS score0, round(score1, 4) AS score1
         FROM scores WHERE weighting = 'Frequency'""",
     "nb_predict": "SELECT id, target, pred FROM nb_preds WHERE weighting = 'Frequency'",
+    "nb_predict_all": """SELECT id, CASE WHEN score1 > score0 THEN 1 ELSE 0 END AS pred
+        FROM scores_all""",
     "nb_grid": f"SELECT {_RUNS}, {_ACCURACY}, {_CELLS} FROM nb_preds GROUP BY weighting",
     "nb_experiment": f"""SELECT {_RUNS}, {_ACCURACY}, {_CELLS} FROM nb_preds
         WHERE weighting = 'Frequency' GROUP BY weighting""",
     "logistic_score": """SELECT id, target, round(p, 6) AS p,
-        CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred FROM fixed""",
+        CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred FROM fixed_all""",
     "mse_gradient_step": """
         SELECT 'w:' || term AS feature, round((length(term) - 5) / 8192e0
           - 0.1e0 * sum(slope) / (SELECT count(*) FROM fixed), 8) AS w
@@ -257,6 +295,12 @@ _FINAL = {
         UNION ALL SELECT '1', round(-0.1e0 * sum(slope) / (SELECT count(*) FROM fixed), 8)
         FROM slopes""",
     "logistic_descent": "SELECT feature, round(w, 8) AS w FROM descent3",
+    "mlp_descent": """
+        SELECT feature, 0 AS unit, round(a, 8) AS w FROM net2
+        UNION ALL SELECT feature, 1, round(b, 8) FROM net2
+        UNION ALL SELECT '2', 0, round(oa, 8) FROM out2
+        UNION ALL SELECT '2', 1, round(ob, 8) FROM out2
+        UNION ALL SELECT '2', 2, round(oc, 8) FROM out2""",
     "minibatch": """SELECT id, ((row_number() OVER (ORDER BY id) - 1) // 256) AS batch
         FROM posts""",
     "epoch_metrics": """
@@ -282,6 +326,10 @@ _FINAL = {
           SELECT *, min(test_acc) OVER (PARTITION BY run_id ORDER BY epoch
             ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS low FROM history)
         GROUP BY run_id""",
+    "post_vectors": """
+        SELECT t.id, k - 1 AS pos, round(coalesce(avg((length(w.term) * k % 7)::DOUBLE), 0), 6) AS mean_value
+        FROM tokens t CROSS JOIN (VALUES (1), (2), (3)) v(k) LEFT JOIN words w ON w.id = t.id
+        GROUP BY t.id, k""",
     "embedding_pool": """
         SELECT label, (pos - 1)::INTEGER AS pos, round(avg(x::DOUBLE), 6) AS mean_value FROM (
           SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos
@@ -295,11 +343,14 @@ _FINAL = {
     "accuracy": f"SELECT {_ACCURACY} FROM preds",
     "eval_report": f"SELECT 'fixed-rule' AS run_id, {_ACCURACY}, {_CELLS} FROM preds",
     "label_match": "SELECT id, target FROM matched",
+    "add_labels": """SELECT d.doc_id AS id, length(d.text) AS n_chars, m.target
+        FROM documents d JOIN matched m ON m.id = d.doc_id""",
     "label_conflicts": """
         SELECT key, count(*) FILTER (label = 0) AS n_zero, count(*) FILTER (label = 1) AS n_one
         FROM gold_keys GROUP BY key HAVING min(label) <> max(label)""",
     "unmatched": "SELECT id FROM matched WHERE target = -1",
 }
+_FINAL["rescore"] = _FINAL["nb_experiment"]
 
 
 # The same over stemmed tokens: every view from the words on reads the stemmed ones.

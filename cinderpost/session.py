@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_WORKSPACES: list[list[DataFrame]] = []
 
 
 def build_session(app: str = "cinderpost", master: str | None = None, **conf) -> SparkSession:
@@ -32,15 +33,15 @@ def build_session(app: str = "cinderpost", master: str | None = None, **conf) ->
 
 
 @contextmanager
-def bucketed_stage(df: DataFrame, name: str, key: str, useful: int) -> Iterator[DataFrame]:
+def bucketed_stage(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
     """Like ``stage``, hash-bucketed by ``key``: grouping by ``key`` then needs no shuffle.
 
     For a table that is grouped many times, as in training rounds. There are as many buckets as
-    shuffle partitions, but no more than ``useful``. The table is registered only inside the
-    ``with`` block.
+    shuffle partitions, so that what is shuffled by ``key`` meets them as it comes. The table
+    and its files are there only inside the ``with`` block.
     """
     spark = df.sparkSession
-    buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), useful))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"cinderpost_{name}_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/cinderpost/{table}"
     writer = df.repartition(buckets, key).write.format("parquet").option("path", path)
@@ -49,6 +50,7 @@ def bucketed_stage(df: DataFrame, name: str, key: str, useful: int) -> Iterator[
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        delete_folder(spark, path)
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -103,9 +105,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     written._stage_path = path
+    if _WORKSPACES:
+        _WORKSPACES[-1].append(written)
     return written
 
 
+@contextmanager
+def workspace() -> Iterator[None]:
+    """Delete every stage written inside the block when it ends.
+
+    For a piece of work whose result has been written or collected by then: a query of the
+    command line tools, a micro-batch of a stream.
+    """
+    _WORKSPACES.append([])
+    try:
+        yield
+    finally:
+        discard(*_WORKSPACES.pop())
+
+
 def discard(*stages: DataFrame) -> None:
     """Delete the files of stages that nothing reads any more; other frames are left alone.
 

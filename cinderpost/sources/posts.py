@@ -37,23 +37,39 @@ def csv_reader(source, schema: T.StructType):
     )
 
 
-def read_posts(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
-    return spread(csv_reader(spark.read, LABELLED_POST if labelled else POST).csv(path), "id")
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    """CSV has one split per file, as posts may span lines; Parquet splits at any size."""
+    if fmt == "csv":
+        return csv_reader(spark.read, schema).csv(path)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def read_posts(
+    spark: SparkSession, path: str, labelled: bool = True, fmt: str = "csv"
+) -> DataFrame:
+    return spread(_read(spark, path, LABELLED_POST if labelled else POST, fmt), "id")
 
 
-def read_splits(spark: SparkSession, train: str, test: str) -> DataFrame:
+def read_splits(spark: SparkSession, train: str, test: str, fmt: str = "csv") -> DataFrame:
     """Labelled train and test posts in one table with a ``split`` column."""
     return (
-        read_posts(spark, train)
+        read_posts(spark, train, fmt=fmt)
         .withColumn("split", F.lit("train"))
-        .unionByName(read_posts(spark, test).withColumn("split", F.lit("test")))
+        .unionByName(read_posts(spark, test, fmt=fmt).withColumn("split", F.lit("test")))
     )
 
 
-def read_gold(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
-    """Gold posts; ``columns`` must name ``seq``, ``text`` and ``choose_one`` among others."""
-    rows = spread(csv_reader(spark.read, columns).csv(path), "seq")
-    return rows.select("seq", "text", "choose_one")
+def read_gold(
+    spark: SparkSession, path: str, columns: T.StructType, fmt: str = "csv"
+) -> DataFrame:
+    """Gold posts; ``columns`` must name ``text`` and ``choose_one`` among others.
+
+    Without a column ``seq`` the order of the rows in their file is used, as the scan gives it.
+    """
+    rows = _read(spark, path, columns, fmt)
+    if "seq" not in columns.names:
+        rows = rows.withColumn("seq", F.monotonically_increasing_id())
+    return spread(rows.select("seq", "text", "choose_one"), "seq")
 
 
 def write_posts(df: DataFrame, path: str, fmt: str = "csv") -> None:

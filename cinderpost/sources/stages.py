@@ -10,8 +10,8 @@ import hashlib
 import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def fingerprint(**facts) -> str:
@@ -35,24 +35,30 @@ class StageStore:
         df.write.mode("overwrite").parquet(self.path(name, **facts))
         return self.load(name, **facts)
 
+    def complete(self, name: str, **facts) -> bool:
+        """Whether the stage was written to its end."""
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name, **facts)}/_SUCCESS")
+        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark)
+
     def reuse(self, name: str, build: Callable[[], DataFrame], **facts) -> DataFrame:
-        """The stored stage when there is one, else the result of ``build`` written first.
+        """The stored stage when it is complete, else the result of ``build`` written first.
 
-        An interrupted write leaves a folder without parquet files, which counts as none.
+        What an interrupted write left behind is replaced; any other failure to read is raised.
         """
-        try:
+        if self.complete(name, **facts):
             return self.load(name, **facts)
-        except AnalysisException:
-            return self.save(build(), name, **facts)
+        return self.save(build(), name, **facts)
 
-    def save_predictions(self, predictions: DataFrame) -> None:
-        """Add runs to the prediction table, one folder per ``run_id``; rerunning a run replaces it."""
+    def save_predictions(self, predictions: DataFrame, model: str) -> None:
+        """Add a model's predictions, one folder per model; doing it again replaces them."""
         (
-            predictions.write.mode("overwrite")
+            predictions.withColumn("model", F.lit(model))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id")
+            .partitionBy("model")
             .parquet(f"{self.root}/predictions")
         )
 
-    def load_predictions(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/predictions")
+    def load_predictions(self, model: str | None = None) -> DataFrame:
+        kept = self.spark.read.parquet(f"{self.root}/predictions")
+        return kept if model is None else kept.filter(F.col("model") == model)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cinderpost.operators.tokens import prepare
 from cinderpost.plans.experiments import Trained
+from cinderpost.session import workspace
 from cinderpost.sources.posts import LABELLED_POST, POST, csv_reader
 
 
@@ -23,14 +24,15 @@ def prepare_stream(posts: DataFrame, stemming: str = "NoStem") -> DataFrame:
 
 
 def score_stream(posts: DataFrame, model: Trained, out: str, checkpoint: str) -> StreamingQuery:
-    """Write ``run_id, id, pred, target`` of every arriving post as parquet.
+    """Write ``run_id, id, pred`` (and ``target``, if posts have one) of arriving posts as parquet.
 
     Each micro-batch replaces its own folder, so a repeated batch leaves no doubles.
     """
 
     def write(batch: DataFrame, batch_no: int) -> None:
         prepared = prepare(batch, model.experiment.stemming, model.experiment.legacy_stops)
-        model.predict(prepared).write.mode("overwrite").parquet(f"{out}/batch={batch_no}")
+        with workspace():
+            model.predict(prepared).write.mode("overwrite").parquet(f"{out}/batch={batch_no}")
 
     return (
         posts.writeStream.foreachBatch(write)

@@ -1,6 +1,7 @@
 """Naive Bayes, linear and network models against plain Python; experiments, stores, streams."""
 
 import math
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import patterns as P
 from cinderpost.functions.scoring import first_argmax, threshold
 from cinderpost.operators import features as E
-from cinderpost.operators import linear, metadata, naive_bayes, network, sequence, vocab
+from cinderpost.operators import labeling, linear, metadata, naive_bayes, network, sequence, vocab
 from cinderpost.operators import tokens as K
 from cinderpost.plans import experiments as runs
 from cinderpost.session import stage
@@ -111,36 +112,40 @@ def test_gradient_step_lowers_the_error(spark, prepared, rows):
     assert np.allclose([found[n] for n in used], [wanted[names.index(n)] for n in used])
 
 
-def dense_round(x, y, first, output, settings, order):
-    """One epoch over a dense matrix whose last column is the bias."""
-    for begin in range(0, len(y), settings.batch):
-        b = order[begin : begin + settings.batch]
-        inner = 1 / (1 + np.exp(-(x[b] @ first)))
-        p = inner[:, 0] if not settings.hidden else 1 / (1 + np.exp(-(inner @ output[:-1] + output[-1])))
-        slope = 2 * (p - y[b]) * p * (1 - p) / len(b)
+def dense_steps(x, y, first, output, hidden, rate, steps):
+    """Full-batch steps over a dense matrix whose last column is the bias."""
+    for _ in range(steps):
+        inner = 1 / (1 + np.exp(-(x @ first)))
+        p = inner[:, 0] if not hidden else 1 / (1 + np.exp(-(inner @ output[:-1] + output[-1])))
+        slope = 2 * (p - y) * p * (1 - p) / len(y)
         back = slope[:, None]
-        if settings.hidden:
+        if hidden:
             back = slope[:, None] * output[:-1] * inner * (1 - inner)
-            output = output - settings.rate * np.append(inner.T @ slope, slope.sum())
-        first = first - settings.rate * (x[b].T @ back)
+            output = output - rate * np.append(inner.T @ slope, slope.sum())
+        first = first - rate * (x.T @ back)
     return first, output
 
 
+def feature_rows(prepared, weighting="Frequency"):
+    train = runs.part(prepared, "train")
+    built = E.FeatureBuilder(weighting).fit(train).transform(train, keep=("target",))
+    return stage(built, "rows")
+
+
 @pytest.mark.parametrize("hidden", [0, 3])
-def test_one_shard_is_plain_mini_batch_descent(prepared, rows, hidden):
+@pytest.mark.parametrize("limit", [None, 0])
+def test_steps_equal_a_dense_computation(prepared, rows, hidden, limit):
     x, y, names = rows("Frequency")
     x = np.hstack([x, np.ones((6, 1))])
-    train = runs.part(prepared, "train")
-    table = stage(E.FeatureBuilder().fit(train).transform(train, keep=("target",)), "rows")
-    settings = network.Settings(hidden=hidden, rate=0.5, rounds=1, batch=4, seed=11)
-    start = network.initial_weights(table.select("feature").distinct(), settings)
+    table = feature_rows(prepared)
+    settings = network.Settings(hidden=hidden, seed=11)
+    start = stage(network.initial_weights(table.select("feature").distinct(), settings), "start")
     before = {r["feature"]: np.array(r["w"]) for r in start.collect()}
-    model = network.fit(table, table, settings)
-    after = {r["feature"]: np.array(r["w"]) for r in model.weights.collect()}
+    found = network.descend(table, start, hidden, 0.5, 2, limit)
+    after = {r["feature"]: np.array(r["w"]) for r in found.collect()}
     width = max(hidden, 1)
     first = np.stack([before.get(n, np.zeros(width)) for n in [*names, E.BIAS]])
-    order = np.random.default_rng([11, 1, 0]).permutation(6)
-    first, output = dense_round(x, y, first, before.get(network.OUTPUT), settings, order)
+    first, output = dense_steps(x, y, first, before.get(network.OUTPUT), hidden, 0.5, 2)
     for name, wanted in zip([*names, E.BIAS], first):
         if name in after:
             assert np.allclose(after[name], wanted)
@@ -148,15 +153,60 @@ def test_one_shard_is_plain_mini_batch_descent(prepared, rows, hidden):
         assert np.allclose(after[network.OUTPUT], output)
 
 
-def test_shards_are_averaged_and_training_helps(prepared):
-    train = runs.part(prepared, "train")
-    table = stage(E.FeatureBuilder().fit(train).transform(train, keep=("target",)), "rows")
-    settings = network.Settings(rate=1.0, rounds=15, epochs=4, rows_per_shard=20, window=16)
-    model = network.fit(table, table, settings, "many")
-    curve = model.history.orderBy("epoch").collect()
-    assert curve[-1]["loss"] < curve[0]["loss"] and max(r["test_acc"] for r in curve) > 80
-    again = network.fit(table, table, settings, "many").history.orderBy("epoch").collect()
-    assert [r["test_acc"] for r in again] == [r["test_acc"] for r in curve]
+def test_weights_depend_on_the_posts_alone(prepared):
+    """Neither the spread of the rows nor copies of the whole collection change a weight."""
+    table = feature_rows(prepared)
+    start = stage(network.initial_weights(table.select("feature").distinct(), network.Settings(hidden=2)), "start")
+    copies = table.unionByName(table.withColumn("id", F.col("id") + 100))
+    spread = table.repartition(7)
+    get = lambda t: {r["feature"]: r["w"] for r in network.descend(stage(t, "r"), start, 2, 0.5, 2).collect()}
+    plain, doubled, dealt = get(table), get(copies), get(spread)
+    for name, w in plain.items():
+        assert np.allclose(doubled[name], w) and np.allclose(dealt[name], w)
+
+
+def test_steps_above_the_broadcast_limit_shuffle_no_rows_by_post(prepared):
+    table = feature_rows(prepared)
+    start = stage(network.initial_weights(table.select("feature").distinct(), network.Settings()), "start")
+    with network.training_rows(table, 0, 0) as placed:
+        assert placed.rare is not None
+        near = placed.by_post.join(start, "feature").groupBy("id").count()
+        plan = placed.by_post.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and near.count() == 6
+        after, _ = network.gradient_step(placed, start, 0, 0.5)
+        assert after.count() == start.count()
+
+
+def test_training_stops_early_and_keeps_the_best_round(prepared):
+    table = feature_rows(prepared)
+    settings = network.Settings(rate=1.0, rounds=9, window=3, start=0.01)
+    model = network.fit(table, table, settings, "run")
+    curve = [r["test_acc"] for r in model.history.orderBy("epoch").collect()]
+    assert len(curve) == 9 and max(curve) > 80
+    flipped = table.withColumn("target", 1 - F.col("target"))
+    stopped = network.fit(table, flipped, settings, "run").history.orderBy("epoch").collect()
+    values = [r["test_acc"] for r in stopped]
+    ends = [i for i in range(2, len(values)) if values[i] < min(values[i - 2 : i])]
+    assert (ends[0] + 1 if ends else 9) == len(values)
+
+
+def test_rates_follow_the_classifier():
+    short = network.Settings(rounds=50)
+    assert runs.Experiment(classifier="FFNN", network=short).settings().step == 0.5
+    assert runs.Experiment(classifier="Logistic", network=short).settings().step == 0.1
+    given = network.Settings(rate=0.2)
+    assert runs.Experiment(classifier="FFNN", network=given).settings().step == 0.2
+
+
+@pytest.mark.parametrize("classifier", P.CLASSIFIERS)
+def test_posts_without_labels_get_predictions(posts, prepared, classifier):
+    short = network.Settings(rounds=1)
+    trained = runs.train(prepared, runs.Experiment(classifier=classifier, select_on="test", network=short))
+    fresh = K.prepare(posts.drop("target"))
+    with_labels = {r["id"]: r["pred"] for r in trained.predict(prepared).collect()}
+    found = trained.predict(stage(fresh, "fresh"))
+    assert found.columns == ["run_id", "id", "pred"]
+    assert {r["id"]: r["pred"] for r in found.collect()} == with_labels
 
 
 def test_word_vectors(prepared):
@@ -178,6 +228,8 @@ def test_saved_sequence_model_predicts_the_same(spark, prepared, tmp_path):
     model = sequence.SequenceModel.fit(runs.part(prepared, "train"), table)
     store = StageStore(spark, str(tmp_path))
     model.save(store, data="v1")
+    bare = sequence.SequenceModel.load(store, data="v1").predict(prepared.drop("target"))
+    assert bare.columns == ["id", "pred"] and bare.count() == 10
     again = sequence.SequenceModel.load(store, data="v1")
     direct = sorted(model.predict(prepared).collect())
     assert sorted(again.predict(prepared).collect()) == direct and len(direct) == 10
@@ -193,7 +245,7 @@ def test_saved_model_predicts_the_same(spark, posts, prepared, tmp_path, classif
     trained.save(store, data="v1")
     report = runs.rescore(store, posts, experiment, data="v1").first()
     assert report["tn"] + report["fn"] + report["fp"] + report["tp"] == 4
-    kept = store.load_predictions().select("id", "pred").collect()
+    kept = store.load_predictions(experiment.model_id).select("id", "pred").collect()
     assert sorted(kept) == sorted(direct.select("id", "pred").collect())
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         runs.rescore(store, posts, experiment, data="v2")
@@ -210,11 +262,37 @@ def test_grid_and_options(posts):
     assert replace(runs.Experiment(), weighting="TFIDF").run_id == "NoStem-TFIDF-NaiveBayes"
 
 
-def test_hashed_logistic(prepared):
-    train = runs.part(prepared, "train")
-    model = linear.hashed_fit(train, buckets=256)
-    hits = linear.hashed_predict(model, train).filter(F.col("pred") == F.col("target")).count()
-    assert hits >= 5
+def test_stored_stages_follow_input_settings_and_interrupted_writes(spark, posts, tmp_path):
+    store = StageStore(spark, str(tmp_path))
+    first = runs.prepare_once(posts, "NoStem", store=store, input_id="a")
+    assert runs.prepare_once(posts.limit(3), "NoStem", store=store, input_id="b").count() <= 3
+    assert runs.prepare_once(posts.limit(0), "NoStem", store=store, input_id="a").count() == first.count()
+    with pytest.raises(ValueError, match="input_id"):
+        runs.prepare_once(posts, "NoStem", store=store)
+    facts = {"x": 1}
+    store.save(spark.range(5), "t", **facts)
+    os.remove(f"{store.path('t', **facts)}/_SUCCESS")
+    assert store.reuse("t", lambda: spark.range(7), **facts).count() == 7
+    assert store.reuse("t", lambda: spark.range(9), **facts).count() == 7
+    one, two = runs.Experiment(), runs.Experiment(legacy_stops=True)
+    assert one.model_id != two.model_id and one.run_id == two.run_id
+    net = runs.Experiment(classifier="FFNN")
+    assert net.model_id != replace(net, network=network.Settings(rounds=3)).model_id
+    assert net.model_id != replace(net, select_on="test").model_id
+
+
+def test_parquet_posts_and_gold_without_order(spark, tmp_path):
+    rows = [(1, "a", None, "x", 1), (2, None, "y", "z", 0)]
+    df = spark.createDataFrame(rows, src.LABELLED_POST)
+    src.write_posts(df, f"{tmp_path}/p", "parquet")
+    assert sorted(src.read_posts(spark, f"{tmp_path}/p", fmt="parquet").collect()) == sorted(df.collect())
+    gold = [("same text", "Relevant"), ("other", "Relevant"), ("same text!", "Not Relevant")]
+    spark.createDataFrame(gold, "text string, choose_one string").coalesce(1).write.option("header", True).csv(f"{tmp_path}/g")
+    columns = spark.createDataFrame([], "text string, choose_one string").schema
+    read = src.read_gold(spark, f"{tmp_path}/g", columns)
+    assert [r["text"] for r in read.orderBy("seq").collect()] == [t for t, _ in gold]
+    posts = spark.createDataFrame([(1, "same text"), (2, "other")], "id long, text string")
+    assert sorted(map(tuple, labeling.label_match(posts, read).collect())) == [(1, 0), (2, 1)]
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -255,16 +333,16 @@ def test_stored_tables_come_back(spark, posts, prepared, tmp_path):
         assert sorted(map(str, store.save(table, name, stemming="NoStem").collect())) == sorted(
             map(str, table.collect())
         )
-    first = runs.run_experiment(posts, runs.Experiment(), store, data="v1").collect()
+    first = runs.run_experiment(posts, runs.Experiment(), store, input_id="v1").collect()
     nothing = posts.filter(F.lit(False))
-    assert runs.run_experiment(nothing, runs.Experiment(), store, data="v1").collect() == first
+    assert runs.run_experiment(nothing, runs.Experiment(), store, input_id="v1").collect() == first
 
 
 def test_streamed_posts(spark, posts, prepared, tmp_path):
     model = runs.train(prepared, runs.Experiment())
     folder = f"{tmp_path}/in"
-    src.write_posts(posts.filter(F.col("split") == "test").drop("split"), folder)
-    stream = live.read_post_stream(spark, folder, labelled=True)
+    src.write_posts(posts.filter(F.col("split") == "test").drop("split", "target"), folder)
+    stream = live.read_post_stream(spark, folder)
     assert live.prepare_stream(stream).isStreaming
     query = live.score_stream(stream, model, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     query.awaitTermination(60)

@@ -44,9 +44,13 @@ def test_sequences(prepared):
     ids = {r["term"]: r["term_id"] for r in words.collect()}
     assert sorted(ids.values()) == list(range(len(ids))) and ids["<pad>"] == len(ids) - 1
     longest = K.max_length(prepared).first()["max_len"]
-    padded = vocab.pad_sequences(vocab.encode_sequences(prepared, words), longest, ids["<pad>"])
-    coded = {r["id"]: r["ids"] for r in padded.collect()}
+    ragged = vocab.pad_sequences(vocab.encode_sequences(prepared, words), longest, ids["<pad>"])
     tokens = {r["id"]: r["tokens"] for r in prepared.collect()}
+    for r in ragged.collect():
+        assert r["ids"] == [ids[t] for t in tokens[r["id"]]]
+        assert (r["max_len"], r["pad_id"]) == (longest, ids["<pad>"])
+    full = ragged.select("id", vocab.padded(F.col("ids"), F.col("max_len"), F.col("pad_id")).alias("ids"))
+    coded = {r["id"]: r["ids"] for r in full.collect()}
     for post, row in coded.items():
         assert row == [ids[t] for t in tokens[post]] + [ids["<pad>"]] * (longest - len(tokens[post]))
     assert set(coded) == set(range(1, 11))
@@ -122,6 +126,13 @@ def test_rank_within_buckets(spark):
     assert found == {(g, t): i + 1 for g in (1, 2) for i, t in enumerate(range(0, 95, g))}
 
 
+def test_rank_within_keeps_rows_without_group_or_bucket(spark):
+    rows = [(1, 5, 0), (1, None, None), (None, 3, 0), (None, 4, 0)]
+    df = spark.createDataFrame(rows, "g int, t int, b int")
+    found = {(r["g"], r["t"]): r["n"] for r in rank_within(df, "g", "b", ["t"], "n").collect()}
+    assert found == {(1, None): 1, (1, 5): 2, (None, 3): 1, (None, 4): 2}
+
+
 def curve(spark, values, run="r"):
     rows = [(run, i + 1, float(v)) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, "run_id string, epoch int, test_acc double")

@@ -49,10 +49,56 @@ def test_tokens(spark):
     ]
 
 
+TOKEN_CASES = [
+    ("-" * 40 + "> x", ["-" * 40 + ">", "x"]),
+    ("a " + "-" * 40, ["a", *["-"] * 40]),
+    ("#" * 40 + "tag", ["#" * 40 + "tag"]),
+    ("#" * 40 + " tag", [*["#"] * 40, "tag"]),
+    ("5/3--->x", ["5/3-", "-->", "x"]),
+    ("--5/3", ["-", "-5/3"]),
+    (":-)->", [":-)", "->"]),
+    ("<---- and <-x", ["<----", "and", "<-", "x"]),
+    ("a-->b-c", ["a", "-->", "b-c"]),
+    ("#ab# ##b'c #-d #e", ["#ab", "#", "##b'c", "#", "-", "d", "#", "e"]),
+    ("@user_1: hi!", ["@user_1", ":", "hi", "!"]),
+    (">:( 8-P :'(", [">:(", "8-P", ":'("]),
+    ("(: d:<", ["(:", "d:<"]),
+    ("<a href> < b>", ["<", "a", "href", ">", "<", "b", ">"]),
+    ("<br/>done", ["<br/>", "done"]),
+    ("+1,000.50 -3.5+ 7", ["+1,000", ".", "50", "-3.5+", "7"]),
+    ("it's rock-n-roll's x'", ["it's", "rock-n-roll's", "x", "'"]),
+    ("snake_case _x 1a", ["snake_case", "_x", "1a"]),
+    ("wait. . .what..", ["wait", ". . .", "what", ".."]),
+    ("naïve Straße größer", ["naïve", "Straße", "größer"]),
+    ("http://a.b/c?d=e#f", ["http://a.b/c?d=e", "#", "f"]),
+    ("50% $5 a&b", ["50", "%", "$", "5", "a", "&", "b"]),
+    ("", []),
+    ("   ", []),
+]
+
+
+@pytest.mark.parametrize("text, expected", TOKEN_CASES)
+def test_token_shapes(spark, text, expected):
+    assert one(spark, X.tokenize, text) == expected
+
+
+@pytest.mark.parametrize("text, _", TOKEN_CASES)
+def test_both_matchers_read_tokens_alike(spark, text, _):
+    import duckdb
+
+    found = duckdb.execute("SELECT regexp_extract_all(?, ?)", [text, P.TOKEN]).fetchone()[0]
+    assert one(spark, X.tokenize, text) == found
+
+
 @pytest.mark.parametrize(
     "tokens, expected",
     [
         (["don't"], ["do", "n't"]),
+        (["can't", "CAN'T", "won't"], ["ca", "n't", "CA", "N'T", "wo", "n't"]),
+        (["they're", "we've", "you'd", "he'll"], ["they", "'re", "we", "'ve", "you", "'d", "he", "'ll"]),
+        (["THEY'RE", "WE'VE", "YOU'D"], ["THEY", "'RE", "WE", "'VE", "YOU", "'D"]),
+        (["'s", "n't", "a'", "'"], ["'s", "n't", "a'", "'"]),
+        (["1's", "é's"], ["1's", "é's"]),
         (["it's"], ["it", "'s"]),
         (["SHE'LL", "I'm"], ["SHE", "'LL", "I", "'m"]),
         (["shouldn't've"], ["should", "n't", "'ve"]),

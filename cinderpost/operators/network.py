@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from cinderpost.functions import scoring as S
@@ -111,13 +111,13 @@ class NetworkModel:
 
 def gradient_step(
     rows: PlacedRows, weights: DataFrame, hidden: int, rate: float
-) -> tuple[DataFrame, DataFrame]:
-    """Weights after one step down the mean squared error of all posts; and the posts' scores.
+) -> tuple[DataFrame, Row]:
+    """Weights after one step down the mean squared error of all posts, and statistics before it.
 
-    Scores are sums per post where the rows lie; only the sums of rare features are shuffled
+    The statistics are one row: posts, loss and the percentage of right classes. Scores are sums per post where the rows lie; only the sums of rare features are shuffled
     when the weights are too large to broadcast. Posts then carry their slope back to their
     rows, which are bucketed by post, and gradients are summed per feature, in part before the
-    shuffle. Both results are written.
+    shuffle. The weights are written.
     """
     first = weights.filter(F.col("feature") != OUTPUT)
     sums = rows.sums(first, "feature", _sums(hidden)).join(rows.labels, "id")
@@ -134,7 +134,10 @@ def gradient_step(
     extra = ["_inner"] if hidden else []
     scored = _activated(sums, weights, hidden).withColumn("_slope", slope)
     posts = stage(scored.select("id", "target", "p", "_slope", back.alias("_back"), *extra), "scored")
-    n = posts.count()
+    hit = ((p > 0.5) == (y == 1)).cast("double")
+    facts = posts.agg(
+        F.count("*").alias("n"), F.avg((p - y) ** 2).alias("loss"), (100.0 * F.avg(hit)).alias("hits")
+    ).first()
     units = range(max(hidden, 1))
     gradients = (
         rows.by_post.select("id", "feature", "value")
@@ -150,10 +153,12 @@ def gradient_step(
     moved = weights.join(gradients, "feature", "left").select(
         "feature",
         F.when(F.col("_g").isNull(), F.col("w"))
-        .otherwise(F.zip_with("w", "_g", lambda w, g: w - rate * g / n))
+        .otherwise(F.zip_with("w", "_g", lambda w, g: w - rate * g / facts["n"]))
         .alias("w"),
     )
-    return stage(moved, "weights"), posts
+    after = stage(moved, "weights")
+    discard(posts)
+    return after, facts
 
 
 @contextmanager
@@ -179,8 +184,9 @@ def descend(
     given = weights
     with training_rows(rows, hidden, broadcast_bytes) as placed:
         for _ in range(steps):
-            after, posts = gradient_step(placed, weights, hidden, rate)
-            discard(posts, *([weights] if weights is not given else []))
+            after, _ = gradient_step(placed, weights, hidden, rate)
+            if weights is not given:
+                discard(weights)
             weights = after
     return weights
 
@@ -205,18 +211,15 @@ def fit(
     names = train.select("feature").distinct()
     best = weights = stage(initial_weights(names, settings), "weights")
     curve: list[tuple] = []
-    hit = ((F.col("p") > 0.5) == (F.col("target") == 1)).cast("double")
     with training_rows(train, settings.hidden) as placed:
         for round_no in range(1, settings.rounds + 1):
-            after, posts = gradient_step(placed, weights, settings.hidden, settings.step)
-            loss, hits = posts.agg(F.avg((F.col("p") - F.col("target")) ** 2), 100.0 * F.avg(hit)).first()
+            after, facts = gradient_step(placed, weights, settings.hidden, settings.step)
             if weights is not best:
                 discard(weights)
-            discard(posts)
             weights = after
             accuracy = _accuracy(NetworkModel(weights, settings.hidden), validation)
             earlier = [row[-1] for row in curve]
-            curve.append((run_id, round_no, loss, hits, accuracy))
+            curve.append((run_id, round_no, facts["loss"], facts["hits"], accuracy))
             if H.is_kept(earlier, accuracy):
                 if best is not weights:
                     discard(best)

@@ -20,7 +20,10 @@ from cinderpost.sources.stages import StageStore
 
 
 def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
-    """``term, vec``: standard normal numbers, always the same for a term and seed."""
+    """``term, vec``: standard normal numbers, always the same for a term and seed.
+
+    A column ``df`` of the vocabulary, the posts of a term, is kept for later lookups.
+    """
     scale = float(1 << 30)
 
     def uniform(i, part):
@@ -32,6 +35,7 @@ def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
 
     return vocab.select(
         "term",
+        *carried(vocab, "df"),
         F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: normal(i).cast("float")).alias(
             "vec"
         ),
@@ -41,11 +45,13 @@ def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
 def pool_posts(tokenized: DataFrame, embedding: DataFrame) -> DataFrame:
     """``id, target, features``: mean vector of a post's tokens; ``target`` if there is one.
 
-    ``embedding`` is any written ``term, vec`` table. A post without a known token gets zeros.
+    ``embedding`` is any written ``term, vec`` table; a column ``df`` tells its frequent terms
+    without a pass over the posts. A post without a known token gets zeros.
        """
     counted = X.term_counts(tokenized.select("id", "tokens"), "tokens", "counts")
     rows = unroll_structs(counted, ["id"], "counts", "term")
-    found = keyed_lookup(rows, embedding, "term", "inner")
+    support = "df" if "df" in embedding.columns else None
+    found = keyed_lookup(rows, embedding, "term", "inner", support=support)
     kept = carried(tokenized, "target")
     mean = Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>")), F.col("tf").cast("double"))
     pooled = found.groupBy("id").agg(mean.alias("features"))

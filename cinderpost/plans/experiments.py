@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
-from cinderpost.operators import evaluate, naive_bayes, network, sequence, vocab
-from cinderpost.operators.features import FeatureBuilder, FeatureModel, carried
+from cinderpost.operators import evaluate, naive_bayes, network, sequence
+from cinderpost.operators.features import FeatureBuilder, FeatureModel, carried, document_frequency
 from cinderpost.operators.tokens import check_option, prepare
 from cinderpost.session import discard, stage
 from cinderpost.sources.stages import StageStore, fingerprint
@@ -198,7 +198,7 @@ def run_sequence_experiment(
 ) -> DataFrame:
     """Word vectors of the joint vocabulary, pooled per post, and a linear classifier."""
     prepared = prepare_once(posts, stemming)
-    terms = vocab.vocabulary(prepared)
+    terms = document_frequency(prepared)
     embedding = stage(sequence.random_embedding(terms, size, seed), "embedding")
     model = sequence.SequenceModel.fit(part(prepared, "train"), embedding)
     predicted = model.predict(part(prepared, "test"))

@@ -34,7 +34,3 @@ def joined(
     """
     return rows.join(F.broadcast(small) if measured_bytes(small) <= limit else small, key, how)
 
-
-def by_name(result: DataFrame, docs: DataFrame, *added: str) -> DataFrame:
-    """The columns of ``docs`` without those that a result column replaces, then ``added``."""
-    return result.select(*[c for c in docs.columns if c not in added], *added)

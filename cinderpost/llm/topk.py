@@ -62,14 +62,6 @@ class _Block:
         self.matrix = np.frombuffer(get("matrix"), np.int64).reshape(self.n, self.dim)
 
 
-def _products(query: np.ndarray, matrix: np.ndarray, bound: float) -> np.ndarray:
-    """Exact integer inner products; floats carry them where they can't exceed 2^52."""
-    d = min(len(query), matrix.shape[1])
-    if bound < 2**52:
-        return (matrix[:, :d].astype(np.float64) @ query[:d].astype(np.float64)).astype(np.int64)
-    return matrix[:, :d] @ query[:d]
-
-
 def _candidates(query: np.ndarray, norm: float, bucket: _Block, unit: np.ndarray, least: float) -> np.ndarray:
     """Rows of a bucket that may reach the score ``least``.
 
@@ -107,12 +99,11 @@ def _best(queries: _Block, bucket: _Block, least: np.ndarray, k: int) -> Iterato
         rows = rows[bucket.row[rows] != queries.row[i]]
         if not len(rows):
             continue
-        bound = norm * bucket.norm[0]
-        if bound < 2**52:
-            d = min(queries.dim, bucket.dim)
+        d = min(queries.dim, bucket.dim)
+        if norm * bucket.norm[0] < 2**52:  # then floats carry the integers exactly
             scores = (exact[rows, :d] @ q[:d].astype(np.float64)).astype(np.int64)
         else:
-            scores = _products(q, bucket.matrix[rows], bound)
+            scores = bucket.matrix[rows, :d] @ q[:d]
         keep = scores >= least[i]
         rows, scores = rows[keep], scores[keep]
         top = np.lexsort((bucket.id[rows], -scores))[:k]

@@ -261,34 +261,46 @@ def _searched(length: int):
     repeated, and for one start of every group that is.
     """
 
-    def table(ta, tb, lo, hi, fa, fb) -> pd.DataFrame:
-        prints = {"fa": pd.array(fa, "Int64"), "fb": pd.array(fb, "Int64")}
-        return pd.DataFrame({"ta": ta, "tb": tb, "lo": lo, "hi": hi, **prints})
+    def gathered(found: list[tuple], prints: list[tuple]) -> pd.DataFrame:
+        """One table of (ta, tb, lo, hi) and, for some, (fa, fb), each entry for many starts."""
+        rows, n = found + [p[:4] for p in prints], sum(len(r[2]) for r in found)
+        sizes = [len(r[2]) for r in rows]
+        out = {
+            "ta": np.repeat(np.array([r[0] for r in rows], np.int64), sizes),
+            "tb": np.repeat(np.array([r[1] for r in rows], np.int64), sizes),
+            "lo": np.concatenate([r[2] for r in rows]),
+            "hi": np.concatenate([r[3] for r in rows]),
+        }
+        known = np.arange(len(out["ta"])) >= n
+        for i, name in enumerate(("fa", "fb")):
+            values = np.concatenate([np.zeros(n, np.int64), *[p[4 + i] for p in prints]])
+            out[name] = pd.arrays.IntegerArray(values, ~known)
+        return pd.DataFrame(out)
 
     def solve(pieces: dict[bytes, set], split: bool, rolls) -> Iterator[pd.DataFrame]:
-        if not pieces or (not split and sum(map(len, pieces.values())) == 1 and len(next(iter(pieces))) == length):
+        if not pieces:
             return
         flags, own, starts = repeated_starts(pieces, length)
-        out = []
+        found, prints = [], []
         for flag, places in zip(flags, pieces.values()):
             lo, hi = _stretches(flag)
-            for ta, tb, at in places if len(lo) else ():
-                out.append(table(ta, tb, at + lo, at + hi, [None] * len(lo), [None] * len(lo)))
+            if len(lo):
+                found += [(ta, tb, at + lo, at + hi) for ta, tb, at in places]
         if split:
             data = np.frombuffer(b"".join(pieces), np.uint8)
-            prints = [roll(data, length)[starts].view(np.int64) for roll in rolls]
+            marks = [roll(data, length)[starts].view(np.int64) for roll in rolls]
             firsts = np.zeros(len(starts), bool)
             firsts[np.unique(own, return_index=True)[1]] = True
-            told, base = np.concatenate(flags), 0
+            base = 0
             for flag, places in zip(flags, pieces.values()):
-                n = len(flag)
-                wanted = np.flatnonzero(firsts[base : base + n] | ~told[base : base + n])
-                for ta, tb, at in list(places)[:1] if len(places) > 1 else places:
-                    fa, fb = (p[base + wanted] for p in prints)
-                    out.append(table(ta, tb, at + wanted, at + wanted, fa, fb))
-                base += n
-        if out:
-            yield pd.concat(out)
+                # A piece that stands at two places is repeated itself, so one of them will do.
+                ta, tb, at = next(iter(places))
+                wanted = np.flatnonzero(firsts[base : base + len(flag)] | ~flag)
+                fa, fb = (m[base + wanted] for m in marks)
+                prints.append((ta, tb, at + wanted, at + wanted, fa, fb))
+                base += len(flag)
+        if found or prints:
+            yield gathered(found, prints)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rolls = [_Rolling(b) for b in _BASES]

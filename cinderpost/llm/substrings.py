@@ -187,9 +187,11 @@ def suffix_ranks(data: np.ndarray, upto: int, keep: int) -> tuple[np.ndarray, np
 def common_prefixes(data: np.ndarray, order: np.ndarray, kept: np.ndarray, keep: int, upto: int) -> np.ndarray:
     """Per place in suffix order the bytes shared with the suffix before, up to ``upto``.
 
-    Kasai's walk through the text: the next suffix shares at least one byte less. It is done for
-    many stretches of the text at once, and only where ``keep`` bytes are known to be shared;
-    elsewhere the result is 0.
+    Kasai's walk through the text: the next suffix shares at least one byte less, if the suffix
+    before it is the next one too. Suffixes that agree in all bytes of the order are tied, so
+    that need not hold; elsewhere all bytes from ``keep`` on are compared. It is done for many
+    stretches of the text at once, and only where ``keep`` bytes are known to be shared; elsewhere
+    the result is 0.
     """
     n = len(data)
     before = np.full(n, -1, np.int64)
@@ -211,7 +213,9 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, kept: np.ndarray, keep:
         live = int(np.searchsorted(-size, -step, side="left"))
         i = begin[:live] + step
         j = before[i]
-        got = np.maximum(have[:live] - (step > 0), keep)
+        got = np.full(live, keep, np.int64)
+        if step:
+            got = np.where(j == before[i - 1] + 1, np.maximum(have[:live] - 1, keep), got)
         open_ = np.arange(live)
         while len(open_):
             a, b = i[open_] + got[open_], j[open_] + got[open_]

@@ -83,6 +83,21 @@ def test_suffix_order_and_common_prefixes():
         assert (shared[p] >= 200) == (n >= 200)
 
 
+def test_ties_beyond_the_order_share_nothing_unchecked():
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 123, 328).astype(np.uint8)
+    late, early, edited = base.copy(), base.copy(), base.copy()
+    early[300], late[300] = ord("a"), ord("z")
+    edited[190] = ord("A")
+    raw = np.concatenate([late, early, edited])
+    order, kept = substrings.suffix_ranks(raw, 200, 128)
+    shared = substrings.common_prefixes(raw, order, kept, 128, 200)
+    for p in range(1, len(raw)):
+        a, b = raw[order[p - 1] :].tobytes(), raw[order[p] :].tobytes()
+        n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert (shared[p] >= 200) == (n >= 200), (order[p - 1], order[p])
+
+
 def test_whole_table(spark, tables):
     from cinderpost.llm.queries import Q
 

@@ -130,7 +130,10 @@ def _smallest_in_component(links: np.ndarray) -> np.ndarray:
 
 
 def _verifier(threshold: float):
-    """Rows of (bucket, part, side, ...) sorted by bucket and part to links of the members."""
+    """Rows of (bucket, part, side, ...) sorted by bucket and part to links of the members.
+
+    A ``diagonal`` part pairs one block with itself; any other pairs two, either may be empty.
+    """
 
     def block(rows: list) -> Iterator[tuple]:
         seen, members = set(), []
@@ -139,8 +142,8 @@ def _verifier(threshold: float):
                 seen.add((r.side, r.rep))
                 members.append(r)
         left = [r for r in members if r.side == 0]
-        right = [r for r in members if r.side == 1] or left
-        if len(members) < 2 or not left:
+        right = left if rows and rows[0].diagonal else [r for r in members if r.side == 1]
+        if len(members) < 2 or not left or not right:
             return
         bands = lambda part: np.stack([np.asarray(r.bands, np.int64) for r in part])
         band = left[0].band
@@ -320,6 +323,7 @@ def near_duplicates(
         "bucket",
         (F.col("_p.a") * F.col("_blocks") + F.col("_p.b")).cast("long").alias("part"),
         F.col("_p.side").alias("side"),
+        (F.col("_p.a") == F.col("_p.b")).alias("diagonal"),
     )
     tasks = (
         dealt.join(sets, "rep")
@@ -327,7 +331,7 @@ def near_duplicates(
         .sortWithinPartitions("bucket", "part", "side")
     )
     links = stage(
-        tasks.select("bucket", "part", "side", "band", "rep", "copies", "bands", "shingles").mapInPandas(
+        tasks.select("bucket", "part", "side", "diagonal", "band", "rep", "copies", "bands", "shingles").mapInPandas(
             _verifier(threshold), "src string, dst string, links long"
         ),
         "links",

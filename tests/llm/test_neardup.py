@@ -54,6 +54,16 @@ def test_equals_brute_force(make_docs, block):
     assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in out) == sorted(brute(rows))
 
 
+def test_empty_blocks_count_no_link_twice(make_docs):
+    rng = random.Random(6)
+    rows = []
+    for i in range(24):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words, "more"]))]
+    out = neardup.near_duplicates(make_docs(rows), block=200).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in out) == sorted(brute(rows))
+
+
 def test_bands_reach_the_recall():
     bands, rows = neardup.bands_and_rows(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and bands * rows <= neardup.MAX_HASHES

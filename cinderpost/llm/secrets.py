@@ -21,11 +21,20 @@ KINDS = (
     # Runs shorter than this fail anyway, and a run never overlaps another one.
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+# What stands between the lines of a key, in source code and JSON too, and a key from its header
+# to its END line or the end of its base64 lines. Possessive groups need no stack in Java.
+_GAP, _END = r"""[\s\\"',]""", r"-----END\x20(?:[A-Z]+\x20)?PRIVATE\x20KEY-----"
+PRIVATE_KEY = (
+    r"-----BEGIN\x20(?:[A-Z]+\x20)?PRIVATE\x20KEY-----"
+    r"(?:(?:\\[nr]|\s)++(?:Proc-Type|DEK-Info):\x20[A-Za-z0-9,-]++)*+"
+    rf"(?:(?:{_GAP}*+[A-Za-z0-9+/=]{{16,}}+)++(?:{_GAP}++[A-Za-z0-9+/]++={{1,2}}+)?+)?+"
+    rf"(?:{_GAP}*+[A-Za-z0-9+/=]*+{_GAP}*+{_END})?+"
+)
 # Found by form as well, but reported only if the corpus shows them to be one owner's.
 KEYED = (
     "keyed",
     r"(?:gh[pousr]_|glpat-|sk-|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_.-]{16,}"
-    r"|-----BEGIN\x20(?:[A-Z]+\x20)?PRIVATE\x20KEY-----",
+    rf"|{PRIVATE_KEY}",
     0,
     16,
 )
@@ -66,6 +75,12 @@ def _found(text: Column, rank: int, pattern: str, group: int, least: int) -> Col
     return F.when(F.size(whole) > 0, some).otherwise(F.array().cast(f"array<{kind}>"))
 
 
+def _bare(value: Column) -> Column:
+    """The value; a private key without what stands between its lines."""
+    lines = F.regexp_replace(value, rf"\\[nr]|{_GAP}", "")
+    return F.when(value.startswith("-----"), lines).otherwise(value)
+
+
 def _listed(spans: Column) -> Column:
     """kind:start:end by start, then kind as listed, comma-joined."""
     names = F.array(*[F.lit(k[0]) for k in (*KINDS, KEYED)])
@@ -88,6 +103,7 @@ def scan(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_O
     ``example_owners`` owners or more is a copied example. One of fewer owners is live-looking
     if it has at least six different signs. Base spans always stay; spans found by a known key
     form (``keyed``) are added only if live-looking. n_live and n_example count all candidates.
+    A private key is its header and its whole body, whatever its line breaks are.
 
     Counting goes by (value, owner, document) first and by (value, owner) next, so a value that
     stands in a third of all documents is summed in parts. Texts are read once and not shuffled.
@@ -112,8 +128,10 @@ def scan(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_O
         some.select(
             "_row", "_owner", "doc_id", F.explode_outer(F.concat("_base", "_keyed")).alias("_span")
         ).select(
-            "_row", "_owner", "doc_id", F.sha2("_span.value", 256).alias("_value"),
-            F.size(F.array_distinct(F.split("_span.value", ""))).alias("_signs"), "_span",
+            "_row", "_owner", "doc_id", _bare(F.col("_span.value")).alias("_bare"), "_span"
+        ).select(
+            "_row", "_owner", "doc_id", F.sha2("_bare", 256).alias("_value"),
+            F.size(F.array_distinct(F.split("_bare", ""))).alias("_signs"), "_span",
         ),
         "candidates",
     )

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from cinderpost.llm import secrets
@@ -58,6 +59,32 @@ def test_ownership_separates_examples_from_live_values(make_docs):
     assert (out[10]["n_live"], out[12]["n_live"], out[12]["spans"]) == (1, 0, "")
 
 
+def private_key(seed, size=200):
+    draw = random.Random(seed)
+    return ["".join(draw.choice("ABCabc0123+/xyz") for _ in range(64)) for _ in range(size // 64)] + ["Zz9+q" + "=="]
+
+
+def test_private_keys_are_told_apart_by_their_bodies(make_docs):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    bodies = [private_key(i) for i in range(5)]
+    keys = ["\n".join([begin, *b, end]) for b in bodies[:3]]
+    rows = [(i, f"my key\n{k}\nthe end", f"s{i}") for i, k in enumerate(keys)]
+    # One key of three owners in three notations, one without an END line, a long one, headers only.
+    rows += [(10, "\r\n".join([begin, *bodies[3], end]), "s0"), (11, "\\n".join([begin, *bodies[3], end]), "s1")]
+    rows += [(12, "x " + " ".join([begin, *bodies[3], end]), "s2"), (13, "\n".join([begin, *bodies[4], "Some words"]), "s0")]
+    long = "\n".join(["-----BEGIN PRIVATE KEY-----", *private_key(9, 300_000), "-----END PRIVATE KEY-----"])
+    rows += [(14, long, "s1"), *[(20 + i, f"{begin} is how such a file starts", f"s{i}") for i in range(3)]]
+    rows += [(30, f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n" + "\n".join([*bodies[1][:2], end]), "s1")]
+    out = {r["doc_id"]: r for r in secrets.scan(make_docs(rows)).collect()}
+    for i, k in enumerate(keys):
+        assert (out[i]["spans"], out[i]["n_live"], out[i]["n_example"]) == (f"keyed:7:{7 + len(k)}", 1, 0)
+    for i in (10, 11, 12, 20, 21, 22):
+        assert (out[i]["spans"], out[i]["n_live"], out[i]["n_example"]) == ("", 0, 1), i
+    assert out[13]["spans"] == f"keyed:0:{len(rows[6][1]) - len('Some words') - 1}"
+    assert out[14]["spans"] == f"keyed:0:{len(long)}"
+    assert out[30]["spans"] == f"keyed:0:{len(rows[-1][1])}"
+
+
 def test_repeated_null_and_empty_input(make_docs):
     rows = [(1, f"token={HEX}"), (1, f"token={HEX}"), (None, f"token={HEX}", None), (None, None, None)]
     out = secrets.scan(make_docs(rows)).collect()

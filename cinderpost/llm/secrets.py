@@ -39,6 +39,7 @@ KEYED = (
     16,
 )
 EXAMPLE_OWNERS = 3
+EXAMPLE_DOCS = 10
 LEAST_SIGNS = 6
 
 
@@ -95,14 +96,33 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """One row per document: counts by kind, base_sha256, spans, n_live, n_example.
+def _frequencies(spans: Column) -> Column:
+    """kind:start:end:documents:owners in the order of ``_listed``, comma-joined."""
+    names = F.array(*[F.lit(k[0]) for k in (*KINDS, KEYED)])
+    numbers = ("start", "end", "docs", "owners")
+    return F.array_join(
+        F.transform(
+            F.array_sort(spans),
+            lambda s: F.concat_ws(":", F.get(names, s["rank"]), *[s[n].cast("string") for n in numbers]),
+        ),
+        ",",
+    )
+
+
+def scan(
+    docs: DataFrame,
+    owner: str = "source",
+    example_owners: int = EXAMPLE_OWNERS,
+    example_docs: int = EXAMPLE_DOCS,
+) -> DataFrame:
+    """One row per document: counts by kind, base_sha256, spans, n_live, n_example, frequencies.
 
     Every candidate value is counted over the whole corpus: in how many documents
     (repositories) it stands and how many distinct owners have it. A value of
-    ``example_owners`` owners or more is a copied example. One of fewer owners is live-looking
-    if it has at least six different signs. Base spans always stay; spans found by a known key
-    form (``keyed``) are added only if live-looking. n_live and n_example count all candidates.
+    ``example_owners`` owners or more, or in ``example_docs`` documents or more whoever owns them,
+    is a copied example. Any other one is live-looking if it has at least six different signs. Base spans always stay; spans found by a known key
+    form (``keyed``) are added only if live-looking. n_live and n_example count all candidates,
+    and frequencies lists them all as kind:start:end:documents:owners.
     A private key is its header and its whole body, whatever its line breaks are.
 
     Counting goes by (value, owner, document) first and by (value, owner) next, so a value that
@@ -143,15 +163,21 @@ def scan(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_O
         .groupBy("_value", "_signs")
         .agg(F.count("*").alias("_owners"), F.sum("_docs").alias("_docs"))
     )
+    example = (F.col("_owners") >= example_owners) | (F.col("_docs") >= example_docs)
     classes = stage(
         spread.select(
             "_value",
-            (F.col("_owners") >= example_owners).alias("_example"),
-            ((F.col("_owners") < example_owners) & (F.col("_signs") >= LEAST_SIGNS)).alias("_live"),
+            "_docs",
+            "_owners",
+            example.alias("_example"),
+            (~example & (F.col("_signs") >= LEAST_SIGNS)).alias("_live"),
         ),
         "ownership",
     )
     added = F.col("_live") & (F.col("_span.rank") == len(KINDS))
+    counted = F.struct(
+        "_span.start", "_span.rank", "_span.end", F.col("_docs").alias("docs"), F.col("_owners").alias("owners")
+    )
     judged = (
         keyed_lookup(found, classes, "_value")
         .groupBy("_row")
@@ -159,6 +185,7 @@ def scan(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_O
             F.count_if("_live").alias("n_live"),
             F.count_if("_example").alias("n_example"),
             F.collect_list(F.when(added, F.col("_span"))).alias("_added"),
+            F.collect_list(counted).alias("_counted"),
         )
     )
     count = lambda i: F.size(F.filter("_base", lambda s: s["rank"] == i)).cast("long")
@@ -170,4 +197,5 @@ def scan(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_O
         _listed(spans).alias("spans"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        F.coalesce(_frequencies(F.col("_counted")), F.lit("")).alias("frequencies"),
     )

@@ -85,6 +85,20 @@ def test_private_keys_are_told_apart_by_their_bodies(make_docs):
     assert out[30]["spans"] == f"keyed:0:{len(rows[-1][1])}"
 
 
+def test_many_documents_of_few_owners_make_an_example(make_docs):
+    rows = [(i, f"use {KEY}0spread now", f"s{i % 2}") for i in range(secrets.EXAMPLE_DOCS)]
+    rows += [(100 + i, f"use {KEY}1rare now", "s0") for i in range(secrets.EXAMPLE_DOCS - 1)]
+    rows += [(100, f"use {KEY}1rare now", "s0")] * 20
+    out = secrets.scan(make_docs(rows)).collect()
+    end, n = 4 + len(KEY), secrets.EXAMPLE_DOCS
+    for r in out:
+        got = (r["spans"], r["n_live"], r["n_example"], r["frequencies"])
+        if r["doc_id"] < 100:
+            assert got == ("", 0, 1, f"keyed:4:{end + 7}:{n}:2")
+        else:
+            assert got == (f"keyed:4:{end + 5}", 1, 0, f"keyed:4:{end + 5}:{n - 1}:1")
+
+
 def test_repeated_null_and_empty_input(make_docs):
     rows = [(1, f"token={HEX}"), (1, f"token={HEX}"), (None, f"token={HEX}", None), (None, None, None)]
     out = secrets.scan(make_docs(rows)).collect()

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cinderpost.llm.common import LOWER, UPPER, joined
+from cinderpost.operators.lookup import BROADCAST_BYTES, measured_bytes
 from cinderpost.session import discard, stage
 
+# Scores are settled when a round changes them by less than this in all; more rounds than
+# MOST_ROUNDS mean that they never will be.
+TOLERANCE = 1e-9
+MOST_ROUNDS = 400
+
 HREF = r"""(?i:<a\s[^>]*?\bhref)\s*=\s*["']?([^"'\s>]+)"""
 Rule = tuple[str, str, str]
 
@@ -79,15 +85,26 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+def propagate(
+    edges: DataFrame,
+    seeds: DataFrame,
+    damping: float = 0.85,
+    rounds: int | None = None,
+    tolerance: float = TOLERANCE,
+    most_rounds: int = MOST_ROUNDS,
+) -> DataFrame:
     """Trust along the edges and distrust against them: host, trust, distrust.
 
     Two personalised PageRanks in the same rounds. ``seeds`` holds host, trust, distrust; each
-    kind sums to one or is all zero. A host without outgoing edges keeps what reaches it. After
-    ``rounds`` rounds what is still on its way is at most damping ** rounds (14 %) of all.
+    kind sums to one or is all zero. A host without outgoing edges keeps what reaches it.
+
+    Rounds go on until one changes the scores of all hosts together by less than ``tolerance``;
+    what is still on its way then is at most damping / (1 - damping) times that. No such round
+    among ``most_rounds`` is an error. With ``rounds`` there are just so many, settled or not.
 
     Each round is one join of the edges with the scores and one aggregation, partly done before
-    its shuffle; its result is written, so a lost executor costs no more than the round.
+    its shuffle; its result is written, so a lost executor costs no more than the round. The
+    change is summed while it is written.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("n"))
     back = edges.groupBy("dst").agg(F.sum("weight").alias("n"))
@@ -102,9 +119,18 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
         "flow",
     )
     start = seeds.select("host", F.col("trust").alias("_t"), F.col("distrust").alias("_d"))
+    # Every round scores some of the same hosts, so their bytes are counted once.
+    hosts = flow.select(F.col("to").alias("host")).union(seeds.select("host")).distinct()
+    small = measured_bytes(hosts.withColumns({"trust": F.lit(0.0), "distrust": F.lit(0.0)})) <= BROADCAST_BYTES
+    old, none = ("_trust", "_distrust"), {"_trust": F.lit(0.0), "_distrust": F.lit(0.0)}
+    sums = [F.sum(c).alias(c) for c in ("trust", "distrust", *old)]
+    change = F.sum(F.abs(F.col("trust") - F.col("_trust")) + F.abs(F.col("distrust") - F.col("_distrust")))
     scores = stage(seeds, "scores")
-    for _ in range(rounds):
-        moved = joined(flow, scores, "host", "inner").select(
+    done = 0
+    while rounds is None or done < rounds:
+        if rounds is None and done == most_rounds:
+            raise RuntimeError(f"scores of hosts are not settled after {most_rounds} rounds")
+        moved = flow.join(F.broadcast(scores) if small else scores, "host").select(
             F.col("to").alias("host"),
             (F.col("trust") * F.col("t") * damping).alias("trust"),
             (F.col("distrust") * F.col("d") * damping).alias("distrust"),
@@ -112,22 +138,39 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
         given = start.select(
             "host", (F.col("_t") * (1 - damping)).alias("trust"), (F.col("_d") * (1 - damping)).alias("distrust")
         )
+        before = scores.select(
+            "host",
+            F.lit(0.0).alias("trust"),
+            F.lit(0.0).alias("distrust"),
+            F.col("trust").alias("_trust"),
+            F.col("distrust").alias("_distrust"),
+        )
+        seen = Observation()
         after = stage(
-            moved.unionByName(given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")),
+            moved.unionByName(given)
+            .withColumns(none)
+            .unionByName(before)
+            .groupBy("host")
+            .agg(*sums)
+            .observe(seen, change.alias("change"))
+            .drop(*old),
             "scores",
         )
         discard(scores)
-        scores = after
+        scores, done = after, done + 1
+        if rounds is None and (seen.get["change"] or 0.0) < tolerance:
+            break
     discard(flow)
     return scores
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], threshold: float = 1.0, rounds: int = 12) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[Rule], threshold: float = 1.0, rounds: int | None = None) -> DataFrame:
     """Verdict on every page: the longest rule's, else its host's by propagated trust.
 
     Seeds are the hosts of pages under rules: a host has the share of all allowed pages as trust
     and the share of all blocked pages as distrust. A host is blocked if its distrust is above
-    ``threshold`` times its trust; a host that nothing reaches is allowed.
+    ``threshold`` times its trust; a host that nothing reaches is allowed. Scores are settled,
+    unless ``rounds`` are given.
 
     Null urls and urls without :// have empty host and path, fit no rule and are allowed, as the
     empty host takes no part in the graph. Null html has no links. Equal rows give equal rows;

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from cinderpost.llm import linkgraph
 from cinderpost.llm.queries import URL_RULES
 
@@ -75,6 +77,27 @@ def test_propagation_equals_a_dense_computation(spark):
         assert abs((row["distrust"] if row else 0) - distrust.get(host, 0)) < 1e-12
 
 
+def test_scores_are_settled_however_long_the_path(spark):
+    path = [f"h{i:02d}" for i in range(20)]
+    edges = [(a, b, 1.0) for a, b in zip(path, path[1:])] + [("x", "x", 1.0)]
+    seeds = [(path[0], 1.0, 0.0), (path[-1], 0.0, 1.0)]
+    frame = spark.createDataFrame(edges, "src string, dst string, weight double")
+    out = linkgraph.propagate(frame, spark.createDataFrame(seeds, "host string, trust double, distrust double"))
+    got = {r["host"]: r for r in out.collect()}
+    trust = dense(edges, {path[0]: 1.0}, "trust", 0.85, 300, False)
+    distrust = dense(edges, {path[-1]: 1.0}, "distrust", 0.85, 300, True)
+    assert all(trust[h] > 0 and distrust[h] > 0 for h in path)
+    for host in path:
+        assert abs(got[host]["trust"] - trust[host]) < 1e-8 and abs(got[host]["distrust"] - distrust[host]) < 1e-8
+
+
+def test_scores_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, trust double, distrust double")
+    with pytest.raises(RuntimeError):
+        linkgraph.propagate(edges, seeds, most_rounds=3)
+
+
 def test_links_spread_distrust_backwards(spark):
     link = '<a class="x" href="http://bad.net/es/1">x</a> <a href=/own>y</a>'
     rows = [

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinderpost.llm.common import joined
+from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.session import discard, ship_package, stage
 
 LENGTH = 200
@@ -131,7 +132,7 @@ def _pieces(length: int, gram: int):
 
 
 def _cut_out(length: int):
-    """Texts with their candidate stretches to rows that carry the bytes."""
+    """Texts with their candidate stretches to rows that carry the bytes and a digest of them."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -139,9 +140,10 @@ def _cut_out(length: int):
             for r in batch.itertuples(index=False):
                 for p in r.pieces:
                     body = bytes(r.body[p["lo"] : p["hi"] + length])
-                    salt = int.from_bytes(hashlib.blake2b(body, digest_size=4).digest(), "big") % p["parts"]
-                    out.append((p["hash"], salt, p["parts"] > 1, r.ta, r.tb, p["lo"], body))
-            yield pd.DataFrame(out, columns=["hash", "salt", "split", "ta", "tb", "lo", "body"])
+                    digest = hashlib.blake2b(body, digest_size=16).digest()
+                    da, db = (int.from_bytes(d, "big", signed=True) for d in (digest[:8], digest[8:]))
+                    out.append((p["hash"], da % p["parts"], p["parts"] > 1, r.ta, r.tb, p["lo"], da, db, body))
+            yield pd.DataFrame(out, columns=["hash", "salt", "split", "ta", "tb", "lo", "da", "db", "body"])
 
     return cut
 
@@ -235,8 +237,19 @@ def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
 
 
-def repeated_starts(pieces: dict[bytes, set], length: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """For distinct pieces with their places: which starts are repeated, and their groups.
+def distinct_pieces(cut: DataFrame) -> DataFrame:
+    """One row per piece of equal bytes: hash, salt, split, da, db, body, many (at two places).
+
+    Equal pieces are put together before the shuffle too, so what a passage of many documents
+    costs a task grows with the tasks before it and not with the documents.
+    """
+    return cut.groupBy("hash", "salt", "split", "da", "db").agg(
+        F.first("body").alias("body"), (F.count("*") > 1).alias("many")
+    )
+
+
+def repeated_starts(pieces: dict[bytes, tuple], length: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """For distinct pieces with (da, db, many): which starts are repeated, and their groups.
 
     Returns a flag per start for every piece, the starts' group numbers, and the bytes' places
     of the starts in the pieces put together.
@@ -250,7 +263,7 @@ def repeated_starts(pieces: dict[bytes, set], length: int) -> tuple[list[np.ndar
     group[order] = np.cumsum(shared < length)
     begin = np.cumsum(sizes) - sizes
     starts = np.concatenate([np.arange(b, b + s - length + 1) for b, s in zip(begin, sizes)])
-    copies = np.repeat([len(pieces[b]) for b in bodies], sizes - length + 1)
+    copies = np.repeat([1 + pieces[b][2] for b in bodies], sizes - length + 1)
     _, own = np.unique(group[starts], return_inverse=True)
     many = np.bincount(own, weights=copies) > 1
     flags = np.split(many[own], np.cumsum(sizes - length + 1)[:-1])
@@ -258,57 +271,55 @@ def repeated_starts(pieces: dict[bytes, set], length: int) -> tuple[list[np.ndar
 
 
 def _searched(length: int):
-    """Rows of shards, sorted by shard, to stretches of starts that are repeated.
+    """Distinct pieces, sorted by shard, to stretches of starts that are repeated.
 
-    Stretches have ta, tb, lo, hi. A shard that is only part of its hash also gives rows with
+    Stretches have da, db, lo, hi, counted from the begin of the piece. A shard that is only part of its hash also gives rows with
     fa, fb, a fingerprint of the string from lo: for every start that is not yet known to be
     repeated, and for one start of every group that is.
     """
 
     def gathered(found: list[tuple], prints: list[tuple]) -> pd.DataFrame:
-        """One table of (ta, tb, lo, hi) and, for some, (fa, fb), each entry for many starts."""
+        """One table of (da, db, lo, hi) and, for some, (fa, fb), each entry for many starts."""
         rows, n = found + [p[:4] for p in prints], sum(len(r[2]) for r in found)
         sizes = [len(r[2]) for r in rows]
         out = {
-            "ta": np.repeat(np.array([r[0] for r in rows], np.int64), sizes),
-            "tb": np.repeat(np.array([r[1] for r in rows], np.int64), sizes),
+            "da": np.repeat(np.array([r[0] for r in rows], np.int64), sizes),
+            "db": np.repeat(np.array([r[1] for r in rows], np.int64), sizes),
             "lo": np.concatenate([r[2] for r in rows]),
             "hi": np.concatenate([r[3] for r in rows]),
         }
-        known = np.arange(len(out["ta"])) >= n
+        known = np.arange(len(out["da"])) >= n
         for i, name in enumerate(("fa", "fb")):
             values = np.concatenate([np.zeros(n, np.int64), *[p[4 + i] for p in prints]])
             out[name] = pd.arrays.IntegerArray(values, ~known)
         return pd.DataFrame(out)
 
-    def solve(pieces: dict[bytes, set], split: bool, rolls) -> Iterator[pd.DataFrame]:
+    def solve(pieces: dict[bytes, tuple], split: bool, rolls) -> Iterator[pd.DataFrame]:
         if not pieces:
             return
         flags, own, starts = repeated_starts(pieces, length)
         found, prints = [], []
-        for flag, places in zip(flags, pieces.values()):
+        for flag, (da, db, _) in zip(flags, pieces.values()):
             lo, hi = _stretches(flag)
             if len(lo):
-                found += [(ta, tb, at + lo, at + hi) for ta, tb, at in places]
+                found.append((da, db, lo, hi))
         if split:
             data = np.frombuffer(b"".join(pieces), np.uint8)
             marks = [roll(data, length)[starts].view(np.int64) for roll in rolls]
             firsts = np.zeros(len(starts), bool)
             firsts[np.unique(own, return_index=True)[1]] = True
             base = 0
-            for flag, places in zip(flags, pieces.values()):
-                # A piece that stands at two places is repeated itself, so one of them will do.
-                ta, tb, at = next(iter(places))
+            for flag, (da, db, _) in zip(flags, pieces.values()):
                 wanted = np.flatnonzero(firsts[base : base + len(flag)] | ~flag)
                 fa, fb = (m[base + wanted] for m in marks)
-                prints.append((ta, tb, at + wanted, at + wanted, fa, fb))
+                prints.append((da, db, wanted, wanted, fa, fb))
                 base += len(flag)
         if found or prints:
             yield gathered(found, prints)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rolls = [_Rolling(b) for b in _BASES]
-        pieces: dict[bytes, set] = {}
+        pieces: dict[bytes, tuple] = {}
         size, at, split = 0, None, False
         for batch in batches:
             for r in batch.itertuples(index=False):
@@ -319,10 +330,8 @@ def _searched(length: int):
                     pieces, size = {}, 0
                 at, split = shard, r.split
                 body = bytes(r.body)
-                if body not in pieces:
-                    pieces[body] = set()
-                    size += len(body)
-                pieces[body].add((r.ta, r.tb, r.lo))
+                pieces[body] = (r.da, r.db, r.many)
+                size += len(body)
         yield from solve(pieces, split, rolls)
 
     return search
@@ -369,11 +378,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     2. Winnowing: every string is routed by the hash of its smallest ``gram``-byte substring, in
        one pass over the text. Copies of a string have the same hash, so only strings whose hash
        occurs twice can be repeated, and all copies meet in the shard of their hash.
-    3. Shards hold the bytes of these strings and build a suffix array by Larsson and Sadakane's
+    3. Shards hold the distinct bytes of these strings, counted once or more than once, and build a suffix array by Larsson and Sadakane's
        refinement, with Kasai's common prefixes: neighbours that share ``length`` bytes are
        copies. A shard holds about ``shard`` bytes.
     4. A hash with more than that is dealt into several shards by a digest of the bytes. What
        they find is merged over all shards by fingerprints (128 bits) of the strings.
+    5. What was found in a piece goes back to all its places by the digest (128 bits) of its bytes.
 
     Null and empty texts have no bytes. Texts are UTF-8. Rows count as they come, equal ones as
     copies; extra columns are ignored.
@@ -416,27 +426,41 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     )
     discard(pieces, hashes)
     bodies = joined(single.withColumn("_text", ids), wanted, "_text", "inner").select("ta", "tb", "body", "pieces")
-    rows = bodies.mapInPandas(
-        _cut_out(length), "hash long, salt int, split boolean, ta long, tb long, lo long, body binary"
-    )
+    kind = "hash long, salt int, split boolean, ta long, tb long, lo long, da long, db long, body binary"
+    rows = stage(bodies.mapInPandas(_cut_out(length), kind), "cut-pieces")
     found = stage(
-        rows.repartition("hash", "salt")
+        distinct_pieces(rows)
+        .repartition("hash", "salt")
         .sortWithinPartitions("hash", "salt")
-        .mapInPandas(_searched(length), "ta long, tb long, lo long, hi long, fa long, fb long"),
+        .mapInPandas(_searched(length), "da long, db long, lo long, hi long, fa long, fb long"),
         "repeats",
     )
     prints = found.filter("fa IS NOT NULL").distinct()
     shared = prints.groupBy("fa", "fb").agg(F.count("*").alias("n")).filter("n > 1").select("fa", "fb")
-    merged = prints.join(shared, ["fa", "fb"]).select("ta", "tb", "lo", "hi")
-    spans = stage(
+    merged = prints.join(shared, ["fa", "fb"]).select("da", "db", "lo", "hi")
+    piece = F.struct("da", "db").alias("_piece")
+    repeats = stage(
         found.filter("fa IS NULL")
-        .select("ta", "tb", "lo", "hi")
+        .select("da", "db", "lo", "hi")
         .union(merged)
-        .groupBy("ta", "tb")
+        .groupBy("da", "db")
         .agg(F.collect_list(F.struct("lo", "hi")).alias("_s"))
-        .select(ids, F.transform("_s", lambda s: s["lo"]).alias("_lo"), F.transform("_s", lambda s: s["hi"]).alias("_hi")),
+        .select(piece, F.transform("_s", lambda s: s["lo"]).alias("_lo"), F.transform("_s", lambda s: s["hi"]).alias("_hi")),
+        "repeats-of-pieces",
+    )
+    shifted = lambda c: F.transform(c, lambda x: x + F.col("lo")).alias(c)
+    spans = stage(
+        keyed_lookup(rows.select(piece, "ta", "tb", "lo"), repeats, "_piece", "inner")
+        .groupBy("ta", "tb")
+        .agg(F.collect_list(F.struct(shifted("_lo"), shifted("_hi"))).alias("_s"))
+        .select(
+            ids,
+            F.flatten(F.transform("_s", lambda s: s["_lo"])).alias("_lo"),
+            F.flatten(F.transform("_s", lambda s: s["_hi"])).alias("_hi"),
+        ),
         "spans",
     )
+    discard(rows, repeats)
     discard(found, wanted)
     everywhere = joined(joined(own.withColumn("_text", ids), copied.drop("_first"), "_text"), spans, "_text")
     n = F.octet_length("body").cast("long")

@@ -98,6 +98,26 @@ def test_ties_beyond_the_order_share_nothing_unchecked():
         assert (shared[p] >= 200) == (n >= 200), (order[p - 1], order[p])
 
 
+@pytest.mark.parametrize("shard", [substrings.SHARD_BYTES, 200])
+def test_a_hot_passage_reaches_its_shard_once(spark, make_docs, monkeypatch, shard):
+    rng = random.Random(9)
+    fresh = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    passage = fresh(150)
+    texts = [fresh(30) + passage + fresh(30) for _ in range(200)]
+    searched = []
+    distinct = substrings.distinct_pieces
+
+    def counted(rows):
+        out = distinct(rows)
+        searched.append((rows.count(), out.count(), rows.select("body").distinct().count(), out.filter("many").count()))
+        return out
+
+    monkeypatch.setattr(substrings, "distinct_pieces", counted)
+    assert run(make_docs, texts, length=40, gram=16, shard=shard) == brute(texts, 40)
+    [(rows, pieces, bodies, many)] = searched
+    assert pieces == bodies and many > 0 and rows - pieces > 150
+
+
 def test_whole_table(spark, tables):
     from cinderpost.llm.queries import Q
 

@@ -52,12 +52,21 @@ def op5_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(chat.neighbour_pairs(table(spark, sf_dir, "conversations")))
 
 
+def _lines_left(kept: DataFrame) -> DataFrame:
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", "n_runs", digest)
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per document, how many go as later copies, and a digest of what stays."""
-    kept = lines.without_repeats(table(spark, sf_dir, "documents"))
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
-    return kept.select("doc_id", "n_lines", "n_removed", "n_runs", digest)
+    return _lines_left(lines.without_repeats(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_line_dedup_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, where short lines that many documents have are copies as well."""
+    return _lines_left(lines.without_repeats(table(spark, sf_dir, "documents"), common_docs=lines.COMMON_DOCS))
 
 
 @query

@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, quality, secrets, substrings, topk
+from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, quality, secrets, substrings, topk, whitening
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -105,4 +105,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every usable vector."""
+    return whitening.whitened_table(table(spark, sf_dir, "embeddings"))
+
+
 Q["pipeline"] = corpus_pipeline.run

@@ -148,3 +148,52 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+ORACLES["op12_minhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+grams AS (
+  SELECT DISTINCT r, array_to_string(ws[p:p + least(len(ws), 5) - 1], ' ') AS g, least(len(ws), 5) AS k
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) AS p FROM words WHERE len(ws) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+common AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.k = b.k AND a.r <> b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes s ON s.r = x JOIN sizes t ON t.r = y WHERE 100 * c >= 85 * (s.n + t.n - c)),
+reached AS (
+  SELECT r AS x, r AS y FROM words
+  UNION
+  SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+classes AS (SELECT x, min(doc_id) AS component_id FROM reached JOIN words ON words.r = y GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM words JOIN classes ON classes.x = words.r LEFT JOIN sizes ON sizes.r = words.r
+"""
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
+counted AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, any_value(ws[i:i + k - 1]) AS ws, count(*)::HUGEINT AS f
+  FROM places, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(ws) GROUP BY lang, k, array_to_string(ws[i:i + k - 1], ' ')),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE k > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+scores AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, x.f AS l, y.f AS r, cut, (1000000::HUGEINT * c.f * c.f) // (x.f * y.f) AS score
+  FROM cuts c
+  JOIN counted x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.k = c.k - cut AND y.phrase = array_to_string(c.ws[cut + 1:c.k], ' ')),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, f FROM candidates WHERE k = 3
+  UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), f FROM candidates WHERE k = 3),
+gone AS (SELECT DISTINCT i.lang, i.phrase FROM inside i JOIN candidates c ON c.lang = i.lang AND c.phrase = i.phrase AND c.k = 2 WHERE 100 * i.f >= 50 * c.f),
+left_over AS (SELECT l.* FROM lowest l ANTI JOIN gone g ON l.lang = g.lang AND l.phrase = g.phrase),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""

@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderpost.llm import chat, decontaminate, linkgraph, lines, mixing, neardup, quality, secrets, substrings, topk, whitening
+from cinderpost.llm import chat, collocations, decontaminate, hamming, linkgraph, lines, mixing, neardup, quality, secrets, substrings, topk, whitening
 from cinderpost.llm.common import table
 from cinderpost.llm.oracles import ORACLES  # noqa: F401
 
@@ -111,4 +111,16 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_table(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose five-word shingles are similar at 0.85 or more."""
+    return hamming.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 tightest phrases of two or three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 Q["pipeline"] = corpus_pipeline.run

@@ -27,6 +27,8 @@ LOSS = 1e-5
 ERRORS = 1
 # What a task holds of a bucket at once is two blocks of this many shingles or values.
 BLOCK = 60_000
+# Parts of so few members are compared together.
+FEW = 16
 # Pairs with one centre that one task joins to it.
 PER_CENTRE = 1000
 
@@ -138,54 +140,85 @@ def _similar_pair(percent: int):
     return similar
 
 
+def _meet(wrong: np.ndarray, place: np.ndarray, chunks: Chunks) -> np.ndarray:
+    """Pairs (rows: which values differ) within the distance that no bucket of an earlier place has."""
+    out = wrong.sum(axis=1) <= chunks.distance
+    wrong = wrong[out]
+    errors = np.add.reduceat(wrong, chunks.starts, axis=1, dtype=np.int32)
+    first = np.argmax(errors <= ERRORS, axis=1)
+    at = np.array(chunks.starts)[first]
+    # Of an equal chunk its first value counts as the masked one.
+    one = errors[np.arange(len(first)), first] == 1
+    for k, (lo, hi) in enumerate(chunks.bounds()):
+        mine = one & (first == k)
+        if mine.any():
+            at[mine] = lo + np.argmax(wrong[mine, lo:hi], axis=1)
+    out[out] = at == place[out]
+    return out
+
+
 def _eligible(left: pd.DataFrame, right: pd.DataFrame, place: int, chunks: Chunks) -> np.ndarray:
     """Pairs within the distance, not linked yet, that no bucket of an earlier place has as well."""
     a, b = _matrix(left["sig"].tolist()), _matrix(right["sig"].tolist())
     out = left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]
     for i in range(len(a)):
         js = np.flatnonzero(out[i])
-        wrong = a[i] != b[js]
-        errors = np.add.reduceat(wrong, chunks.starts, axis=1, dtype=np.int32)
-        first = np.argmax(errors <= ERRORS, axis=1)
-        at = np.array(chunks.starts)[first]
-        # Of an equal chunk its first value counts as the masked one.
-        one = errors[np.arange(len(js)), first] == 1
-        for k, (lo, hi) in enumerate(chunks.bounds()):
-            mine = one & (first == k)
-            if mine.any():
-                at[mine] = lo + np.argmax(wrong[mine, lo:hi], axis=1)
-        out[i, js] = (errors.sum(axis=1) <= chunks.distance) & (at == place)
+        out[i, js] = _meet(a[i] != b[js], np.full(len(js), place), chunks)
     return out
 
 
-def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
-    """The two blocks of every part of every bucket; rows come sorted by bucket and part."""
-
-    def split(rows: pd.DataFrame):
-        left = rows[rows["side"] == 0]
-        return left, left if rows["diagonal"].iloc[0] else rows[rows["side"] == 1]
-
+def _whole_parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches that end with a part, and where parts begin; rows come sorted by bucket and part."""
     held: list[pd.DataFrame] = []
     for batch in batches:
-        for _, rows in batch.groupby(["bucket", "part"], sort=False):
-            if held and (held[0]["bucket"].iloc[0], held[0]["part"].iloc[0]) != (rows["bucket"].iloc[0], rows["part"].iloc[0]):
-                yield split(pd.concat(held))
-                held = []
-            held.append(rows)
+        if not len(batch):
+            continue
+        ends = batch[["bucket", "part"]].iloc[-1]
+        last = ((batch["bucket"] == ends["bucket"]) & (batch["part"] == ends["part"])).to_numpy()
+        first = held and (held[-1][["bucket", "part"]].iloc[-1] == ends).all()
+        if last.all() and (first or not held):
+            held.append(batch)
+            continue
+        yield _with_starts(pd.concat([*held, batch[~last]], ignore_index=True))
+        held = [batch[last]]
     if held:
-        yield split(pd.concat(held))
+        yield _with_starts(pd.concat(held, ignore_index=True))
+
+
+def _with_starts(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    new = np.append(True, (np.diff(rows["bucket"]) != 0) | (np.diff(rows["part"]) != 0))
+    return rows, np.flatnonzero(new)
+
+
+def _blocks(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    left = rows[rows["side"] == 0]
+    return left, left if rows["diagonal"].iloc[0] else rows[rows["side"] == 1]
 
 
 def _live(chunks: Chunks):
+    """Members of parts that have a partner to be verified; without their signatures."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for left, right in _parts(batches):
-            if len(left) and len(right):
-                able = _eligible(left, right, left["place"].iloc[0], chunks)
-                if right is left:
-                    yield left[able.any(axis=1)]
-                else:
-                    yield left[able.any(axis=1)]
-                    yield right[able.any(axis=0)]
+        for rows, starts in _whole_parts(batches):
+            sizes = np.diff(np.append(starts, len(rows)))
+            live = np.zeros(len(rows), bool)
+            few = np.repeat((sizes <= FEW) & rows["diagonal"].to_numpy()[starts], sizes)
+            part = np.repeat(np.arange(len(starts)), sizes)
+            sigs, labels, places = _matrix(rows["sig"].tolist()), rows["label"].to_numpy(), rows["place"].to_numpy()
+            # Members of small parts meet all at once: each with the one d rows on.
+            for d in range(1, min(FEW, len(rows))):
+                i = np.flatnonzero(few[:-d] & (part[:-d] == part[d:]) & (labels[:-d] != labels[d:]))
+                i = i[_meet(sigs[i] != sigs[i + d], places[i], chunks)]
+                live[i] = live[i + d] = True
+            for at, size in zip(starts, sizes):
+                if not few[at]:
+                    own = rows.iloc[at : at + size]
+                    left, right = _blocks(own)
+                    if len(left) and len(right):
+                        able = _eligible(left, right, left["place"].iloc[0], chunks)
+                        live[left.index[able.any(axis=1)]] = True
+                        live[right.index[able.any(axis=0)]] = True
+            yield rows[live].drop(columns="sig")
 
     return run
 
@@ -194,7 +227,7 @@ def _verified(percent: int, chunks: Chunks):
     """Links between labels, as few as connect what the links of a part connect."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for left, right in _parts(batches):
+        for left, right in (_blocks(rows.iloc[a:b]) for rows, at in _whole_parts(batches) for a, b in zip(at, [*at[1:], len(rows)])):
             if not len(left) or not len(right):
                 continue
             able = _eligible(left, right, left["place"].iloc[0], chunks)
@@ -305,9 +338,7 @@ def _late_links(
             .select("bucket", "part", "side", "diagonal", "place", "rep", "label", *values)
         )
 
-    live = stage(
-        met(dealt, "sig").mapInPandas(lambda it: (x.drop(columns="sig") for x in _live(chunks)(it)), schema), "live"
-    )
+    live = stage(met(dealt, "sig").mapInPandas(_live(chunks), schema), "live")
     links = stage(
         met(live, "sig", "shingles").mapInPandas(_verified(percent, chunks), "src long, dst long").distinct(), "late-links"
     )

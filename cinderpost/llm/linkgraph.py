@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.llm.common import LOWER, UPPER, joined
@@ -15,6 +15,8 @@ from cinderpost.session import discard, stage
 # MOST_ROUNDS mean that they never will be.
 TOLERANCE = 1e-9
 MOST_ROUNDS = 400
+# Distrust above the threshold by less than this share of the trust doesn't block.
+MARGIN = 1e-6
 
 HREF = r"""(?i:<a\s[^>]*?\bhref)\s*=\s*["']?([^"'\s>]+)"""
 Rule = tuple[str, str, str]
@@ -57,7 +59,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     host. Each host also has one link to its parent domain and back, since owners of a domain
     answer for its subdomains. Edges are summed before they are shuffled.
     """
-    links = (
+    links = stage(
         pages.select(
             F.col("host").alias("src"),
             F.explode_outer(
@@ -72,7 +74,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
         .filter(F.col("_to").isNotNull())
         .select("src", F.when(F.col("_to") == "", F.col("src")).otherwise(F.col("_to")).alias("dst"))
         .groupBy("src", "dst")
-        .agg(F.count("*").cast("double").alias("weight"))
+        .agg(F.count("*").cast("double").alias("weight")),
+        "host-links",
     )
     hosts = links.select("src").union(links.select("dst")).union(pages.select("host")).distinct()
     up = hosts.select("src", _parent(F.col("src")).alias("dst")).filter("dst IS NOT NULL")
@@ -103,8 +106,8 @@ def propagate(
     among ``most_rounds`` is an error. With ``rounds`` there are just so many, settled or not.
 
     Each round is one join of the edges with the scores and one aggregation, partly done before
-    its shuffle; its result is written, so a lost executor costs no more than the round. The
-    change is summed while it is written.
+    its shuffle; its result is written with the scores before it, so a lost executor costs no
+    more than the round, and the change is a sum over what was written.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("n"))
     back = edges.groupBy("dst").agg(F.sum("weight").alias("n"))
@@ -145,20 +148,13 @@ def propagate(
             F.col("trust").alias("_trust"),
             F.col("distrust").alias("_distrust"),
         )
-        seen = Observation()
         after = stage(
-            moved.unionByName(given)
-            .withColumns(none)
-            .unionByName(before)
-            .groupBy("host")
-            .agg(*sums)
-            .observe(seen, change.alias("change"))
-            .drop(*old),
-            "scores",
+            moved.unionByName(given).withColumns(none).unionByName(before).groupBy("host").agg(*sums), "scores"
         )
         discard(scores)
-        scores, done = after, done + 1
-        if rounds is None and (seen.get["change"] or 0.0) < tolerance:
+        scores, done = after.drop(*old), done + 1
+        scores._stage_path = after._stage_path
+        if rounds is None and (after.agg(change).first()[0] or 0.0) < tolerance:
             break
     discard(flow)
     return scores
@@ -169,8 +165,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], threshold: float = 1.0, round
 
     Seeds are the hosts of pages under rules: a host has the share of all allowed pages as trust
     and the share of all blocked pages as distrust. A host is blocked if its distrust is above
-    ``threshold`` times its trust; a host that nothing reaches is allowed. Scores are settled,
-    unless ``rounds`` are given.
+    ``threshold`` times its trust by more than MARGIN; a host that nothing reaches is allowed.
+    Scores are settled, unless ``rounds`` are given.
 
     Null urls and urls without :// have empty host and path, fit no rule and are allowed, as the
     empty host takes no part in the graph. Null html has no links. Equal rows give equal rows;
@@ -195,9 +191,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], threshold: float = 1.0, round
         (F.col("b") / F.lit(float(total["b"] or 1))).alias("distrust"),
     )
     scores = propagate(edges, seeds, rounds=rounds)
-    by_method = F.when(
-        F.coalesce("distrust", F.lit(0.0)) > threshold * F.coalesce("trust", F.lit(0.0)), "block"
-    ).otherwise("allow")
+    # Sums of doubles depend on the order of their rows; so near the threshold they count as on it.
+    most = threshold * (1 + MARGIN) * F.coalesce("trust", F.lit(0.0))
+    by_method = F.when(F.coalesce("distrust", F.lit(0.0)) > most, "block").otherwise("allow")
     return joined(judged, scores, "host").select(
         "page_id",
         "host",

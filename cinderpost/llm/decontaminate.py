@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.llm.common import LOWER, UPPER, joined, row_key
-from cinderpost.operators.lookup import keyed_lookup
 from cinderpost.session import stage
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -61,9 +60,9 @@ def find_contamination(
     every shared span of ten words is found. A hit is extended to its whole window, whose
     words must equal an item's; overlapping windows join to longer spans.
 
-    The texts are read once and never shuffled. Fingerprints of the items are broadcast only
-    if measured small; beyond that ``keyed_lookup`` keeps hot ones in place and shuffles the
-    rest. Only windows whose fingerprint was found leave their task.
+    Fingerprints of the items are broadcast only if measured small; beyond that places are
+    shuffled as narrow rows of key, position and fingerprint, never with their text. Only
+    documents with a fingerprint that was found are read a second time, for the words there.
 
     An item of fewer words is one window of that length; items and documents without words
     have none. Equal rows and equal ids count once in n_items; items without an id count for
@@ -94,24 +93,23 @@ def find_contamination(
         .withColumn("_h", _hashes("_words"))
         .withColumn("_at", F.explode_outer(F.sequence(F.lit(-1), F.size("_words") - 1)))
     )
+    narrow = ("doc_id", "_key", "n_words", "_at")
     if len(lengths) == 1:
-        places = places.withColumn("_print", looked_up(lengths[0]))
+        places = places.select(*narrow, looked_up(lengths[0]).alias("_print"))
     else:
-        places = places.withColumn(
-            "_print",
-            F.explode_outer(F.filter(F.array(*map(looked_up, lengths)), lambda p: p.isNotNull())),
-        )
-    hits = keyed_lookup(places, prints, "_print", "left").filter(
-        (F.col("_at") < 0) | F.col("_found")
+        several = F.filter(F.array(*map(looked_up, lengths)), lambda p: p.isNotNull())
+        places = places.select(*narrow, F.explode_outer(several).alias("_print"))
+    hits = joined(places, prints, "_print").filter((F.col("_at") < 0) | F.col("_found"))
+    marked = stage(hits.select(*narrow, F.col("_print._len").alias("_len")), "marked")
+    spots = stage(
+        marked.filter(F.col("_at") >= 0).groupBy("_key").agg(F.collect_set(F.struct("_at", "_len")).alias("_spots")), "spots"
     )
-    marked = stage(
-        hits.select(
-            "doc_id", "_key", "n_words", "_at", F.col("_print._len").alias("_len"),
-            F.when(F.col("_at") >= 0, _text_of(F.col("_at"), F.col("_print._len"))).alias("window"),
-        ),
-        "marked",
+    spans = (
+        joined(docs.select(row_key().alias("_key"), "text"), spots, "_key", "inner")
+        .select("_key", words().alias("_words"), F.explode_outer("_spots").alias("_s"))
+        .select("_key", "_s._at", "_s._len", _text_of(F.col("_s._at"), F.col("_s._len")).alias("window"))
+        .distinct()
     )
-    spans = marked.filter(F.col("_at") >= 0).select("_key", "_at", "_len", "window").distinct()
     true_spans = joined(spans, stage(listed.select("window").distinct(), "window-texts"), "window", "left_semi")
     true_spans = stage(true_spans, "spans")
     covered = true_spans.groupBy("_key").agg(

@@ -1,7 +1,7 @@
 import random
 import re
 
-from cinderpost.llm import decontaminate
+from cinderpost.llm import common, decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -63,8 +63,31 @@ def test_no_items(spark, make_docs):
 
 
 def test_beyond_the_broadcast_limit(spark, make_docs, monkeypatch):
-    from cinderpost.operators import lookup
-
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     base = [f"w{i}" for i in range(12)]
     run(spark, make_docs, [" ".join(base)] * 5 + ["a b", None], [(1, " ".join(base))])
+    run(spark, make_docs, [" ".join(base[:9]), "a w3 w4 b"] * 5, [(1, " ".join(base)), (2, "w3 w4")])
+
+
+def test_long_text(spark, make_docs):
+    base = [f"w{i}" for i in range(12)]
+    long = " ".join(f"x{i % 997}" for i in range(60_000))
+    run(spark, make_docs, [f"{long} {' '.join(base)} {long}", "the " * 20_000], [(1, " ".join(base)), (2, "the " * 11)])
+
+
+def test_no_text_is_shuffled_with_its_places(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    seen = []
+    written = decontaminate.stage
+
+    def watched(df, name):
+        if name == "marked":
+            seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(decontaminate, "stage", watched)
+    base = [f"w{i}" for i in range(12)]
+    bench = spark.createDataFrame([(1, " ".join(base))], "item_id long, text string")
+    decontaminate.find_contamination(make_docs([(1, " ".join(base)), (2, "x")]), bench)
+    below = seen[0].split("Exchange")[1].split("\n")[1]
+    assert "_print" in below and "text" not in below and "_words" not in below and "_h" not in below.replace("_hash", "")

@@ -97,7 +97,7 @@ def neighbour_pairs(conversations: DataFrame) -> DataFrame:
     """Turns as pairs: conversations 2k (chosen) and 2k+1 (rejected) are pair k."""
     conv = F.col("conv_id")
     return conversations.select(
-        F.floor(conv / 2).cast("long").alias("pair_id"),
+        F.shiftright(conv.cast("long"), 1).alias("pair_id"),
         (F.pmod(conv, F.lit(2)) == 0).alias("chosen"),
         "turn",
         "role",

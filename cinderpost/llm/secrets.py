@@ -33,7 +33,8 @@ PRIVATE_KEY = (
 # Found by form as well, but reported only if the corpus shows them to be one owner's.
 KEYED = (
     "keyed",
-    r"(?:gh[pousr]_|glpat-|sk-|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_.-]{16,}"
+    # Not inside a word, and with a digit: hyphenated prose has neither.
+    r"(?<![A-Za-z0-9_.-])(?=[A-Za-z_.-]*[0-9])(?:gh[pousr]_|glpat-|sk-|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_.-]{16,}"
     rf"|{PRIVATE_KEY}",
     0,
     16,
@@ -41,39 +42,63 @@ KEYED = (
 EXAMPLE_OWNERS = 3
 EXAMPLE_DOCS = 10
 LEAST_SIGNS = 6
+# Matches that are placed together.
+CHUNK = 64
 
 
-def _found(text: Column, rank: int, pattern: str, group: int, least: int) -> Column:
-    """Matches of a pattern as (start, rank, end, value), leftmost and not overlapping.
+def _matches(text: Column, pattern: str, group: int) -> Column:
+    """Matches in order: gap (signs before it), size, value; leftmost and not overlapping.
 
-    The text between the matches gives their places: both lists in turn make up the text. Too
-    short values are dropped only afterwards, since a failing match uses up its text as well.
+    The text between the matches gives their places: both lists in turn make up the text.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    kind = "struct<start:int,rank:int,end:int,value:string>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-
-    def step(acc, part):
-        begin = acc["at"] + F.length(part["gap"])
-        end = begin + F.length(part["match"])
-        span = F.struct(
-            begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), part["value"].alias("value")
-        )
-        out = F.when(F.length(part["value"]) >= least, F.concat(acc["out"], F.array(span)))
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(whole), F.lit(1)))
+    sizes = F.zip_with(gaps, whole, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size")))
+    parts = F.zip_with(
+        sizes, values, lambda p, v: F.struct(p["gap"].alias("gap"), p["size"].alias("size"), v.alias("value"))
+    )
+    return F.when(F.size(whole) > 0, parts).otherwise(F.array().cast("array<struct<gap:int,size:int,value:string>>"))
+
+
+def _placed(parts: str, rank: int, least: int) -> Column:
+    """Spans (start, rank, end, value) of a column of matches; too short values are dropped here.
+
+    Only now, since a failing match uses up its text as well. Places are added up within chunks
+    and then over chunks, so a text of many matches doesn't copy a list for each of them.
+    """
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(parts) - 1, F.lit(0)), F.lit(CHUNK)),
+        lambda at: F.slice(F.col(parts), at + 1, F.lit(CHUNK)),
+    )
+    moved = lambda n, p: n + p["gap"] + p["size"]
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    starts = F.aggregate(
+        chunks,
+        zero,
+        lambda acc, c: F.struct(
+            F.aggregate(c, acc["at"], moved).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+        ),
+        lambda acc: acc["out"],
+    )
+    kind = "array<struct<start:int,rank:int,end:int,value:string>>"
+
+    def step(acc, p):
+        begin = acc["at"] + p["gap"]
+        end = begin + p["size"]
+        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), p["value"].alias("value"))
+        out = F.when(F.length(p["value"]) >= least, F.concat(acc["out"], F.array(span)))
         return F.struct(end.alias("at"), out.otherwise(acc["out"]).alias("out"))
 
-    parts = F.zip_with(
+    return F.flatten(
         F.zip_with(
-            F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(whole), F.lit(1))),
-            whole,
-            lambda g, m: F.struct(g.alias("gap"), m.alias("match")),
-        ),
-        values,
-        lambda p, v: F.struct(p["gap"].alias("gap"), p["match"].alias("match"), v.alias("value")),
+            chunks,
+            starts,
+            lambda c, at: F.aggregate(
+                c, F.struct(at.alias("at"), F.array().cast(kind).alias("out")), step, lambda acc: acc["out"]
+            ),
+        )
     )
-    some = F.aggregate(parts, start, step, lambda acc: acc["out"])
-    return F.when(F.size(whole) > 0, some).otherwise(F.array().cast(f"array<{kind}>"))
 
 
 def _bare(value: Column) -> Column:
@@ -120,8 +145,11 @@ def scan(
     Every candidate value is counted over the whole corpus: in how many documents
     (repositories) it stands and how many distinct owners have it. A value of
     ``example_owners`` owners or more, or in ``example_docs`` documents or more whoever owns them,
-    is a copied example. Any other one is live-looking if it has at least six different signs. Base spans always stay; spans found by a known key
-    form (``keyed``) are added only if live-looking. n_live and n_example count all candidates,
+    is a copied example. Both are numbers of copies found, not shares: a credential of one owner
+    gains neither as a corpus grows, unless it is copied. They are meant for corpora of ten
+    thousand documents or more; a smaller one shows few of the copies there are. Any other value
+    is live-looking if it has at least six different signs. Base spans always stay; spans found
+    by a known key form (``keyed``) are added only if live-looking. n_live and n_example count all candidates,
     and frequencies lists them all as kind:start:end:documents:owners.
     A private key is its header and its whole body, whatever its line breaks are.
 
@@ -132,11 +160,16 @@ def scan(
     document per owner; equal rows give equal rows. Positions are code points, end exclusive.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lists = [_found(text, i, p, g, n) for i, (_, p, g, n) in enumerate((*KINDS, KEYED))]
+    kinds = (*KINDS, KEYED)
+    lists = [_placed(f"_m{i}", i, least) for i, (_, _, _, least) in enumerate(kinds)]
     scanned = stage(
         docs.select(
             "doc_id",
             F.coalesce(F.concat(F.lit("="), F.col(owner).cast("string")), F.lit("null")).alias("_owner"),
+            *[_matches(text, p, g).alias(f"_m{i}") for i, (_, p, g, _) in enumerate(kinds)],
+        ).select(
+            "doc_id",
+            "_owner",
             F.monotonically_increasing_id().alias("_row"),
             F.concat(*lists[:-1]).alias("_base"),
             lists[-1].alias("_keyed"),

@@ -44,6 +44,6 @@ def test_equal_missing_and_null_sides(spark):
 
 
 def test_neighbours_are_pairs(spark):
-    rows = spark.createDataFrame([(4, 0, "user", "a"), (5, 0, "user", "b"), (-1, 0, "user", "c")], "conv_id long, turn long, role string, text string")
+    rows = spark.createDataFrame([(4, 0, "user", "a"), (5, 0, "user", "b"), (-1, 0, "user", "c"), (2**60 + 2, 0, "user", "d"), (2**60 + 3, 0, "user", "e")], "conv_id long, turn long, role string, text string")
     got = sorted((r["pair_id"], r["chosen"]) for r in chat.neighbour_pairs(rows).collect())
-    assert got == [(-1, False), (2, False), (2, True)]
+    assert got == [(-1, False), (2, False), (2, True), (2**59 + 1, False), (2**59 + 1, True)]

@@ -114,3 +114,21 @@ def test_whole_table(spark, tables):
     assert len(rows) == len(texts)
     for row in rows:
         assert (row["n_assign"], row["n_access"], row["n_hex"], row["base_sha256"]) == brute(texts[row["doc_id"]])[:4]
+
+
+def test_hyphenated_prose_is_no_credential(make_docs):
+    texts = [
+        "a risk-based-decision-making approach", "task-oriented-dialogue-systems", "sk-learn-like-interfaces-are-common",
+        "desk-1234567890abcdefghij", f"key {KEY}", f"x-{KEY}", f"({KEY})",
+    ]
+    out = {r["doc_id"]: r for r in secrets.scan(make_docs([(i, t, f"s{i}") for i, t in enumerate(texts[:5])])).collect()}
+    assert [out[i]["spans"] for i in range(5)] == ["", "", "", "", f"keyed:4:{4 + len(KEY)}"]
+    assert [out[i]["n_live"] for i in range(5)] == [0, 0, 0, 0, 1]
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(make_docs([(i, t, f"s{i}") for i, t in enumerate(texts[5:])])).collect()}
+    assert out == {0: "", 1: f"keyed:1:{1 + len(KEY)}"}
+
+
+def test_many_matches_in_one_text(make_docs):
+    text = " ".join(f"token=abcdefgh{i}" if i % 3 else "token=ab" for i in range(4000))
+    row = secrets.scan(make_docs([(1, text, "s")])).first()
+    assert (row["n_assign"], row["n_access"], row["n_hex"], row["base_sha256"]) == brute(text)[:4]

@@ -18,7 +18,7 @@ QUERY_ROWS = 1024
 FOCUS = 4
 STEEP = 0.9
 
-PACK = "row binary, id binary, known binary, norm binary, matrix binary, n int, dim int"
+PACK = "row binary, id binary, known binary, norm binary, matrix binary, width int, n int, dim int"
 
 
 def quantized(vector: str) -> Column:
@@ -31,19 +31,21 @@ def quantized(vector: str) -> Column:
 
 
 def _pack(rows: pd.DataFrame) -> dict:
-    """Vectors, longest first, as plain arrays; shorter vectors end in zeros."""
+    """Vectors, longest first, as plain arrays of the least width; shorter vectors end in zeros."""
     rows = rows.sort_values(["norm", "uid"], ascending=[False, True])
     dim = max((len(v) for v in rows["v"]), default=0)
     matrix = np.zeros((len(rows), dim), np.int64)
     for i, v in enumerate(rows["v"]):
         matrix[i, : len(v)] = v
+    width = next(w for w in (2, 4, 8) if matrix.size == 0 or -(1 << 8 * w - 1) <= matrix.min() and matrix.max() < 1 << 8 * w - 1)
     known = rows["id"].notna().to_numpy()
     return {
         "row": rows["uid"].to_numpy(np.int64).tobytes(),
         "id": rows["id"].fillna(0).to_numpy(np.int64).tobytes(),
         "known": known.tobytes(),
         "norm": rows["norm"].to_numpy(np.float64).tobytes(),
-        "matrix": matrix.tobytes(),
+        "matrix": matrix.astype(f"i{width}").tobytes(),
+        "width": width,
         "n": len(rows),
         "dim": dim,
     }
@@ -59,7 +61,7 @@ class _Block:
         self.known = np.frombuffer(get("known"), bool)
         self.id = np.where(self.known, np.frombuffer(get("id"), np.int64), np.iinfo(np.int64).max)
         self.norm = np.frombuffer(get("norm"), np.float64)
-        self.matrix = np.frombuffer(get("matrix"), np.int64).reshape(self.n, self.dim)
+        self.matrix = np.frombuffer(get("matrix"), f"i{get('width')}").astype(np.int64).reshape(self.n, self.dim)
 
 
 def _candidates(query: np.ndarray, norm: float, bucket: _Block, unit: np.ndarray, least: float) -> np.ndarray:
@@ -89,6 +91,14 @@ def _candidates(query: np.ndarray, norm: float, bucket: _Block, unit: np.ndarray
     return rows
 
 
+def _long_products(matrix: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Products of any size; one that a long can't hold is an error, never a wrong number."""
+    scores = matrix.astype(object) @ query.astype(object)
+    if any(not -(1 << 63) <= x < 1 << 63 for x in scores):
+        raise OverflowError("an inner product is beyond 64 bits")
+    return scores.astype(np.int64)
+
+
 def _best(queries: _Block, bucket: _Block, least: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per query its k best rows of the bucket: position of the query, rows, scores."""
     unit = bucket.matrix / np.where(bucket.norm > 0, bucket.norm, 1)[:, None]
@@ -102,8 +112,10 @@ def _best(queries: _Block, bucket: _Block, least: np.ndarray, k: int) -> Iterato
         d = min(queries.dim, bucket.dim)
         if norm * bucket.norm[0] < 2**52:  # then floats carry the integers exactly
             scores = (exact[rows, :d] @ q[:d].astype(np.float64)).astype(np.int64)
-        else:
+        elif norm * bucket.norm[0] < 2**62:
             scores = bucket.matrix[rows, :d] @ q[:d]
+        else:
+            scores = _long_products(bucket.matrix[rows, :d], q[:d])
         keep = scores >= least[i]
         rows, scores = rows[keep], scores[keep]
         top = np.lexsort((bucket.id[rows], -scores))[:k]
@@ -128,7 +140,8 @@ def top_k(
     first k-th score; a block then visits only the buckets whose longest vector can reach the
     lowest of these, prunes inside, and verifies what is left with exact integers.
 
-    One task holds one bucket and one block. Ties go to the smaller id, null ids last. Null,
+    Buckets are shuffled once; the blocks that visit a bucket follow it there. One task holds one
+    bucket and one block. A score beyond 64 bits is an error. Ties go to the smaller id, null ids last. Null,
     NaN and infinite vectors take no part; shorter vectors count as ending in zeros. A row is
     never its own candidate, another row with its id is. Extra columns are ignored.
     """
@@ -210,24 +223,28 @@ def top_k(
         .select("block", "level", "part"),
         "pairs",
     )
-    tasks = (
-        pairs.join(blocks.join(limits.select("block", "least"), "block"), "block")
-        .join(buckets.withColumnsRenamed(renamed), ["level", "part"])
+    visits = pairs.join(blocks.join(limits.select("block", "least"), "block"), "block").withColumn("_second", F.lit(True))
+    visited = buckets.drop("longest").withColumns(
+        {"block": F.lit(-1), "least": F.lit(None).cast("binary"), "_second": F.lit(False)}
     )
+    shipped = ["level", "part", "_second", "block", "least", *renamed]
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                asking, bucket_ = _Block(r), _Block(r, "b_")
-                least, out = np.frombuffer(r.least, np.float64), []
-                for i, rows, scores in _best(asking, bucket_, least, k):
+            for r in batch.itertuples(index=False, name="Visit"):
+                if r.block < 0:
+                    held = _Block(r)
+                    continue
+                asking, least, out = _Block(r), np.frombuffer(r.least, np.float64), []
+                for i, rows, scores in _best(asking, held, least, k):
                     out.append(
                         pd.DataFrame(
                             {
                                 "uid": asking.row[i],
                                 "query_id": asking.id[i],
-                                "vec_id": pd.array(bucket_.id[rows], "Int64"),
-                                "known": bucket_.known[rows],
+                                "vec_id": pd.array(held.id[rows], "Int64"),
+                                "known": held.known[rows],
                                 "score": scores,
                             }
                         )
@@ -235,8 +252,13 @@ def top_k(
                 if out:
                     yield pd.concat(out)
 
-    found = tasks.repartition("block", "level", "part").mapInPandas(
-        verify, "uid long, query_id long, vec_id long, known boolean, score long"
+    found = (
+        visits.select(shipped)
+        .unionByName(visited.select(shipped))
+        .repartition("level", "part")
+        .sortWithinPartitions("level", "part", "_second")
+        .drop("_second")
+        .mapInPandas(verify, "uid long, query_id long, vec_id long, known boolean, score long")
     )
     order = Window.partitionBy("uid").orderBy(F.desc("score"), F.col("vec_id").asc())
     return (

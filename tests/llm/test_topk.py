@@ -72,3 +72,11 @@ def test_coordinates_prune_without_loss():
     least = float(np.sort(scores)[-10])
     kept = topk._candidates(matrix[0], norm[0], block, unit, least)
     assert set(np.flatnonzero(scores >= least)) <= set(kept.tolist()) and len(kept) < len(rows) // 2
+
+
+def test_large_numbers(spark):
+    rows = [(100, [3e6, 1.0]), (1, [2e6, 5.0]), (2, [-3e9, 1.0]), (3, [1.0, 2e9]), (4, [70.0, -70.0])]
+    assert run(spark, rows) == brute(rows, 10)
+    with pytest.raises(OverflowError):
+        topk._long_products(np.array([[1 << 40, 1]]), np.array([1 << 40, 1]))
+    assert topk._long_products(np.array([[1 << 31, -1]]), np.array([1 << 31, 5])).tolist() == [(1 << 62) - 5]

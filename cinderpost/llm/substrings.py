@@ -21,7 +21,7 @@ GRAM = 72
 SHARD_BYTES = 1 << 20
 CHUNK_STARTS = 1 << 20
 
-_BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
+_BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +104,7 @@ def _pieces(length: int, gram: int):
     """Maximal stretches of starts with one routing hash: ta, tb, lo, hi, hash, several."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roll = _Rolling(_BASES[0])
+        roll = _Rolling(_BASE)
         for batch in batches:
             for data, places in _chunks(batch, length):
                 hashes, at = route(data, roll, length, gram)
@@ -274,7 +274,7 @@ def _searched(length: int):
     """Distinct pieces, sorted by shard, to stretches of starts that are repeated.
 
     Stretches have da, db, lo, hi, counted from the begin of the piece. A shard that is only part of its hash also gives rows with
-    fa, fb, a fingerprint of the string from lo: for every start that is not yet known to be
+    fa, fb, a digest of the string from lo: for every start that is not yet known to be
     repeated, and for one start of every group that is.
     """
 
@@ -294,7 +294,7 @@ def _searched(length: int):
             out[name] = pd.arrays.IntegerArray(values, ~known)
         return pd.DataFrame(out)
 
-    def solve(pieces: dict[bytes, tuple], split: bool, rolls) -> Iterator[pd.DataFrame]:
+    def solve(pieces: dict[bytes, tuple], split: bool) -> Iterator[pd.DataFrame]:
         if not pieces:
             return
         flags, own, starts = repeated_starts(pieces, length)
@@ -304,21 +304,19 @@ def _searched(length: int):
             if len(lo):
                 found.append((da, db, lo, hi))
         if split:
-            data = np.frombuffer(b"".join(pieces), np.uint8)
-            marks = [roll(data, length)[starts].view(np.int64) for roll in rolls]
             firsts = np.zeros(len(starts), bool)
             firsts[np.unique(own, return_index=True)[1]] = True
             base = 0
-            for flag, (da, db, _) in zip(flags, pieces.values()):
+            for flag, (body, (da, db, _)) in zip(flags, pieces.items()):
                 wanted = np.flatnonzero(firsts[base : base + len(flag)] | ~flag)
-                fa, fb = (m[base + wanted] for m in marks)
+                marks = b"".join(hashlib.blake2b(body[w : w + length], digest_size=16).digest() for w in wanted.tolist())
+                fa, fb = np.frombuffer(marks, np.int64).reshape(-1, 2).T
                 prints.append((da, db, wanted, wanted, fa, fb))
                 base += len(flag)
         if found or prints:
             yield gathered(found, prints)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rolls = [_Rolling(b) for b in _BASES]
         pieces: dict[bytes, tuple] = {}
         size, at, split = 0, None, False
         for batch in batches:
@@ -326,13 +324,13 @@ def _searched(length: int):
                 shard = (r.hash, r.salt)
                 # A shard ends with its hash; several small hashes share one array.
                 if shard != at and (split or r.split or size >= SHARD_BYTES):
-                    yield from solve(pieces, split, rolls)
+                    yield from solve(pieces, split)
                     pieces, size = {}, 0
                 at, split = shard, r.split
                 body = bytes(r.body)
                 pieces[body] = (r.da, r.db, r.many)
                 size += len(body)
-        yield from solve(pieces, split, rolls)
+        yield from solve(pieces, split)
 
     return search
 
@@ -382,7 +380,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
        refinement, with Kasai's common prefixes: neighbours that share ``length`` bytes are
        copies. A shard holds about ``shard`` bytes.
     4. A hash with more than that is dealt into several shards by a digest of the bytes. What
-       they find is merged over all shards by fingerprints (128 bits) of the strings.
+       they find is merged over all shards by digests (128 bits) of the strings.
     5. What was found in a piece goes back to all its places by the digest (128 bits) of its bytes.
 
     Null and empty texts have no bytes. Texts are UTF-8. Rows count as they come, equal ones as

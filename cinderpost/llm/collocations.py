@@ -28,6 +28,8 @@ FLUSH = 500_000
 HOT_WORDS = 1 << 16
 # Partitions of the quicksort of so many suffixes are sorted at once.
 SMALL = 4096
+# Parts of a language that are ranked apart before they meet.
+PARTS = 64
 # Word ids are 64-bit hashes; when two words of the corpus share one, another seed is taken.
 SEEDS = 8
 
@@ -289,7 +291,11 @@ def collocations(
         .select("ids", "lang", F.array_join(F.transform("_w", lambda w: w["word"]), " ").alias("phrase"))
     )
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = rows.join(spelled, "ids").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    # A language is ranked in parts first, so that no task gets more than the best of each.
+    parts = Window.partitionBy("lang", "_part").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    dealt = rows.join(spelled, "ids").withColumn("_part", F.pmod(F.xxhash64("ids"), F.lit(PARTS)))
+    leading = dealt.withColumn("_first", F.row_number().over(parts)).filter(F.col("_first") <= top)
+    ranked = leading.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     listed = stage(ranked.select("lang", "rank", "phrase", "a", "l", "r", "score"), "collocations")
     discard(known, phrases, counts, rows, around)
     return joined(listed, sizes, "lang", "inner").select(

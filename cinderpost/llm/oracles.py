@@ -100,21 +100,21 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n
 FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
 
-ORACLES["op6_line_dedup"] = r"""
+LINE_DEDUP = r"""
 WITH texts AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS ls, text FROM documents),
 raw AS (SELECT doc_id, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM texts),
 counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM raw),
 filled AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM counted WHERE w > 0),
 ahead AS (
   SELECT doc_id, i, list(w) OVER f AS ws, list(line) OVER f AS ls, list(pos) OVER f AS ps
-  FROM filled WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)),
+  FROM filled WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {least} FOLLOWING)),
 behind AS (
   SELECT doc_id, i, list(w) OVER f AS ws, list(line) OVER f AS ls, list(pos) OVER f AS ps
-  FROM filled WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+  FROM filled WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {least} PRECEDING AND CURRENT ROW)),
 begun AS (
-  SELECT *, list_min(list_filter(range(1, len(ws) + 1), lambda n: list_sum(ws[1:n]) >= 10)) AS n FROM ahead),
+  SELECT *, list_min(list_filter(range(1, len(ws) + 1), lambda n: list_sum(ws[1:n])  >= {least})) AS n FROM ahead),
 ended AS (
-  SELECT *, list_min(list_filter(range(1, len(ws) + 1), lambda n: list_sum(ws[len(ws) - n + 1:len(ws)]) >= 10)) AS n FROM behind),
+  SELECT *, list_min(list_filter(range(1, len(ws) + 1), lambda n: list_sum(ws[len(ws) - n + 1:len(ws)])  >= {least})) AS n FROM behind),
 runs AS (
   SELECT doc_id, i, ls[1:n] AS run, i + n - 1 AS j FROM begun WHERE n IS NOT NULL
   UNION
@@ -138,6 +138,10 @@ SELECT t.doc_id, len(t.ls)::BIGINT AS n_lines,
 FROM texts t LEFT JOIN marked m ON t.doc_id = m.doc_id GROUP BY t.doc_id, t.ls
 """
 
+# Runs of three words or more, and of one.
+ORACLES["op6_line_dedup"] = LINE_DEDUP.replace("{least}", "3")
+ORACLES["op6_line_dedup_common"] = LINE_DEDUP.replace("{least}", "1")
+
 ORACLES["op3_exact_top_k"] = r"""
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings

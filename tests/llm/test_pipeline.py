@@ -4,7 +4,7 @@ import corpus_pipeline
 import test_decontaminate
 import test_lines
 import test_neardup
-from cinderpost.llm import quality
+from cinderpost.llm import lines, quality
 
 
 def rows_of(df):
@@ -22,7 +22,7 @@ def test_stages_against_brute_force(spark, tables):
     assert 0 < kept.count() < docs.count()
 
     cut = steps["line_dedup"](spark, kept, tables).cache()
-    left = test_lines.brute(rows_of(kept), 10)
+    left = test_lines.brute(rows_of(kept), lines.MIN_WORDS)
     assert rows_of(cut) == sorted((d, t) for d, (t, n, gone) in left.items() if gone < n)
     assert cut.filter("n_chars != length(text)").count() == kept.filter("n_chars != length(text)").count()
 

@@ -21,12 +21,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, common_docs: int | None = None) -> DataFrame:
-    """Texts without later copies of lines, with ``common_docs`` common short ones too.
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of runs of lines; a document that loses all its lines goes.
 
-    A document that loses all its lines goes.
+    Null texts, and empty ones, have nothing to lose and stay. n_chars, if there is such a column,
+    follows a text that was cut.
     """
-    cut = lines.without_repeats(docs, common_docs=common_docs)
+    cut = lines.without_repeats(docs)
     left = cut.filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_lines") == 0))
     if "n_chars" in docs.columns:
         size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from cinderpost.llm import linkgraph
+from cinderpost.llm import common, linkgraph
 from cinderpost.llm.queries import URL_RULES
 
 
@@ -193,3 +193,12 @@ def test_other_models_work_in_the_same_session(spark, tables):
 
     assert queries()["op10_url_filter"](spark, tables).count()
     assert queries()["sequence_classify"](spark, tables).collect()[0]["accuracy"] > 0.5
+
+
+def test_joins_beyond_the_broadcast_limit_and_a_long_page(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(linkgraph, "BROADCAST_BYTES", 0)
+    links = "".join(f'<a href="http://h{i % 7}.org/">x</a>' + "y" * 200 for i in range(3000))
+    rows = [(1, "http://a.com/", links, "", ""), (2, "http://x.net/es/", "<a href='//h1.org'>z</a>", "", ""), (3, "http://h1.org/", "<a href='http://x.net/es/'>b</a>", "", ""), (4, None, None, "", "")]
+    out = linkgraph.judge(page_table(spark, rows), URL_RULES).select("page_id", "verdict").collect()
+    assert sorted(tuple(r) for r in out) == brute_verdicts(rows)

@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from cinderpost.llm import mixing
+from cinderpost.llm import common, mixing
 
 
 def brute_targets(sizes, weights, amount, epochs):
@@ -75,3 +75,11 @@ def test_quota_is_met_across_histogram_levels(spark):
     quotas = spark.createDataFrame([("g", 7321.0)], "_g string, _quota double")
     cut = mixing.hash_cuts(rows, quotas).first()["cut"]
     assert rows.filter(f"_h <= {cut}").count() in (7320, 7321)
+
+
+def test_joins_beyond_the_broadcast_limit_and_a_long_text(make_docs, monkeypatch):
+    rows = [(i, "w " * (i % 50), f"s{i % 3}") for i in range(120)] + [(500, "long " * 60_000, "s0"), (501, None, None)]
+    taken = lambda: sorted((r["doc_id"], r["taken"]) for r in mixing.mix(make_docs(rows)).select("doc_id", "taken").collect())
+    small = taken()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    assert taken() == small

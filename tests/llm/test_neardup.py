@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from cinderpost.llm import neardup
+from cinderpost.llm import common, neardup
 
 
 def shingle_set(text):
@@ -98,3 +98,11 @@ def test_similarity_of_many_sets():
         for j in range(18):
             a, b = set(sets[i].tolist()), set(sets[12 + j].tolist())
             assert matrix[i, j] == (len(a & b) >= 0.5 * len(a | b))
+
+
+def test_joins_beyond_the_broadcast_limit_and_a_long_text(make_docs, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    long = " ".join(f"w{i}" for i in range(40_000))
+    rows = collection(2)[:50] + [(300, long), (301, long + " more"), (302, None)]
+    out = neardup.near_duplicates(make_docs(rows), recall=0.999999).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in out) == sorted(brute(rows))

@@ -5,6 +5,8 @@ import test_decontaminate
 import test_lines
 import test_neardup
 from cinderpost.llm import lines, quality
+from cinderpost.session import stage
+from pyspark.sql import functions as F
 
 
 def rows_of(df):
@@ -49,3 +51,26 @@ def test_empty_documents(spark, tables, tmp_path):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, tables)
     assert docs.count() == 0
+
+
+def test_odd_documents(spark, tables):
+    """Nulls in any column, repeated rows, a very long text, and columns named like results."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    plain = docs.limit(60).withColumns({"score": F.lit("x"), "_key": F.lit(1), "n_hit": F.lit("y"), "class_id": F.lit(2)})
+    long = "\n".join(f"line {i} of a very long text with its own words {i * i}" for i in range(8000))
+    odd = [
+        (None, None, None, None, None), (None, None, None, None, None), (9001, None, "en", "a", 0), (9002, "", "en", None, 0),
+        (9003, long, "en", "a", len(long)), (9003, long, "en", "a", len(long)), (9004, "one", None, "b", 3),
+    ]
+    extra = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in odd], plain.schema)
+    frame = plain.unionByName(extra)
+    for name, step in corpus_pipeline.STAGES:
+        before = frame.count()
+        after = stage(step(spark, frame, tables), name)
+        assert after.columns[: len(plain.columns)] == plain.columns
+        assert 0 < after.count() <= before
+        if name != "source_mixing":
+            assert after.filter("text IS NULL OR text = ''").count() == frame.filter("text IS NULL OR text = ''").count() or name == "quality_classifier"
+        frame = after
+    assert frame.filter("text IS NULL OR text = ''").count() == 0
+    assert frame.filter("doc_id = 9003").count() <= 1

@@ -2,7 +2,8 @@ import hashlib
 import random
 import re
 
-from cinderpost.llm import secrets
+from cinderpost.llm import common, secrets
+from cinderpost.operators import lookup
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -132,3 +133,11 @@ def test_many_matches_in_one_text(make_docs):
     text = " ".join(f"token=abcdefgh{i}" if i % 3 else "token=ab" for i in range(4000))
     row = secrets.scan(make_docs([(1, text, "s")])).first()
     assert (row["n_assign"], row["n_access"], row["n_hex"], row["base_sha256"]) == brute(text)[:4]
+
+
+def test_joins_beyond_the_broadcast_limit(make_docs, monkeypatch):
+    docs = make_docs([(i, t, f"s{i % 4}") for i, t in enumerate(TEXTS)])
+    small = sorted(map(str, secrets.scan(docs).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, secrets.scan(docs).collect())) == small

@@ -17,7 +17,11 @@ from cinderpost.session import discard, stage  # noqa: E402
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on this input, accepts."""
+    """Documents that the classifier, trained on this input, accepts.
+
+    Null and empty texts are judged like an empty text, repeated rows alike; without a label 1
+    that may be learned from every document stays.
+    """
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
@@ -36,17 +40,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """The first document, by id and null ids first, of each group of near copies.
+
+    Null and wordless texts are copies of nothing and stay, repeated rows of them too; of other
+    repeated rows one stays.
+    """
     return neardup.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null and empty texts have none."""
     return benchmark.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix, with the words that it takes of each; none is taken 0 times."""
+    """Documents of the mix, with the words that it takes of each; none is taken 0 times.
+
+    So texts without words go. Repeated rows are taken alike, null sources are one source, and
+    columns named size, source_size, target or taken are replaced.
+    """
     return mixing.mix(docs).filter("taken > 0")
 
 
@@ -64,7 +76,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each written as Parquet and read again."""
+    """All stages in turn, each written as Parquet and read again.
+
+    Empty documents give an empty result with the same columns. Other columns of documents come
+    along; names that begin with two underscores are reserved.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         after = stage(step(spark, docs, sf_dir), f"pipeline-{name}")

@@ -104,10 +104,14 @@ def find_contamination(
     spots = stage(
         marked.filter(F.col("_at") >= 0).groupBy("_key").agg(F.collect_set(F.struct("_at", "_len")).alias("_spots")), "spots"
     )
+    window_of = lambda s: F.struct(s["_at"], s["_len"], _text_of(s["_at"], s["_len"]).alias("window"))
     spans = (
         joined(docs.select(row_key().alias("_key"), "text"), spots, "_key", "inner")
-        .select("_key", words().alias("_words"), F.explode_outer("_spots").alias("_s"))
-        .select("_key", "_s._at", "_s._len", _text_of(F.col("_s._at"), F.col("_s._len")).alias("window"))
+        .select("_key", "_spots", words().alias("_words"))
+        # The second use of the words keeps Catalyst from reading the text anew for every place.
+        .select("_key", F.size("_words").alias("_n"), F.transform("_spots", window_of).alias("_found"))
+        .select("_key", "_n", F.explode_outer("_found").alias("_s"))
+        .select("_key", F.when(F.col("_s._at") < F.col("_n"), F.col("_s._at")).alias("_at"), "_s._len", "_s.window")
         .distinct()
     )
     true_spans = joined(spans, stage(listed.select("window").distinct(), "window-texts"), "window", "left_semi")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinderpost.session import bucketed_stage, discard, stage
 
@@ -15,22 +16,53 @@ BROADCAST_BYTES = 48 << 20
 HOT_KEYS = 4096
 
 
+def _fixed_bytes(kind: T.DataType) -> int | None:
+    """Bytes of a value whose type alone tells its size."""
+    if isinstance(kind, T.StructType):
+        fields = [_fixed_bytes(f.dataType) for f in kind.fields]
+        return None if None in fields else 8 + sum(fields)
+    if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.UserDefinedType, T.VariantType)):
+        return None
+    return 24 if isinstance(kind, T.DecimalType) and kind.precision > 18 else 8
+
+
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, whatever is nested in it; 8 for the place of a null one."""
+    fixed = _fixed_bytes(kind)
+    if fixed is not None:
+        return F.lit(fixed).cast("long")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, T.StructType):
+        size = F.lit(8)
+        for f in kind.fields:
+            size = size + _bytes_of(value[f.name], f.dataType)
+    elif isinstance(kind, T.ArrayType):
+        each = _fixed_bytes(kind.elementType)
+        size = 24 + (
+            F.size(value) * each
+            if each is not None
+            else F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _bytes_of(x, kind.elementType))
+        )
+    elif isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        size = _bytes_of(F.map_keys(value), keys) + _bytes_of(F.map_values(value), values)
+    else:
+        size = F.octet_length(F.to_json(F.struct(value)))
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
 def measured_bytes(table: DataFrame) -> int:
-    """Size of a table in memory, counted: strings, numeric arrays, fields and a row overhead."""
-    size = F.lit(64)
-    for name, kind in table.dtypes:
-        if kind == "string":
-            size = size + F.coalesce(F.octet_length(name), F.lit(0))
-        elif kind.startswith("array<"):
-            size = size + 8 * F.greatest(F.size(name), F.lit(0))
-        else:
-            size = size + 8 * (1 + kind.count(","))
-    return table.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("b")).first()["b"]
+    """Size of a table in memory, counted: all fields, what is nested in them, a row overhead."""
+    size = F.lit(64).cast("long")
+    for f in table.schema.fields:
+        size = size + _bytes_of(F.col(f"`{f.name}`"), f.dataType)
+    return table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """Keys that hold at least 1/HOT_KEYS of all rows; there are at most HOT_KEYS of them."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = rows.agg(F.count("*")).scalar()
     return counts.filter(F.col("_n") * HOT_KEYS >= total).select(key)
 
@@ -53,8 +85,9 @@ def keyed_lookup(
 
     A table measured small is broadcast. Beyond that, the entries of hot keys, of which there
     is a bounded number, are broadcast and their rows, mostly the larger part of a text's
-    words, never leave their task; only the rows of the other keys are shuffled. ``rows`` is
-    read once for each part, so it should start from a written stage.
+    words, never leave their task; only the rows of the other keys are shuffled. Rows without a
+    key match nothing, so a left join keeps them where they are and an inner one drops them
+    first. ``rows`` is read once for each part, so it should start from a written stage.
 
     ``support`` names a column of ``table`` that counts the key's rows in the data the table
     was made from; it tells the hot keys without a pass over ``rows`` and is not returned. A
@@ -72,9 +105,12 @@ def keyed_lookup(
         # A hot key without an entry must not reach the shuffle either.
         entries = keys.join(F.broadcast(entries), key, "left")
     hot = rows.join(F.broadcast(entries), key)
-    cold = rows.join(F.broadcast(keys), key, "left_anti").join(
-        table.select(key, *values), key, how
-    )
+    keyed = rows.filter(F.col(key).isNotNull())
+    cold = keyed.join(F.broadcast(keys), key, "left_anti").join(table.select(key, *values), key, how)
+    if how == "left":
+        kinds = {f.name: f.dataType for f in table.schema.fields}
+        unkeyed = rows.filter(F.col(key).isNull())
+        cold = cold.unionByName(unkeyed.withColumns({c: F.lit(None).cast(kinds[c]) for c in values}))
     return hot.unionByName(cold)
 
 

@@ -93,9 +93,9 @@ def test_features(prepared):
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("support", [None, "df"])
 def test_skewed_lookup_equals_a_plain_join(spark, how, support, monkeypatch):
-    monkeypatch.setattr(lookup, "HOT_KEYS", 5)
+    monkeypatch.setattr(lookup, "HOT_KEYS", 6)
     draw = random.Random(2)
-    keys = ["hot"] * 400 + ["gone"] * 200 + [f"k{draw.randrange(60)}" for _ in range(300)]
+    keys = ["hot"] * 400 + ["gone"] * 200 + [None] * 250 + [f"k{draw.randrange(60)}" for _ in range(300)]
     rows = spark.createDataFrame(list(enumerate(keys)), "id int, key string")
     table = spark.createDataFrame(
         [("hot", 1.5, 400)] + [(f"k{i}", float(i), 5) for i in range(40)],
@@ -110,6 +110,28 @@ def test_skewed_lookup_equals_a_plain_join(spark, how, support, monkeypatch):
     assert {r["key"] for r in lookup.hot_keys(rows, "key").collect()} == {"hot", "gone"}
 
 
+def test_rows_without_a_key_are_not_shuffled_by_it(spark):
+    rows = spark.createDataFrame([(i, None) for i in range(100)] + [(100, "a")], "id int, key string")
+    table = spark.createDataFrame([("a", 1.5)], "key string, w double")
+    found = lookup.keyed_lookup(rows, table, "key", broadcast_bytes=0)
+    assert found.count() == 101 and found.filter("w IS NOT NULL").count() == 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(key" in plan and "isnull(key" in plan
+
+
+def test_measured_bytes_counts_what_is_nested(spark):
+    size = lambda schema, value: lookup.measured_bytes(spark.createDataFrame([(value,)], schema))
+    assert size("x string", None) < size("x string", "a" * 100) - 90
+    assert size("x binary", bytearray(b"a" * 1000)) > 1000
+    assert size("x array<bigint>", [1] * 100) > 800
+    assert size("x array<string>", ["a" * 100] * 10) > 1000
+    assert size("x struct<a:int,b:struct<c:string,d:array<binary>>>", (1, ("c" * 50, [bytearray(500)] * 3))) > 1550
+    assert size("x map<string,array<string>>", {"k" * 100: ["v" * 200] * 2}) > 500
+    assert size("x array<struct<a:int,b:int,c:string>>", [(1, 2, "c" * 40)] * 20) > 20 * 56
+    assert size("x array<struct<a:string>>", None) < 100
+    assert lookup.measured_bytes(spark.createDataFrame([], "x string")) == 0
+
+
 def test_dense_index(spark):
     keys = [None, *[f"w{i:04d}" for i in range(500)]]
     shuffled = keys[:]

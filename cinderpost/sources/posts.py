@@ -1,4 +1,7 @@
-"""CSV readers and writers for posts, gold labels and label files."""
+"""CSV readers and writers for posts, gold labels and label files.
+
+CSV files of posts are read by many tasks (``records``), although posts may span lines.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinderpost.session import spread
+from cinderpost.sources import records
 
 POST = T.StructType(
     [
@@ -25,8 +29,8 @@ LABEL = T.StructType(
 def csv_reader(source, schema: T.StructType):
     """Reader options for quoted posts that may hold commas, quotes and line ends.
 
-    ``source`` is ``spark.read`` or ``spark.readStream``. The schema is explicit, so no pass
-    over the data is spent on inference.
+    ``source`` is ``spark.readStream``, whose files are small, or ``spark.read``; one task reads
+    a file. The schema is explicit, so no pass over the data is spent on inference.
     """
     return (
         source.schema(schema)
@@ -38,9 +42,9 @@ def csv_reader(source, schema: T.StructType):
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    """CSV has one split per file, as posts may span lines; Parquet splits at any size."""
+    """Files of both formats are split at any size."""
     if fmt == "csv":
-        return csv_reader(spark.read, schema).csv(path)
+        return records.read_csv(spark, path, schema)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
@@ -64,17 +68,28 @@ def read_gold(
 ) -> DataFrame:
     """Gold posts; ``columns`` must name ``text`` and ``choose_one`` among others.
 
-    Without a column ``seq`` the order of the rows in their file is used, as the scan gives it.
+    Without a column ``seq`` it is the row's place: its file, by name, and where it stands there.
+    The last row of the files in this order wins, however they are cut into splits or parts.
     """
-    rows = _read(spark, path, columns, fmt)
-    if "seq" not in columns.names:
-        rows = rows.withColumn("seq", F.monotonically_increasing_id())
+    if "seq" in columns.names:
+        rows = _read(spark, path, columns, fmt)
+    elif fmt == "csv":
+        rows = records.read_csv(spark, path, columns, places=True)
+        rows = rows.withColumn("seq", F.struct(*records.PLACE))
+    elif fmt == "parquet":
+        rows = spark.read.schema(columns).parquet(path)
+        rows = rows.withColumn("seq", F.struct("_metadata.file_path", "_metadata.row_index"))
+    else:
+        raise ValueError(f"gold posts in {fmt} files need a column seq")
     return spread(rows.select("seq", "text", "choose_one"), "seq")
 
 
 def write_posts(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Posts as files with a header; blanks around a text stay."""
     if fmt == "csv":
-        df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        options = {"header": True, "quote": '"', "escape": '"'}
+        options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        df.write.options(**options).csv(path)
     else:
         df.write.format(fmt).save(path)
 

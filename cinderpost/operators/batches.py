@@ -1,18 +1,44 @@
-"""Shuffling and mini-batches."""
+"""Repeatable shuffling, mini-batches, and descent batch by batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinderpost.functions import scoring as S
+from cinderpost.operators.features import BIAS
+from cinderpost.operators.lookup import PlacedRows
+from cinderpost.operators.network import OUTPUT, gradient_step
 from cinderpost.operators.ranking import dense_index
+from cinderpost.session import discard, stage
 
 BATCH = 256
+# Batches whose rows lie in one folder; inside it they are found by the files' own statistics.
+SHELF = 64
+
+
+def _order(seed: int, key: str) -> Column:
+    """Random but repeatable: a digest of seed and key, then the key itself."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+    return F.struct(digest.alias("digest"), F.col(key).alias("key"))
 
 
 def shuffled(df: DataFrame, seed: int, key: str = "id") -> DataFrame:
     """All rows in a random but repeatable order of ``key``."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    return df.orderBy(_order(seed, key))
+
+
+def permutation(df: DataFrame, seed: int, key: str = "id", out: str = "place") -> DataFrame:
+    """Add each row's place, 0..n-1, in the order of ``shuffled``.
+
+    Ranges of the order are numbered apart and shifted by the rows before them, so no task sorts
+    all rows. Keys that are equal get places beside each other; a null key is a key like others.
+    """
+    return dense_index(df.withColumn("_order", _order(seed, key)), "_order", out).drop("_order")
 
 
 def minibatches(df: DataFrame, size: int = BATCH, key: str = "id") -> DataFrame:
@@ -22,6 +48,64 @@ def minibatches(df: DataFrame, size: int = BATCH, key: str = "id") -> DataFrame:
 
 
 def shuffled_minibatches(df: DataFrame, seed: int, size: int = BATCH, key: str = "id") -> DataFrame:
-    """Exact-size batches over a random order of the rows."""
-    order = F.struct(F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(key).alias("k"))
-    return minibatches(df.withColumn("_order", order), size, "_order").drop("_order")
+    """Exact-size batches over the places of ``permutation``."""
+    placed = permutation(df, seed, key, "_place")
+    return placed.withColumn("batch", F.floor(F.col("_place") / size)).drop("_place")
+
+
+@dataclass
+class BatchedRows:
+    """Rows ``id, target, feature, value`` laid out by batch; a batch is read without the others."""
+
+    rows: DataFrame
+    batches: int
+
+    def read(self, batch: int) -> PlacedRows:
+        own = self.rows.filter((F.col("shelf") == batch // SHELF) & (F.col("batch") == batch)).drop("shelf", "batch")
+        return PlacedRows(own, own.filter(F.col("feature") == BIAS).select("id", "target"), "id")
+
+
+@contextmanager
+def batched_rows(rows: DataFrame, batches: DataFrame) -> Iterator[BatchedRows]:
+    """Lay out rows once by the ``batch`` (from 0) that ``id, batch`` gives their post.
+
+    Batches are dealt into folders of SHELF batches, and sorted inside their files: a step opens
+    one folder, of which the files' statistics leave the batch. Labels outside 0/1 are an error.
+    """
+    spread = rows.withColumn("target", S.checked_label("target")).join(batches.select("id", "batch"), "id")
+    last = batches.agg(F.max("batch")).first()[0]
+    shelved = (
+        spread.withColumn("shelf", F.floor(F.col("batch") / SHELF).cast("int"))
+        .repartitionByRange("batch")
+        .sortWithinPartitions("batch", "id")
+    )
+    written = stage(shelved, "batches", partition_by=("shelf",))
+    try:
+        yield BatchedRows(written, 0 if last is None else int(last) + 1)
+    finally:
+        discard(written)
+
+
+def batch_descent(
+    rows: DataFrame, batches: DataFrame, weights: DataFrame, hidden: int, rate: float, epochs: int
+) -> DataFrame:
+    """``feature, w`` after ``epochs`` passes over the batches in their order, one step for each.
+
+    ``weights`` is a written table with arrays ``w``, the output layer included if there is a
+    hidden one. A step reads its batch, the weights of the features that the batch has, and
+    writes the weights.
+    """
+    given = weights
+    with batched_rows(rows, batches) as laid:
+        for _ in range(epochs):
+            for batch in range(laid.batches):
+                placed = laid.read(batch)
+                names = placed.by_post.select("feature").distinct()
+                if hidden:
+                    names = names.unionByName(names.sparkSession.createDataFrame([(OUTPUT,)], "feature string"))
+                names = stage(names, "batch-features")
+                moved, _ = gradient_step(placed, weights.join(names, "feature", "left_semi"), hidden, rate)
+                after = stage(weights.join(names, "feature", "left_anti").unionByName(moved), "weights")
+                discard(moved, names, *([] if weights is given else [weights]))
+                weights = after
+    return weights

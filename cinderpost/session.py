@@ -95,14 +95,14 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder, in folders by ``partition_by``, and read it back.
 
     Cuts the lineage so that lost executors never recompute it, fixes its rows, and gives
     Catalyst a real size for its join choices.
     """
     path = f"{shared_folder(df.sparkSession)}/cinderpost/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     written._stage_path = path
     if _WORKSPACES:

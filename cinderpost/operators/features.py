@@ -159,6 +159,12 @@ class FeatureModel:
         value = weigh(F.col("feature"), F.col("value"), self.weighting, F.col("idf"))
         return found.withColumn("value", value).drop("idf")
 
+    def transform_all(self, prepared: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        """``id``, ``keep`` columns, ``feature, v``: values under every weighting, in their order."""
+        found = keyed_lookup(with_features(prepared, keep), self.dictionary, "feature", "inner", support="df")
+        values = [weigh(F.col("feature"), F.col("value"), name, F.col("idf")) for name in P.WEIGHTINGS]
+        return found.withColumn("v", F.array(*values)).drop("idf", "value")
+
     def dims(self) -> DataFrame:
         """``n_terms, n_keywords, dims`` of the feature matrix."""
         name = F.col("feature")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
-from cinderpost.operators import evaluate, naive_bayes, network, sequence
+from cinderpost.operators import descent, evaluate, naive_bayes, network, sequence
 from cinderpost.operators.features import FeatureBuilder, FeatureModel, carried, document_frequency
 from cinderpost.operators.tokens import check_option, prepare
 from cinderpost.session import discard, stage
@@ -24,6 +25,7 @@ class Experiment:
     legacy_stops: bool = False
     select_on: str = "validation"
     network: network.Settings = field(default_factory=network.Settings)
+    search: descent.Search | None = None  # quasi-Newton steps in place of plain ones
 
     def __post_init__(self):
         check_option(self.stemming, P.STEMMING, "stemming")
@@ -38,7 +40,8 @@ class Experiment:
     @property
     def model_id(self) -> str:
         """The run and everything else that its model depends on, the input aside."""
-        trained = () if self.classifier == "NaiveBayes" else (repr(self.settings()), self.select_on)
+        how = self.search or self.settings()
+        trained = () if self.classifier == "NaiveBayes" else (repr(how), self.select_on)
         facts = {"legacy_stops": self.legacy_stops, "patterns": P.version(), "trained": trained}
         return f"{self.run_id}-{fingerprint(**facts)}"
 
@@ -121,6 +124,26 @@ class Trained:
         )
 
 
+def _held_out() -> Column:
+    """One eighth of the posts, by a hash of the id."""
+    return F.pmod(F.xxhash64("id"), F.lit(8)) == 0
+
+
+def _placed(transform, prepared: DataFrame, select_on: str) -> DataFrame:
+    """Rows of the posts that train, and of those that the round to keep is chosen on.
+
+    With ``last`` there are none of the latter, and the last round is kept.
+    """
+    check_option(select_on, ("validation", "test", "last"), "select_on")
+    posts = transform(part(prepared, "train"), keep=("target",))
+    if select_on == "last":
+        return posts.withColumn("trains", F.lit(True))
+    if select_on == "test":
+        test = transform(part(prepared, "test"), keep=("target",))
+        return posts.withColumn("trains", F.lit(True)).unionByName(test.withColumn("trains", F.lit(False)))
+    return posts.withColumn("trains", ~_held_out())
+
+
 def train(prepared: DataFrame, experiment: Experiment) -> Trained:
     """Train on the train posts of ``prepared``.
 
@@ -131,6 +154,13 @@ def train(prepared: DataFrame, experiment: Experiment) -> Trained:
     if experiment.classifier == "NaiveBayes":
         return Trained(experiment, {"sums": naive_bayes.fit(posts).sums})
     features = FeatureBuilder(experiment.weighting).fit(posts)
+    if experiment.search:
+        learner = descent.Learner(experiment.run_id, hidden=experiment.settings().hidden)
+        rows = stage(_placed(features.transform, prepared, experiment.select_on), "train-features")
+        placed = rows.withColumn("v", F.array("value"))
+        found = descent.fit_many(placed, [learner], experiment.search).model(experiment.run_id)
+        discard(rows)
+        return Trained(experiment, {"dictionary": features.dictionary, "weights": found.weights}, found.history)
     rows = stage(features.transform(posts, keep=("target",)), "train-features")
     written = [rows]
     if experiment.select_on == "test":
@@ -138,8 +168,7 @@ def train(prepared: DataFrame, experiment: Experiment) -> Trained:
         chosen = stage(test, "test-features")
         written.append(chosen)
     else:
-        held_out = F.pmod(F.xxhash64("id"), F.lit(8)) == 0
-        rows, chosen = rows.filter(~held_out), rows.filter(held_out)
+        rows, chosen = rows.filter(~_held_out()), rows.filter(_held_out())
     model = network.fit(rows, chosen, experiment.settings(), experiment.run_id)
     discard(*written)
     tables = {"dictionary": features.dictionary, "weights": model.weights}
@@ -169,24 +198,48 @@ def naive_bayes_grid(prepared: DataFrame, stemming: str) -> DataFrame:
     return naive_bayes.predict(scores).select(run_id.alias("run_id"), "id", "pred", "target")
 
 
+def network_grid(
+    prepared: DataFrame,
+    stemming: str,
+    classifiers: tuple[str, ...],
+    search: descent.Search,
+    select_on: str = "validation",
+    start: Callable[[descent.Units], tuple[Column, list]] | None = None,
+) -> DataFrame:
+    """Predictions of all weightings and network classifiers: trained together, scored together.
+
+    The rows hold the values of every weighting, so one scan a round serves six runs. ``start``
+    gives the starting weights, else they are random.
+    """
+    features = FeatureBuilder().fit(part(prepared, "train"))
+    learners = [
+        descent.Learner(e.run_id, P.WEIGHTINGS.index(e.weighting), e.settings().hidden)
+        for e in (Experiment(stemming, w, c) for w, c in product(P.WEIGHTINGS, classifiers))
+    ]
+    rows = stage(_placed(features.transform_all, prepared, select_on), "grid-features")
+    models = descent.fit_many(rows, learners, search, start and start(descent.Units(learners)))
+    discard(rows)
+    test = stage(features.transform_all(part(prepared, "test"), keep=("target",)), "grid-test")
+    return models.score(test).select("run_id", "id", "pred", "target")
+
+
 def run_grid(
     posts: DataFrame,
     classifiers: tuple[str, ...] = P.CLASSIFIERS,
-    settings: network.Settings | None = None,
+    search: descent.Search | None = None,
     select_on: str = "validation",
+    start: Callable[[descent.Units], tuple[Column, list]] | None = None,
 ) -> DataFrame:
-    """Report rows of every combination; each token variant is made once."""
+    """Report rows of every combination; each token variant is made once, its runs share scans."""
     predictions = []
     for stemming in P.STEMMING:
         prepared = prepare_once(posts, stemming)
         if "NaiveBayes" in classifiers:
             predictions.append(naive_bayes_grid(prepared, stemming))
-        others = [c for c in classifiers if c != "NaiveBayes"]
-        for weighting, classifier in product(P.WEIGHTINGS, others):
-            experiment = Experiment(stemming, weighting, classifier, select_on=select_on)
-            if settings:
-                experiment = replace(experiment, network=settings)
-            predictions.append(predict_experiment(prepared, experiment))
+        others = tuple(c for c in classifiers if c != "NaiveBayes")
+        if others:
+            found = network_grid(prepared, stemming, others, search or descent.Search(), select_on, start)
+            predictions.append(found)
     rows = predictions[0]
     for more in predictions[1:]:
         rows = rows.unionByName(more)
@@ -196,10 +249,13 @@ def run_grid(
 def run_sequence_experiment(
     posts: DataFrame, stemming: str = "Stem", size: int = 128, seed: int = 7
 ) -> DataFrame:
-    """Word vectors of the joint vocabulary, pooled per post, and a linear classifier."""
-    prepared = prepare_once(posts, stemming)
-    terms = document_frequency(prepared)
-    embedding = stage(sequence.random_embedding(terms, size, seed), "embedding")
+    """Word vectors of the joint vocabulary, pooled per post, and a linear classifier.
+
+    The vocabulary is that of all posts; those without a label neither train nor are reported.
+    """
+    every = stage(prepare(posts, stemming), f"tokens-{stemming}")
+    embedding = stage(sequence.random_embedding(document_frequency(every), size, seed), "embedding")
+    prepared = every.filter(F.col("target").isNotNull())
     model = sequence.SequenceModel.fit(part(prepared, "train"), embedding)
     predicted = model.predict(part(prepared, "test"))
     run_id = F.lit(f"{stemming}-WordEmbedding-Pooled").alias("run_id")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import patterns as P
 from cinderpost.functions.scoring import first_argmax, threshold
 from cinderpost.operators import features as E
-from cinderpost.operators import labeling, linear, metadata, naive_bayes, network, sequence, vocab
+from cinderpost.operators import descent, labeling, linear, metadata, naive_bayes, network, sequence, vocab
 from cinderpost.operators import tokens as K
 from cinderpost.plans import experiments as runs
 from cinderpost.session import stage
@@ -252,7 +252,7 @@ def test_saved_model_predicts_the_same(spark, posts, prepared, tmp_path, classif
 
 
 def test_grid_and_options(posts):
-    report = runs.run_grid(posts, ("NaiveBayes", "Logistic"), network.Settings(rounds=1), "test")
+    report = runs.run_grid(posts, ("NaiveBayes", "Logistic"), descent.Search(rounds=1), "test")
     runs_done = sorted(r["run_id"] for r in report.collect())
     assert len(runs_done) == 12 and runs_done[0] == "NoStem-Binary-Logistic"
     for wrong in ({"stemming": "x"}, {"weighting": "x"}, {"classifier": "x"}, {"select_on": "x"}):
@@ -271,7 +271,7 @@ def test_stored_stages_follow_input_settings_and_interrupted_writes(spark, posts
         runs.prepare_once(posts, "NoStem", store=store)
     facts = {"x": 1}
     store.save(spark.range(5), "t", **facts)
-    os.remove(f"{store.path('t', **facts)}/_SUCCESS")
+    os.remove(f"{store.versions('t', **facts)[-1].folder}/_SUCCESS")
     assert store.reuse("t", lambda: spark.range(7), **facts).count() == 7
     assert store.reuse("t", lambda: spark.range(9), **facts).count() == 7
     one, two = runs.Experiment(), runs.Experiment(legacy_stops=True)

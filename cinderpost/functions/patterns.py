@@ -21,11 +21,13 @@ BLANKS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 
-# Token shapes of social-media text, tried in this order at each position.
+# Token shapes of social-media text, tried in this order at each position. The two
+# emoticons are the signs of Christopher Potts's published tokenizer for such text, in its order:
+# a hat, eyes, a nose, a mouth, and the same mirrored.
 TOKEN_SHAPES = {
     "url": r"https?://[!$-_a-z]+",
-    "emoticon": r"[<>]?[:;=8][-o*']?[)(\]\[dDpP/:{}@|\\]",
-    "mirrored emoticon": r"[)(\]\[dDpP/:{}@|\\][-o*']?[:;=8][<>]?",
+    "emoticon": r"[<>]?[:;=8][-o*']?[)\](\[dDpP/:}{@|\\]",
+    "mirrored emoticon": r"[)\](\[dDpP/:}{@|\\][-o*']?[:;=8][<>]?",
     "markup tag": r"<[^<> ]+>",
     "arrow": r"-+>|<-+",
     "handle": r"@[A-Za-z0-9_]+",

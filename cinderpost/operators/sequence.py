@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinderpost.functions import scoring as S
 from cinderpost.functions import text as X
 from cinderpost.operators.features import carried
 from cinderpost.operators.lookup import keyed_lookup
@@ -19,26 +20,33 @@ from cinderpost.session import stage
 from cinderpost.sources.stages import StageStore
 
 
+# A prime below 2^31: products of two numbers below it fit a long.
+PRIME = (1 << 31) - 1
+
+
 def random_embedding(vocab: DataFrame, size: int, seed: int = 7) -> DataFrame:
     """``term, vec``: standard normal numbers, always the same for a term and seed.
 
-    A column ``df`` of the vocabulary, the posts of a term, is kept for later lookups.
+    Two numbers a, b from a digest of seed and term start a counter: x = (a + j b) mod PRIME for
+    j = 0, 1, ..., squared twice with a and b added. Pairs of them give normal numbers by the
+    cosine rule. A column ``df`` of the vocabulary, the posts of a term, is kept for later lookups.
     """
-    scale = float(1 << 30)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), "term"))
+    start = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long") % PRIME for at in (1, 16)]
+    a, b = F.col("_a"), F.col("_b")
 
-    def uniform(i, part):
-        drawn = F.pmod(F.xxhash64(F.col("term"), i, F.lit(part), F.lit(seed)), F.lit(1 << 30))
-        return (drawn + 1) / (scale + 1)
+    def uniform(j):
+        x = (a + j * b) % PRIME
+        x = (x * x + a) % PRIME
+        x = (x * x + b) % PRIME
+        return (x + 1) / float(PRIME + 1)
 
     def normal(i):
-        return F.sqrt(-2.0 * F.log(uniform(i, "r"))) * F.cos(2.0 * math.pi * uniform(i, "a"))
-
-    return vocab.select(
-        "term",
-        *carried(vocab, "df"),
-        F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: normal(i).cast("float")).alias(
-            "vec"
-        ),
+        return F.sqrt(-2.0 * F.log(uniform(2 * i))) * F.cos(2.0 * math.pi * uniform(2 * i + 1))
+
+    places = F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long"))
+    return vocab.select("term", *carried(vocab, "df"), start[0].alias("_a"), start[1].alias("_b")).select(
+        "term", *carried(vocab, "df"), F.transform(places, lambda i: normal(i).cast("float")).alias("vec")
     )
 
 
@@ -47,7 +55,7 @@ def pool_posts(tokenized: DataFrame, embedding: DataFrame) -> DataFrame:
 
     ``embedding`` is any written ``term, vec`` table; a column ``df`` tells its frequent terms
     without a pass over the posts. A post without a known token gets zeros.
-       """
+    """
     counted = X.term_counts(tokenized.select("id", "tokens"), "tokens", "counts")
     rows = unroll_structs(counted, ["id"], "counts", "term")
     support = "df" if "df" in embedding.columns else None
@@ -68,30 +76,67 @@ def pool_vectors(vectors: DataFrame, group: str, vec: str) -> DataFrame:
     return pooled.select(group, F.posexplode(vector_to_array("_mean")).alias("pos", "mean_value"))
 
 
+BIAS = -1
+
+
+def _table(spark: SparkSession, weights: list[float], bias: float) -> DataFrame:
+    rows = [(BIAS, float(bias)), *((i, float(w)) for i, w in enumerate(weights))]
+    return spark.createDataFrame(rows, "pos int, w double")
+
+
 @dataclass
 class SequenceModel:
-    """Word vectors and a classifier over pooled vectors, whose state is as long as one vector."""
+    """Word vectors and a linear classifier over pooled vectors: tables, no learner's object.
+
+    ``weights`` is ``pos, w``, as long as one vector; the bias stands at place -1.
+    """
 
     embedding: DataFrame
-    classifier: LogisticRegressionModel
+    weights: DataFrame
 
     @staticmethod
     def fit(train: DataFrame, embedding: DataFrame) -> SequenceModel:
         pooled = stage(pool_posts(train, embedding), "pooled")
         learner = LogisticRegression(labelCol="target", maxIter=50, regParam=0.01)
-        return SequenceModel(embedding, learner.fit(pooled))
+        found = learner.fit(pooled)
+        table = _table(train.sparkSession, found.coefficients.toArray().tolist(), found.intercept)
+        return SequenceModel(embedding, stage(table, "sequence-weights"))
+
+    def score(self, tokenized: DataFrame) -> DataFrame:
+        """``id, target, p, pred`` of every post; ``target`` if there is one.
+
+        The mean of a post's vectors times the weights is the mean of its terms' products, so a
+        term becomes one number before any join, and no vector is shuffled.
+        """
+        places = self.weights.filter(F.col("pos") >= 0)
+        weights = places.agg(F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("ws")).select(
+            F.transform("ws", lambda x: x["w"])
+        ).scalar()
+        bias = self.weights.filter(F.col("pos") == BIAS).select("w").scalar()
+        products = F.zip_with("vec", "_ws", lambda v, w: v.cast("double") * w)
+        terms = self.embedding.withColumn("_ws", weights).select(
+            "term",
+            *carried(self.embedding, "df"),
+            F.aggregate(products, F.lit(0.0), lambda total, x: total + x).alias("_s"),
+        )
+        counted = X.term_counts(tokenized.select("id", "tokens"), "tokens", "counts")
+        rows = unroll_structs(counted, ["id"], "counts", "term")
+        support = "df" if "df" in self.embedding.columns else None
+        found = keyed_lookup(rows, stage(terms, "term-scores"), "term", "inner", support=support)
+        means = found.groupBy("id").agg((F.sum(F.col("_s") * F.col("tf")) / F.sum("tf")).alias("_z"))
+        kept = carried(tokenized, "target")
+        every = tokenized.select("id", *kept).join(means, "id", "left")
+        p = S.sigmoid(F.coalesce("_z", F.lit(0.0)) + bias)
+        return every.select("id", *kept, p.alias("p")).withColumn("pred", S.threshold(F.col("p")))
 
     def predict(self, tokenized: DataFrame) -> DataFrame:
         """``id, target, pred`` of every post; ``target`` if there is one."""
-        scored = self.classifier.transform(pool_posts(tokenized, self.embedding))
-        return scored.select("id", *carried(scored, "target"), F.col("prediction").cast("int").alias("pred"))
+        return self.score(tokenized).drop("p")
 
     def save(self, store: StageStore, **facts) -> None:
         store.save(self.embedding, "sequence-embedding", **facts)
-        path = store.path("sequence-classifier", **facts)
-        self.classifier.write().overwrite().save(path)
+        store.save(self.weights, "sequence-weights", **facts)
 
     @staticmethod
     def load(store: StageStore, **facts) -> SequenceModel:
-        classifier = LogisticRegressionModel.load(store.path("sequence-classifier", **facts))
-        return SequenceModel(store.load("sequence-embedding", **facts), classifier)
+        return SequenceModel(store.load("sequence-embedding", **facts), store.load("sequence-weights", **facts))

@@ -204,6 +204,60 @@ for _step in range(2):
           any_value(oc) - avg(slope) AS oc
         FROM net{_step}p CROSS JOIN out{_step}"""
 
+# two epochs of four shuffled batches, a step of rate 1 for each
+_VIEWS["batch_places"] = """SELECT id, (row_number() OVER (ORDER BY md5('7|' || id), id) - 1)
+      // ((count(*) OVER () + 3) // 4) AS batch
+    FROM tokens WHERE target IS NOT NULL"""
+_VIEWS["batch0w"] = _VIEWS["descent0"]
+for _step in range(8):
+    _VIEWS[f"batch{_step}p"] = f"""SELECT id, target, 1 / (1 + exp(-sum(w))) AS p
+        FROM descent_rows JOIN batch{_step}w USING (feature) JOIN batch_places USING (id)
+        WHERE batch = {_step % 4} GROUP BY id, target"""
+    _VIEWS[f"batch{_step}g"] = f"""
+        SELECT feature, sum(2 * (p - r.target) * p * (1 - p)) / (SELECT count(*) FROM batch{_step}p) AS g
+        FROM descent_rows r JOIN batch{_step}p USING (id) GROUP BY feature"""
+    _VIEWS[f"batch{_step + 1}w"] = f"""SELECT feature, w - coalesce(g, 0) AS w
+        FROM batch{_step}w LEFT JOIN batch{_step}g USING (feature)"""
+
+# the network runs of the grid: two steps of rate 0.5 from fixed weights; 0 units are logistic
+_VIEWS["grid_rows"] = """SELECT weighting, id, split, target, feature, value FROM lrows
+    UNION ALL SELECT weighting, id, split, target, '1', 1.0::DOUBLE FROM tokens
+      CROSS JOIN (VALUES ('Frequency'), ('Binary'), ('TFIDF')) w(weighting) WHERE target IS NOT NULL"""
+_VIEWS["grid_units"] = """SELECT 0 AS hidden, 0 AS unit UNION ALL SELECT 20, unnest(range(20))"""
+_VIEWS["grid0w"] = """SELECT DISTINCT weighting, hidden, unit, feature,
+      ((length(feature) + 3 * unit) % 7 - 3) / 64e0 AS w
+    FROM grid_rows CROSS JOIN grid_units WHERE split = 'train'"""
+_VIEWS["grid0o"] = """SELECT weighting, unit, CASE WHEN unit = 20 THEN 0 ELSE (2 * unit % 5 - 2) / 4e0 END AS o
+    FROM (VALUES ('Frequency'), ('Binary'), ('TFIDF')) w(weighting) CROSS JOIN (SELECT unnest(range(21)) AS unit)"""
+for _step in range(3):
+    _VIEWS[f"grid{_step}a"] = f"""SELECT weighting, hidden, unit, id, split, target,
+          1 / (1 + exp(-greatest(least(sum(value * w), 700), -700))) AS a
+        FROM grid_rows JOIN grid{_step}w USING (weighting, feature)
+        GROUP BY weighting, hidden, unit, id, split, target"""
+    _VIEWS[f"grid{_step}p"] = f"""SELECT weighting, hidden, id, split, target,
+          CASE WHEN hidden = 0 THEN any_value(a) ELSE 1 / (1 + exp(-(sum(a * o) + any_value(ob)))) END AS p
+        FROM grid{_step}a LEFT JOIN grid{_step}o USING (weighting, unit)
+          JOIN (SELECT weighting, o AS ob FROM grid{_step}o WHERE unit = 20) USING (weighting)
+        GROUP BY weighting, hidden, id, split, target"""
+    _VIEWS[f"grid{_step}s"] = f"""SELECT weighting, hidden, id,
+          2 * (p - target) * p * (1 - p) / count(*) OVER (PARTITION BY weighting, hidden) AS slope
+        FROM grid{_step}p WHERE split = 'train'"""
+    _VIEWS[f"grid{_step}b"] = f"""SELECT weighting, hidden, unit, id, slope, a,
+          CASE WHEN hidden = 0 THEN slope ELSE slope * o * a * (1 - a) END AS back
+        FROM grid{_step}s JOIN grid{_step}a USING (weighting, hidden, id)
+          LEFT JOIN grid{_step}o USING (weighting, unit)"""
+    _VIEWS[f"grid{_step + 1}w"] = f"""SELECT weighting, hidden, unit, feature, any_value(w) - 0.5e0 * sum(value * back) AS w
+        FROM grid_rows JOIN grid{_step}b USING (weighting, id) JOIN grid{_step}w USING (weighting, hidden, unit, feature)
+        GROUP BY weighting, hidden, unit, feature"""
+    _VIEWS[f"grid{_step + 1}o"] = f"""SELECT weighting, unit, o - 0.5e0 * g AS o FROM grid{_step}o JOIN (
+          SELECT weighting, unit, sum(slope * a) AS g FROM grid{_step}b WHERE hidden = 20 GROUP BY weighting, unit
+          UNION ALL SELECT weighting, 20, sum(slope) FROM grid{_step}s WHERE hidden = 20 GROUP BY weighting) USING (weighting, unit)"""
+_VIEWS["grid_preds"] = """
+    SELECT weighting || CASE WHEN hidden = 0 THEN '-Logistic' ELSE '-FFNN' END AS run, target,
+      CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred
+    FROM grid2p WHERE split = 'test'
+    UNION ALL SELECT weighting || '-NaiveBayes', target, pred FROM nb_preds"""
+
 _CELLS = """count(*) FILTER (pred = 0 AND target = 0) AS tn,
     count(*) FILTER (pred = 0 AND target = 1) AS fn,
     count(*) FILTER (pred = 1 AND target = 0) AS fp,
@@ -213,6 +267,7 @@ _RUNS = "'NoStem-' || weighting || '-NaiveBayes' AS run_id"
 
 _FINAL = {
     "split_counts": "SELECT split, count(*) AS n_posts FROM posts GROUP BY split",
+    "posts_csv": "SELECT id, keyword, location, sha256(text) AS text_sha256, target FROM posts",
     "submission": "SELECT id, pred AS target FROM preds",
     "keyword_index": "SELECT keyword, keywd FROM keyword_ids",
     "keyword_encode": """SELECT p.id, coalesce(k.keywd, -1) AS keywd FROM posts p
@@ -315,6 +370,32 @@ _FINAL = {
           FROM (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY id) - 1) // 256 AS batch
                 FROM fixed)
           GROUP BY split, batch)""",
+    "stored_stages": """
+        SELECT 'tokens' AS kind, count(*) AS n, round(sum(len(tokens))::DOUBLE, 3) AS total FROM tokens
+        UNION ALL SELECT 'keywords', count(*), round(sum(keywd)::DOUBLE, 3) FROM keyword_ids
+        UNION ALL SELECT 'vocabulary', count(*), round(sum(length(term))::DOUBLE, 3) FROM train_df
+        UNION ALL SELECT 'idf', count(*), round(sum(idf), 3) FROM train_idf
+        UNION ALL SELECT 'model', count(*), round(sum(ll0), 3) FROM lik WHERE weighting = 'Frequency'
+        UNION ALL SELECT 'predictions', count(*), round(sum(pred)::DOUBLE, 3) FROM nb_preds WHERE weighting = 'Frequency'""",
+    "shuffled_order": "SELECT id, row_number() OVER (ORDER BY md5('7|' || id), id) - 1 AS place FROM posts",
+    "batch_descent": "SELECT feature, round(w, 8) AS w FROM batch8w",
+    "network_score": """
+        SELECT id, target, round(p, 6) AS p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred FROM (
+          SELECT id, target, 1 / (1 + exp(-(0.5e0 / (1 + exp(-z)) - 0.25e0 / (1 + exp(z / 2)) + 0.125e0))) AS p
+          FROM (SELECT t.id, t.target, coalesce(sum((length(f.term) - 5) / 8192e0), 0) AS z
+                FROM tokens t LEFT JOIN tf f ON f.id = t.id GROUP BY t.id, t.target))""",
+    "random_vectors": """
+        SELECT * FROM (WITH starts AS (
+          SELECT term, ('0x' || substr(md5('7|' || term), 1, 15))::BIGINT % 2147483647 AS a,
+            ('0x' || substr(md5('7|' || term), 16, 15))::BIGINT % 2147483647 AS b
+          FROM (SELECT DISTINCT term FROM words)),
+        draws AS (SELECT term, a, b, j, (a + j * b) % 2147483647 AS x
+          FROM starts CROSS JOIN (SELECT unnest(range(8)) AS j)),
+        twice AS (SELECT *, (x * x + a) % 2147483647 AS y FROM draws),
+        uniform AS (SELECT term, j, ((y * y + b) % 2147483647 + 1) / 2147483648e0 AS u FROM twice)
+        SELECT r.term, (r.j // 2)::INTEGER AS pos,
+          round((sqrt(-2 * ln(r.u)) * cos(2 * pi() * s.u))::FLOAT::DOUBLE, 4) AS x
+        FROM uniform r JOIN uniform s ON s.term = r.term AND s.j = r.j + 1 WHERE r.j % 2 = 0)""",
     "best_checkpoint": """
         SELECT run_id, epoch, test_acc FROM (
           SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY epoch DESC) AS back FROM (
@@ -330,6 +411,14 @@ _FINAL = {
         SELECT t.id, k - 1 AS pos, round(coalesce(avg((length(w.term) * k % 7)::DOUBLE), 0), 6) AS mean_value
         FROM tokens t CROSS JOIN (VALUES (1), (2), (3)) v(k) LEFT JOIN words w ON w.id = t.id
         GROUP BY t.id, k""",
+    "sequence_score": """
+        SELECT id, round(p, 6) AS p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred FROM (
+          SELECT id, 1 / (1 + exp(0.25e0 - sum(weight * mean))) AS p FROM (
+            SELECT t.id, k, any_value(weight) AS weight,
+              coalesce(avg((length(w.term) * k % 7)::DOUBLE), 0) AS mean
+            FROM tokens t CROSS JOIN (VALUES (1, 0.5e0), (2, -0.375e0), (3, 0.125e0)) v(k, weight)
+              LEFT JOIN words w ON w.id = t.id
+            GROUP BY t.id, k) GROUP BY id)""",
     "embedding_pool": """
         SELECT label, (pos - 1)::INTEGER AS pos, round(avg(x::DOUBLE), 6) AS mean_value FROM (
           SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos
@@ -392,7 +481,13 @@ def _statement(final: str, views: dict[str, str]) -> str:
     return (f"WITH {', '.join(parts)} " if parts else "") + final
 
 
+def _grid(stemming: str, views: dict[str, str]) -> str:
+    report = f"SELECT '{stemming}-' || run AS run_id, {_ACCURACY}, {_CELLS} FROM grid_preds GROUP BY run"
+    return f"SELECT * FROM ({_statement(report, views)})"
+
+
 def statements() -> dict[str, str]:
     plain = {name: _statement(final, _VIEWS) for name, final in _FINAL.items()}
     views = {**_VIEWS, **_STEMMED}
-    return plain | {name: _statement(final, views) for name, final in _STEMMED_FINAL.items()}
+    stemmed = {name: _statement(final, views) for name, final in _STEMMED_FINAL.items()}
+    return plain | stemmed | {"grid": f"{_grid('NoStem', _VIEWS)} UNION ALL {_grid('Stem', views)}"}

@@ -15,6 +15,7 @@ from cinderpost.session import discard, stage
 # MOST_ROUNDS mean that they never will be.
 TOLERANCE = 1e-9
 MOST_ROUNDS = 400
+CHECK_EVERY = 4
 # Distrust above the threshold by less than this share of the trust doesn't block.
 MARGIN = 1e-6
 
@@ -106,8 +107,8 @@ def propagate(
     among ``most_rounds`` is an error. With ``rounds`` there are just so many, settled or not.
 
     Each round is one join of the edges with the scores and one aggregation, partly done before
-    its shuffle; its result is written with the scores before it, so a lost executor costs no
-    more than the round, and the change is a sum over what was written.
+    its shuffle; its result is written, so a lost executor costs no more than the round. Every
+    CHECK_EVERY rounds the scores before are written with them, and the change is a sum over these.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("n"))
     back = edges.groupBy("dst").agg(F.sum("weight").alias("n"))
@@ -131,7 +132,7 @@ def propagate(
     scores = stage(seeds, "scores")
     done = 0
     while rounds is None or done < rounds:
-        if rounds is None and done == most_rounds:
+        if rounds is None and done >= most_rounds:
             raise RuntimeError(f"scores of hosts are not settled after {most_rounds} rounds")
         moved = flow.join(F.broadcast(scores) if small else scores, "host").select(
             F.col("to").alias("host"),
@@ -141,20 +142,19 @@ def propagate(
         given = start.select(
             "host", (F.col("_t") * (1 - damping)).alias("trust"), (F.col("_d") * (1 - damping)).alias("distrust")
         )
-        before = scores.select(
-            "host",
-            F.lit(0.0).alias("trust"),
-            F.lit(0.0).alias("distrust"),
-            F.col("trust").alias("_trust"),
-            F.col("distrust").alias("_distrust"),
-        )
-        after = stage(
-            moved.unionByName(given).withColumns(none).unionByName(before).groupBy("host").agg(*sums), "scores"
-        )
+        sent = moved.unionByName(given)
+        done += 1
+        if rounds is not None or done % CHECK_EVERY:
+            after = stage(sent.groupBy("host").agg(*sums[:2]), "scores")
+            discard(scores)
+            scores = after
+            continue
+        before = scores.select("host", *[F.lit(0.0).alias(c[1:]) for c in old], *[F.col(c[1:]).alias(c) for c in old])
+        after = stage(sent.withColumns(none).unionByName(before).groupBy("host").agg(*sums), "scores")
         discard(scores)
-        scores, done = after.drop(*old), done + 1
+        scores = after.drop(*old)
         scores._stage_path = after._stage_path
-        if rounds is None and (after.agg(change).first()[0] or 0.0) < tolerance:
+        if (after.agg(change).first()[0] or 0.0) < tolerance:
             break
     discard(flow)
     return scores

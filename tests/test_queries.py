@@ -36,3 +36,10 @@ def test_learners_against_the_larger_class(spark, name):
     row = queries()[name](spark, "/root/testdata/sf0.01").first()
     assert (row["tn"] + row["fp"], row["fn"] + row["tp"]) == (15, 112)
     assert row["accuracy"] > 112 / 127
+
+
+def test_vectors_are_computed_once_for_a_distinct_term(spark):
+    """No filter repeats them below the step that makes the terms distinct."""
+    plan = queries()["random_vectors"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert "md5" in plan and not any("md5" in line for line in filters)

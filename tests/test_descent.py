@@ -147,3 +147,24 @@ def test_grid_has_a_row_for_every_combination(posts):
     assert len(report) == len({r["run_id"] for r in report}) == 18
     assert all(r["tn"] + r["fn"] + r["fp"] + r["tp"] == 4 for r in report)
     assert {r["run_id"].split("-")[1] for r in report} == set(P.WEIGHTINGS)
+
+
+@pytest.mark.parametrize("limit", [0, 2000])
+def test_what_a_round_writes_has_a_row_per_post(table, monkeypatch, limit):
+    """Rare features apart, slopes broadcast (2000) or not (0): the same runs, nothing kept by feature."""
+    plain = descent.fit_many(table, LEARNERS, descent.Search(rounds=4))
+    written = {}
+
+    def noted(df, name, *more):
+        found = stage(df, name, *more)
+        written.setdefault(name, set()).add(found.count())
+        return found
+
+    monkeypatch.setattr(descent, "stage", noted)
+    found = descent.fit_many(table, LEARNERS, descent.Search(rounds=4), broadcast_bytes=limit)
+    once = ("train-features", "weights")
+    assert {n for name, counts in written.items() if name not in once for n in counts} <= {5, 6}
+    expected = {r["feature"]: r["w"] for r in plain.weights.collect()}
+    for r in found.weights.collect():
+        assert np.allclose(r["w"], expected.pop(r["feature"]), atol=1e-7)
+    assert not expected

@@ -12,8 +12,8 @@ from cinderpost.session import discard, stage
 
 # One or two words recur by chance; a run of lines with more is a copy wherever it comes again.
 MIN_WORDS = 3
-# Fixed value: the signs between words.
-BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
+# A sign between words, and any other.
+GAP, SIGN = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
 def _place() -> Column:
@@ -21,26 +21,32 @@ def _place() -> Column:
 
 
 def _words(line: Column, most: int) -> Column:
-    """Words of a line, counted up to ``most``, null without any; no line is read beyond them."""
-    bare = F.btrim(line, F.lit(BLANK))
-    return F.when(bare != "", F.size(F.split(bare, r"[\x20\x09-\x0D]+", most)))
+    """Words of a line that has any, counted up to ``most``; no line is read beyond them."""
+    found = F.lit(1)
+    for n in range(2, most + 1):
+        found = F.when(line.rlike(rf"^{GAP}*+(?:{SIGN}++{GAP}++){{{n - 1}}}{SIGN}"), n).otherwise(found)
+    return found
 
 
 def _lines(docs: DataFrame, most: int) -> DataFrame:
-    """Lines with words: document, place among them (_i) and in the text (_pos), words, line id."""
-    texts = F.transform(
-        F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), x.alias("line"), _words(x, most).alias("w"))
-    )
-    filled = F.filter(texts, lambda s: s["w"].isNotNull())
+    """Lines with words: document, place among them (_i) and in the text (_pos), words, line id.
+
+    The key reads the whole text, so it is made before the lines are unrolled, not for each line.
+    Only lines without words are dropped inside the row; the rest is computed line by line, in
+    compiled code, with patterns that are compiled once.
+    """
+    texts = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
+    filled = F.filter(texts, lambda s: s["line"].rlike(SIGN))
     return (
-        docs.select("doc_id", row_key().alias("_key"), F.posexplode_outer(filled).alias("_i", "_l"))
+        docs.select("doc_id", "text", row_key().alias("_key"))
+        .select("doc_id", "_key", F.posexplode_outer(filled).alias("_i", "_l"))
         .filter(F.col("_l").isNotNull())
         .select(
             "doc_id",
             "_key",
             "_i",
             F.col("_l.pos").alias("_pos"),
-            F.col("_l.w").alias("_w"),
+            _words(F.col("_l.line"), most).alias("_w"),
             F.struct(F.xxhash64("_l.line").alias("a"), F.hash("_l.line").alias("b")).alias("_name"),
         )
     )

@@ -91,3 +91,20 @@ def test_one_very_long_line(make_docs):
     rows = [(1, long), (2, long + "\nx y"), (3, "\n".join(["x y"] * 3000))]
     out = lines.without_repeats(make_docs(rows)).collect()
     assert {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in out} == {1: (1, 0), 2: (2, 1), 3: (3000, 2999)}
+
+
+def test_a_text_is_hashed_once_not_for_every_line(make_docs):
+    docs = make_docs([(1, "a b c\nd e")])
+    plan = lines._lines(docs, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "text#" not in plan[: plan.index("Generate")]
+
+
+def test_long_runs_go_whole(make_docs):
+    """Runs far longer than the words that count, lines of one word, beside lines of their own."""
+    run = [f"line{i}" for i in range(300)]
+    rows = [(d, "\n".join([f"own {d}", *run[d:], f"end {d}"])) for d in range(4)]
+    out = lines.without_repeats(make_docs(rows)).collect()
+    assert {r["doc_id"]: (r["text"], r["n_removed"], r["n_runs"]) for r in out} == {
+        0: (rows[0][1], 0, 0),
+        **{d: (f"own {d}\nend {d}", 300 - d, 1) for d in range(1, 4)},
+    }

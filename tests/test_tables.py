@@ -224,3 +224,13 @@ def test_labels_recovered(spark):
     conflict = labeling.label_conflicts(gold).collect()
     assert [(r["n_zero"], r["n_one"]) for r in conflict] == [(1, 1)]
     assert labeling.add_labels(posts, labeling.label_match(posts, gold)).columns == ["id", "text", "target"]
+
+
+def test_encoded_lists_shuffle_one_number_a_token(spark):
+    posts = spark.createDataFrame([(1, ["b", "a", "x", "b"]), (2, []), (3, ["x"])], "id long, tokens array<string>")
+    for wide in (0, -5, vocab.WIDE):
+        words = spark.createDataFrame([("a", wide), ("b", wide + 1)], "term string, term_id long")
+        found = vocab.encode_sequences(posts, words)
+        assert {r["id"]: r["ids"] for r in found.collect()} == {1: [wide + 1, wide, wide + 1], 2: [], 3: []}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("struct(pos" in plan) == (wide != 0)

@@ -26,16 +26,17 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 
 def joined(
-    rows: DataFrame, small: DataFrame, key: str, how: str = "left", limit: int | None = None
+    rows: DataFrame, small: DataFrame, key: str | list[str], how: str = "left", limit: int | None = None
 ) -> DataFrame:
     """Join ``rows`` to a written table, broadcast only when its counted bytes allow it.
 
     Beyond the limit (BROADCAST_BYTES) it is a shuffle join, in which AQE splits the partitions of
-    hot keys. Rows without a key, which no entry matches, are spread over all of them.
+    hot keys. Rows without a key, which no entry matches, are spread over all of them; a list of
+    keys is taken to have no null ones.
     """
     if measured_bytes(small) <= (BROADCAST_BYTES if limit is None else limit):
         return rows.join(F.broadcast(small), key, how)
-    if how not in ("left", "left_anti"):
+    if how not in ("left", "left_anti") or not isinstance(key, str):
         return rows.join(small, key, how)
     others = [c for c in rows.columns if c != key]
     spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(4096))).otherwise(F.lit(0).cast("long"))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from cinderpost.llm.common import joined
 from cinderpost.operators.lookup import keyed_lookup
-from cinderpost.session import discard, ship_package, stage
+from cinderpost.session import bucketed_table, discard, ship_package, stage
 
 LENGTH = 200
 GRAM = 72
@@ -389,21 +389,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     ship_package(docs.sparkSession)
     own = docs.select("doc_id", *_text_id(), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
     ids = F.struct("ta", "tb").alias("_text")
-    copied = stage(
+    n = F.octet_length("body").cast("long").alias("n_bytes")
+    # Texts are shuffled once, one of each after copies met on the map side, and lie by their id
+    # from then on: neither the pieces to cut out nor the spans to remove make them move again.
+    single = bucketed_table(
         own.filter(F.octet_length("body") >= length)
         .groupBy("ta", "tb")
-        .agg(F.count("*").alias("_copies"), F.min("doc_id").alias("_first"))
-        .filter("_copies > 1")
-        .select(ids, "_first", F.lit(True).alias("_copied")),
-        "copied-texts",
-    )
-    single = (
-        joined(own.filter(F.octet_length("body") >= length).withColumn("_text", ids), copied, "_text")
-        .filter(F.col("_copied").isNull() | F.col("doc_id").eqNullSafe(F.col("_first")))
-        .select("ta", "tb", "body")
+        .agg(F.first("body").alias("body"), F.count("*").alias("copies"), F.min("doc_id").alias("doc_id")),
+        "texts",
+        "ta",
+        "tb",
     )
+    copied = stage(single.filter("copies > 1").select(ids, F.lit(True).alias("_copied")), "copied-texts")
     pieces = stage(
-        single.mapInPandas(_pieces(length, gram), "ta long, tb long, lo long, hi long, hash long, several boolean"),
+        single.select("ta", "tb", "body").mapInPandas(_pieces(length, gram), "ta long, tb long, lo long, hi long, hash long, several boolean"),
         "pieces",
     )
     size = F.col("hi") - F.col("lo") + length
@@ -418,12 +417,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     wanted = stage(
         joined(pieces.select("ta", "tb", "lo", "hi", "hash"), hashes, "hash", "inner")
         .groupBy("ta", "tb")
-        .agg(F.collect_set(entry).alias("pieces"))
-        .select(ids, "pieces"),
+        .agg(F.collect_set(entry).alias("pieces")),
         "wanted-pieces",
     )
     discard(pieces, hashes)
-    bodies = joined(single.withColumn("_text", ids), wanted, "_text", "inner").select("ta", "tb", "body", "pieces")
+    bodies = joined(single, wanted, ["ta", "tb"], "inner").select("ta", "tb", "body", "pieces")
     kind = "hash long, salt int, split boolean, ta long, tb long, lo long, da long, db long, body binary"
     rows = stage(bodies.mapInPandas(_cut_out(length), kind), "cut-pieces")
     found = stage(
@@ -452,7 +450,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
         .groupBy("ta", "tb")
         .agg(F.collect_list(F.struct(shifted("_lo"), shifted("_hi"))).alias("_s"))
         .select(
-            ids,
+            "ta",
+            "tb",
             F.flatten(F.transform("_s", lambda s: s["_lo"])).alias("_lo"),
             F.flatten(F.transform("_s", lambda s: s["_hi"])).alias("_hi"),
         ),
@@ -460,14 +459,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     )
     discard(rows, repeats)
     discard(found, wanted)
-    everywhere = joined(joined(own.withColumn("_text", ids), copied.drop("_first"), "_text"), spans, "_text")
-    n = F.octet_length("body").cast("long")
-    whole = F.struct(n.alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
+    whole = F.struct(F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
     none = F.struct(F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("body").alias("kept"))
-    some = everywhere.filter("_copied IS NULL AND _lo IS NOT NULL").select(
-        "doc_id", n.alias("n_bytes"), _result(length)("body", "_lo", "_hi").alias("_r")
-    )
-    rest = everywhere.filter("_copied IS NOT NULL OR _lo IS NULL").select(
-        "doc_id", n.alias("n_bytes"), F.when(F.col("_copied"), whole).otherwise(none).alias("_r")
-    )
-    return some.unionByName(rest).select("doc_id", "n_bytes", "_r.*")
+    short = own.filter(F.octet_length("body") < length).select("doc_id", n, none.alias("_r"))
+    # Copies go whole, so their texts are not needed.
+    copies = own.filter(F.octet_length("body") >= length).select("doc_id", n, ids)
+    gone = joined(copies, copied, "_text", "inner").select("doc_id", "n_bytes", whole.alias("_r"))
+    once = single.filter("copies = 1")
+    some = joined(once, spans, ["ta", "tb"], "inner").select("doc_id", n, _result(length)("body", "_lo", "_hi").alias("_r"))
+    rest = joined(once, spans.select("ta", "tb"), ["ta", "tb"], "left_anti").select("doc_id", n, none.alias("_r"))
+    return short.unionByName(gone).unionByName(some).unionByName(rest).select("doc_id", "n_bytes", "_r.*")

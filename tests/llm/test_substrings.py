@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from cinderpost.llm import substrings
+from cinderpost.llm import common, substrings
 
 
 def brute(texts, length):
@@ -118,6 +118,31 @@ def test_a_hot_passage_reaches_its_shard_once(spark, make_docs, monkeypatch, sha
     assert pieces == bodies and many > 0 and rows - pieces > 150
 
 
+def test_texts_are_not_shuffled_by_later_joins(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    moved, staged = [], substrings.stage
+
+    def shuffles(df):
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return [x for x in plan.split("\n\n") if ") Exchange" in x and "body#" in x and "da#" not in x]
+
+    def seen(df, name, *more):
+        moved.extend(shuffles(df))
+        return staged(df, name, *more)
+
+    monkeypatch.setattr(substrings, "stage", seen)
+    try:
+        texts = collection(3)
+        out = substrings.remove_repeats(make_docs(list(enumerate(texts))), length=40, gram=16)
+        assert not moved and not shuffles(out)
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out.collect()}
+        assert [got[i] for i in range(len(texts))] == brute(texts, 40)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_whole_table(spark, tables):
     from cinderpost.llm.queries import Q
 

@@ -223,6 +223,16 @@ def test_word_vectors(prepared):
     assert list(found[9]) == [0.0] * 16 and len(found) == 10
 
 
+def test_posts_are_pooled_by_sums_of_fixed_width(prepared):
+    table = stage(sequence.random_embedding(vocab.vocabulary(prepared), 16), "vectors")
+    pooled = sequence.pool_posts(prepared, table)
+    pooled.collect()
+    plan = pooled._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan
+    with pytest.raises(ValueError):
+        sequence.pool_posts(prepared, table.withColumn("vec", F.slice("vec", 1, F.length("term"))))
+
+
 def test_saved_sequence_model_predicts_the_same(spark, prepared, tmp_path):
     table = stage(sequence.random_embedding(vocab.vocabulary(prepared), 16), "vectors")
     model = sequence.SequenceModel.fit(runs.part(prepared, "train"), table)

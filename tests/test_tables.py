@@ -119,6 +119,28 @@ def test_rows_without_a_key_are_not_shuffled_by_it(spark):
     assert "isnotnull(key" in plan and "isnull(key" in plan
 
 
+@pytest.mark.parametrize("support", [None, "df"])
+def test_frequent_entries_stay_with_their_rows_as_far_as_the_size_allows(spark, support, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_KEYS", 4)
+    keys = [f"k{n:02d}" for n in range(40) for _ in range(40 - n)]
+    rows = stage(spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, key string"), "rows")
+    entries = [(f"k{n:02d}", n, 40 - n) for n in range(40)]
+    table = stage(spark.createDataFrame(entries, "key string, x int, df int"), "table")
+    hot, staged = [], lookup.stage
+
+    def seen(df, name, *more):
+        out = staged(df, name, *more)
+        if name == "hot-keys":
+            hot.extend(r["key"] for r in out.collect())
+        return out
+
+    monkeypatch.setattr(lookup, "stage", seen)
+    # No key holds a quarter of the rows; eighteen entries of 91 bytes fit half of the size.
+    found = lookup.keyed_lookup(rows, table, "key", "inner", support=support, broadcast_bytes=2 * 18 * 91)
+    assert 10 <= len(hot) <= 18 and sorted(hot) == [f"k{n:02d}" for n in range(len(hot))]
+    assert sorted((r["id"], r["x"]) for r in found.collect()) == [(i, int(k[1:])) for i, k in enumerate(keys)]
+
+
 def test_measured_bytes_counts_what_is_nested(spark):
     size = lambda schema, value: lookup.measured_bytes(spark.createDataFrame([(value,)], schema))
     assert size("x string", None) < size("x string", "a" * 100) - 90

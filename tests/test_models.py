@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cinderpost.functions import patterns as P
 from cinderpost.functions.scoring import first_argmax, threshold
 from cinderpost.operators import features as E
-from cinderpost.operators import descent, labeling, linear, metadata, naive_bayes, network, sequence, vocab
+from cinderpost.operators import descent, labeling, linear, lookup, metadata, naive_bayes, network, sequence, vocab
 from cinderpost.operators import tokens as K
 from cinderpost.plans import experiments as runs
 from cinderpost.session import stage
@@ -223,6 +223,32 @@ def test_word_vectors(prepared):
     assert list(found[9]) == [0.0] * 16 and len(found) == 10
 
 
+def test_counted_weights_need_no_pass_over_the_rows(spark, monkeypatch):
+    cells = [(i, i % 2, f, 1.0) for i in range(12) for f in (E.BIAS, f"w:{i}")]
+    rows = stage(spark.createDataFrame(cells, "id long, target int, feature string, value double"), "rows")
+    counted = rows.groupBy("feature").agg(F.count("*").alias("df"), F.array(F.max(F.length("feature")) / 8.0).alias("w"))
+    weights = stage(counted, "weights")
+    plain = {r["id"]: r["p"] for r in network.NetworkModel(weights.drop("df"), 0).score(rows).collect()}
+    flat = stage(weights.select("feature", "df", F.get("w", F.lit(0)).alias("w")), "flat")
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "hot_keys", lambda *_: pytest.fail("counted again"))
+    assert {r["id"]: r["p"] for r in network.NetworkModel(weights, 0).score(rows).collect()} == plain
+    assert {r["id"]: r["p"] for r in linear.logistic_score(rows, flat).collect()} == plain
+
+
+def test_frequent_features_of_a_descent_stay_with_their_posts(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_KEYS", 2)
+    cells = [(i, i % 2, f, 1.0) for i in range(24) for f in (E.BIAS, f"w:{i}", f"w:common{i % 3}")]
+    rows = stage(spark.createDataFrame(cells, "id long, target int, feature string, value double"), "rows")
+    given = stage(rows.select("feature").distinct().selectExpr("feature", "length(feature) / 8.0D AS w"), "given")
+    plain = {r["feature"]: r["w"] for r in linear.descend(rows, given, 0.5, 2).collect()}
+    with network.training_rows(rows, 0, 1200) as placed:
+        assert sorted(r["feature"] for r in placed.hot.collect()) == [E.BIAS, "w:common0", "w:common1", "w:common2"]
+        assert placed.rare.count() == 24 and placed.counts.count() == len(plain) == 28
+    again = {r["feature"]: r["w"] for r in linear.descend(rows, given, 0.5, 2, 1200).collect()}
+    assert again.keys() == plain.keys() and all(math.isclose(again[f], w) for f, w in plain.items())
+
+
 def test_posts_are_pooled_by_sums_of_fixed_width(prepared):
     table = stage(sequence.random_embedding(vocab.vocabulary(prepared), 16), "vectors")
     pooled = sequence.pool_posts(prepared, table)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from cinderpost.functions import scoring as S
 from cinderpost.operators.features import BIAS
-from cinderpost.operators.lookup import PlacedRows
-from cinderpost.operators.network import OUTPUT, gradient_step
+from cinderpost.operators.lookup import BROADCAST_BYTES, PlacedRows, measured_bytes, well_supported
+from cinderpost.operators.network import gradient_step
 from cinderpost.operators.ranking import dense_index
 from cinderpost.session import discard, stage
 
@@ -59,18 +59,24 @@ class BatchedRows:
 
     rows: DataFrame
     batches: int
+    hot: DataFrame | None = None
 
     def read(self, batch: int) -> PlacedRows:
         own = self.rows.filter((F.col("shelf") == batch // SHELF) & (F.col("batch") == batch)).drop("shelf", "batch")
-        return PlacedRows(own, own.filter(F.col("feature") == BIAS).select("id", "target"), "id")
+        rare = None if self.hot is None else own.join(F.broadcast(self.hot), "feature", "left_anti")
+        return PlacedRows(own, own.filter(F.col("feature") == BIAS).select("id", "target"), "id", self.hot, rare)
 
 
 @contextmanager
-def batched_rows(rows: DataFrame, batches: DataFrame) -> Iterator[BatchedRows]:
+def batched_rows(
+    rows: DataFrame, batches: DataFrame, weights: DataFrame | None = None, broadcast_bytes: int | None = None
+) -> Iterator[BatchedRows]:
     """Lay out rows once by the ``batch`` (from 0) that ``id, batch`` gives their post.
 
     Batches are dealt into folders of SHELF batches, and sorted inside their files: a step opens
     one folder, of which the files' statistics leave the batch. Labels outside 0/1 are an error.
+    If ``weights``, whose size never changes, are too many to broadcast, the features are counted
+    once, and only the frequent ones meet their rows where these lie.
     """
     spread = rows.withColumn("target", S.checked_label("target")).join(batches.select("id", "batch"), "id")
     last = batches.agg(F.max("batch")).first()[0]
@@ -80,32 +86,38 @@ def batched_rows(rows: DataFrame, batches: DataFrame) -> Iterator[BatchedRows]:
         .sortWithinPartitions("batch", "id")
     )
     written = stage(shelved, "batches", partition_by=("shelf",))
+    hot, limit = None, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if weights is not None and (size := measured_bytes(weights)) > limit:
+        counts = stage(written.groupBy("feature").agg(F.count("*").alias("n")), "feature-counts")
+        each = F.lit(-(-size // max(1, weights.count())))
+        hot = stage(well_supported(counts, "feature", "n", each, limit // 2), "hot-keys")
+        discard(counts)
     try:
-        yield BatchedRows(written, 0 if last is None else int(last) + 1)
+        yield BatchedRows(written, 0 if last is None else int(last) + 1, hot)
     finally:
-        discard(written)
+        discard(written, *([] if hot is None else [hot]))
 
 
 def batch_descent(
-    rows: DataFrame, batches: DataFrame, weights: DataFrame, hidden: int, rate: float, epochs: int
+    rows: DataFrame,
+    batches: DataFrame,
+    weights: DataFrame,
+    hidden: int,
+    rate: float,
+    epochs: int,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """``feature, w`` after ``epochs`` passes over the batches in their order, one step for each.
 
     ``weights`` is a written table with arrays ``w``, the output layer included if there is a
-    hidden one. A step reads its batch, the weights of the features that the batch has, and
-    writes the weights.
+    hidden one. A step reads its batch and the weights, and writes the weights.
     """
     given = weights
-    with batched_rows(rows, batches) as laid:
+    with batched_rows(rows, batches, weights, broadcast_bytes) as laid:
         for _ in range(epochs):
             for batch in range(laid.batches):
-                placed = laid.read(batch)
-                names = placed.by_post.select("feature").distinct()
-                if hidden:
-                    names = names.unionByName(names.sparkSession.createDataFrame([(OUTPUT,)], "feature string"))
-                names = stage(names, "batch-features")
-                moved, _ = gradient_step(placed, weights.join(names, "feature", "left_semi"), hidden, rate)
-                after = stage(weights.join(names, "feature", "left_anti").unionByName(moved), "weights")
-                discard(moved, names, *([] if weights is given else [weights]))
+                after, _ = gradient_step(laid.read(batch), weights, hidden, rate)
+                if weights is not given:
+                    discard(weights)
                 weights = after
     return weights

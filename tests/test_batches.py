@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cinderpost.operators import batches, network
+from cinderpost.operators import batches, lookup, network
 from cinderpost.operators import features as E
 from cinderpost.operators import tokens as K
 from cinderpost.plans import experiments as runs
@@ -65,6 +65,22 @@ def test_steps_by_batch_equal_a_dense_computation(spark, posts, hidden):
     assert not hidden or np.allclose(found[network.OUTPUT], output)
 
 
+def test_weights_too_large_to_broadcast_meet_rare_features_elsewhere(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_KEYS", 3)
+    cells = [(i, i % 2, f, 1.0) for i in range(24) for f in (E.BIAS, f"w:{i}", f"w:common{i % 3}")]
+    rows = stage(spark.createDataFrame(cells, "id long, target int, feature string, value double"), "rows")
+    start = stage(rows.select("feature").distinct().selectExpr("feature", "array(length(feature) / 8.0D) AS w"), "start")
+    placed = stage(spark.range(24).select("id", F.floor(F.col("id") / 8).alias("batch")), "places")
+    weights = lambda **limit: {r["feature"]: r["w"] for r in batches.batch_descent(rows, placed, start, 0, 0.5, 2, **limit).collect()}
+    plain = weights()
+    for limit in (0, 1200):
+        with batches.batched_rows(rows, placed, start, limit) as laid:
+            assert laid.hot.count() == (1 if limit == 0 else 4)
+            assert laid.read(1).rare.count() == (16 if limit == 0 else 8)
+        again = weights(broadcast_bytes=limit)
+        assert again.keys() == plain.keys() and all(np.allclose(again[f], w) for f, w in plain.items())
+
+
 def test_a_step_reads_its_batch_alone(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(batches, "SHELF", 2)
     rows = spark.createDataFrame([(i, 1, f, 1.0) for i in range(40) for f in (E.BIAS, f"w:{i}")], "id long, target int, feature string, value double")

@@ -6,6 +6,7 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from cinderpost.operators import tokens
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -43,3 +44,15 @@ def test_vectors_are_computed_once_for_a_distinct_term(spark):
     plan = queries()["random_vectors"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.split("\n") if "Filter" in line]
     assert "md5" in plan and not any("md5" in line for line in filters)
+
+
+def test_stored_stages_tokenize_a_post_once(spark, monkeypatch):
+    read, tokenize = [], tokens.with_tokens
+
+    def seen(posts, *options):
+        read.append(posts.count())
+        return tokenize(posts, *options)
+
+    monkeypatch.setattr(tokens, "with_tokens", seen)
+    queries()["stored_stages"](spark, FOLDER)
+    assert sum(read) == spark.read.parquet(f"{FOLDER}/documents.parquet").count()

@@ -82,7 +82,7 @@ def batched_rows(
     last = batches.agg(F.max("batch")).first()[0]
     shelved = (
         spread.withColumn("shelf", F.floor(F.col("batch") / SHELF).cast("int"))
-        .repartitionByRange("batch")
+        .repartitionByRange("batch", "id")  # a large batch is read by many tasks
         .sortWithinPartitions("batch", "id")
     )
     written = stage(shelved, "batches", partition_by=("shelf",))

@@ -81,6 +81,18 @@ def test_weights_too_large_to_broadcast_meet_rare_features_elsewhere(spark, monk
         assert again.keys() == plain.keys() and all(np.allclose(again[f], w) for f, w in plain.items())
 
 
+def test_a_large_batch_lies_in_several_files(spark):
+    rows = spark.range(4000).selectExpr("id", "1 AS target", f"'{E.BIAS}' AS feature", "1.0D AS value")
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with batches.batched_rows(rows, spark.range(4000).selectExpr("id", "id % 2 AS batch")) as laid:
+            own = laid.read(1).by_post
+            assert own.count() == 2000 and own.select(F.input_file_name()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+
+
 def test_a_step_reads_its_batch_alone(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(batches, "SHELF", 2)
     rows = spark.createDataFrame([(i, 1, f, 1.0) for i in range(40) for f in (E.BIAS, f"w:{i}")], "id long, target int, feature string, value double")

@@ -1,6 +1,7 @@
 """Vocabularies, features, lookups, ranking, history, batches, evaluation, label recovery."""
 
 import math
+import os
 import random
 from collections import Counter
 
@@ -12,6 +13,7 @@ from cinderpost.operators import features as E
 from cinderpost.operators import lookup
 from cinderpost.operators import tokens as K
 from cinderpost.operators.ranking import dense_index, rank_within
+from cinderpost.plans import queries
 from cinderpost.session import stage
 
 
@@ -56,6 +58,21 @@ def test_sequences(prepared):
     assert set(coded) == set(range(1, 11))
 
 
+def test_padded_lists_are_as_long_as_the_longest(spark):
+    coded = spark.createDataFrame([(1, [3, 1]), (2, []), (3, [0, 2, 1])], "id int, ids array<long>")
+    found = {r["id"]: r["padded"] for r in vocab.pad_sequences(coded, 3, 9).collect()}
+    assert found == {1: [3, 1, 9], 2: [9, 9, 9], 3: [0, 2, 1]}
+
+
+def test_encoded_posts_are_filled_up(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    rows = queries.sequence_encode(spark, folder).collect()
+    assert rows and all(len(r["ids"].split(",")) == r["max_len"] for r in rows)
+    assert any(r["ids"].endswith(f",{r['pad_id']},{r['pad_id']}") for r in rows)
+
+
 def test_known_and_unknown_terms_part_the_counts(prepared):
     marked = vocab.split_by_vocabulary(prepared, vocab.vocabulary(train(prepared))).collect()
     assert len(marked) == E.term_frequency(prepared).count()

@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cinderpost.functions import patterns as P
-from cinderpost.operators import descent
+from cinderpost.operators import blocks, descent
 from cinderpost.operators import features as E
 from cinderpost.operators import tokens as K
 from cinderpost.plans import experiments as runs
@@ -168,3 +169,45 @@ def test_what_a_round_writes_has_a_row_per_post(table, monkeypatch, limit):
     for r in found.weights.collect():
         assert np.allclose(r["w"], expected.pop(r["feature"]), atol=1e-7)
     assert not expected
+
+
+@pytest.mark.parametrize("limit", [50, 100])
+def test_groups_of_units_give_what_one_pass_gives(table, limit):
+    """One (50) or two (100) of seven units at a time, sums of tasks added by a shuffle."""
+    plain = descent.fit_many(table, LEARNERS, descent.Search(rounds=4))
+    found = descent.fit_many(table, LEARNERS, descent.Search(rounds=4), broadcast_bytes=limit)
+    expected = {r["feature"]: r["w"] for r in plain.weights.collect()}
+    for r in found.weights.collect():
+        assert np.allclose(r["w"], expected.pop(r["feature"]), atol=1e-7)
+    assert not expected
+
+
+def test_no_round_joins_rows_while_a_unit_of_all_posts_fits(table, monkeypatch):
+    def joined(*_):
+        raise AssertionError("rows are joined in every round")
+
+    monkeypatch.setattr(descent, "placed_rows", joined)
+    found = descent.fit_many(table, LEARNERS, descent.Search(rounds=2))
+    assert found.history.select("run_id").distinct().count() == len(LEARNERS)
+
+
+def test_blocks_hold_whole_features_that_train(monkeypatch):
+    monkeypatch.setattr(blocks, "ROWS", 3)
+    rows = [("a", 0, True), ("a", 2, False), ("b", 1, False), ("c", 0, True), ("c", 1, True), ("d", 2, True)]
+    numbers = pa.list_(pa.float64())
+    kinds = pa.schema([("feature", pa.string()), ("place", pa.int32()), ("trains", pa.bool_()), ("v", numbers), ("w", numbers)])
+    packer, found = blocks._Packer(1, 2), []
+    for k, (name, place, trains) in enumerate(rows):
+        first = name not in [r[0] for r in rows[:k]]
+        row = {"feature": name if first else None, "place": place, "trains": trains, "v": [k + 0.5], "w": [float(k), -float(k)] if first else None}
+        batch = pa.RecordBatch.from_pylist([row], schema=kinds)
+        if packer.full() and first:
+            found.append(packer.block())
+        packer.add(batch, np.array([first]))
+    found = [b.to_pylist()[0] for b in (*found, packer.block()) if b is not None]
+    # The first block ends with b, which no training post has.
+    assert [b["names"] for b in found] == [["a"], ["c", "d"]]
+    assert [np.frombuffer(b["sizes"], np.int32).tolist() for b in found] == [[2], [2, 1]]
+    assert [np.frombuffer(b["places"], np.int32).tolist() for b in found] == [[0, 2], [0, 1, 2]]
+    assert np.frombuffer(found[1]["v"][0]).tolist() == [3.5, 4.5, 5.5]
+    assert [np.frombuffer(x).tolist() for x in found[1]["w"]] == [[3.0, 5.0], [-3.0, -5.0]]

@@ -385,3 +385,27 @@ def test_streamed_posts(spark, posts, prepared, tmp_path):
     found = spark.read.parquet(f"{tmp_path}/out").select("id", "pred").collect()
     direct = model.predict(runs.part(prepared, "test")).select("id", "pred").collect()
     assert sorted(found) == sorted(direct)
+
+
+def test_terms_are_counted_once_for_all_passes(posts, monkeypatch):
+    counted = []
+    count = E.X.term_counts
+
+    def seen(df, *names):
+        counted.append(names)
+        return count(df, *names)
+
+    monkeypatch.setattr(E.X, "term_counts", seen)
+    prepared = runs.prepare_once(posts, "NoStem")
+    how = runs.Experiment("NoStem", "Binary", "Logistic", search=descent.Search(rounds=2))
+    assert runs.predict_experiment(prepared, how).count() == 4
+    assert len(counted) == 1
+
+
+@pytest.mark.parametrize("weighting", ["Binary", "TFIDF"])
+def test_rows_of_the_fitted_posts_need_no_lookup(prepared, weighting):
+    train = runs.part(prepared, "train")
+    model = E.FeatureBuilder(weighting).fit(train)
+    wanted, found = (f(train, keep=("target",)) for f in (model.transform, model.transform_fitted))
+    columns = ["id", "target", "feature", "value"]
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, wanted.select(columns).collect()))

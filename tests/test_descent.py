@@ -211,3 +211,17 @@ def test_blocks_hold_whole_features_that_train(monkeypatch):
     assert [np.frombuffer(b["places"], np.int32).tolist() for b in found] == [[0, 2], [0, 1, 2]]
     assert np.frombuffer(found[1]["v"][0]).tolist() == [3.5, 4.5, 5.5]
     assert [np.frombuffer(x).tolist() for x in found[1]["w"]] == [[3.0, 5.0], [-3.0, -5.0]]
+
+
+def test_grid_tokenizes_a_post_once_and_counts_its_features_once(posts, monkeypatch):
+    tokenized, counted = [], []
+    tokenize, count = K.with_tokens, E.feature_dictionary
+
+    def read(df, *options):
+        tokenized.append(df.count())
+        return tokenize(df, *options)
+
+    monkeypatch.setattr(K, "with_tokens", read)
+    monkeypatch.setattr(E, "feature_dictionary", lambda rows: counted.append(1) or count(rows))
+    report = runs.run_grid(posts, search=descent.Search(rounds=1, rate=0.5), select_on="last").collect()
+    assert len(report) == 18 and tokenized == [posts.count()] and not counted
